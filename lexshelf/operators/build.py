@@ -289,6 +289,10 @@ SUFFIX_TYPES = {
 }
 
 
+def _caster(kind: str) -> Callable[[Column], Column]:
+    return lambda x: x.try_cast(kind)
+
+
 def cast_dynamic(df: DataFrame) -> DataFrame:
     """Types by field name; ``ignored_*`` dropped; a value that does not fit its type becomes null."""
     out = []
@@ -311,10 +315,9 @@ def cast_dynamic(df: DataFrame) -> DataFrame:
             kind = SUFFIX_TYPES[max(fits, key=len)] if fits else None
         c = F.col(name)
         if kind and kind.startswith("array<"):
-            item = kind[6:-1]
             if df.schema[name].dataType.typeName() != "array":
                 c = F.when(c.isNotNull(), F.array(c))
-            c = F.transform(c, lambda x, item=item: x.try_cast(item))
+            c = F.transform(c, _caster(kind[6:-1]))
         elif kind:
             c = c.try_cast(kind)
         out.append(c.alias(name))
@@ -406,6 +409,10 @@ def feed(df: DataFrame, title: Column, link: Column) -> DataFrame:
     )
 
 
+def _member(listed: list[str]) -> Callable[[Column], Column]:
+    return lambda w: w.isin(listed)
+
+
 def detect_language(df: DataFrame, key: str, columns: list[str], lists: dict[str, list[str]], fallback: str = "en") -> DataFrame:
     """Language whose frequent words are most often found in the text fields; ``fallback`` when none is.
 
@@ -413,8 +420,7 @@ def detect_language(df: DataFrame, key: str, columns: list[str], lists: dict[str
     """
     words = tok_standard(F.lower(F.concat_ws(" ", *columns)))
     rows = df.withColumn("_words", words)
-    counts = {lang: F.size(F.filter("_words", lambda w, ws=ws: w.isin(ws))) for lang, ws in lists.items()}
-    rows = rows.withColumns({f"_n_{lang}": c for lang, c in counts.items()})
+    rows = rows.withColumns({f"_n_{lang}": F.size(F.filter("_words", _member(ws))) for lang, ws in lists.items()})
     best = F.greatest(*[F.col(f"_n_{lang}") for lang in lists])
     pick = F.when(best == 0, fallback)
     for lang in sorted(lists):

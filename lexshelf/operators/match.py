@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lexshelf.functions.text import word_parts
 from lexshelf.operators.postings import restrict
 from lexshelf.session import spread_join
 
@@ -39,18 +40,32 @@ def exclude(hits: DataFrame, post: DataFrame, unwanted: DataFrame, key: str) ->
 def phrase_match(tokens: DataFrame, phrases: DataFrame, key: str) -> DataFrame:
     """Places where a phrase ``(query_id, offset, term)`` stands word for word.
 
-    A token that is word ``offset`` of a phrase votes for the phrase starting ``offset`` before it;
-    a start with a vote for every word is a match. One grouping, no chain of self-joins.
+    Each phrase is looked up by its rarest word; the places found are then checked for the other
+    words by one equi-join on (document, position, term). So a very frequent word costs no more
+    than its own tokens, however many phrases hold it. ``tokens`` is read three times: pass a stored
+    table, or one restricted to the phrases' words.
     """
-    size = phrases.groupBy("query_id").agg(F.count(F.lit(1)).alias("_words"))
-    votes = tokens.join(phrases, "term").select(
-        "query_id", key, (F.col("pos") - F.col("offset")).alias("start"), "offset"
+    wanted = restrict(tokens, phrases).select(key, "pos", "term")
+    frequency = wanted.groupBy("term").agg(F.count(F.lit(1)).alias("_n"))
+    rated = phrases.join(frequency, "term", "left").withColumn("_n", F.coalesce("_n", F.lit(0)))
+    leads = (
+        rated.groupBy("query_id")
+        .agg(F.min(F.struct("_n", "offset", "term")).alias("_lead"), F.count(F.lit(1)).alias("_words"))
+        .filter(F.col("_lead._n") > 0)
+        .select("query_id", "_words", F.col("_lead.offset").alias("_offset"), F.col("_lead.term").alias("term"))
     )
-    starts = votes.groupBy("query_id", key, "start").agg(F.count_distinct("offset").alias("_found"))
+    starts = wanted.join(leads, "term").select(
+        "query_id", key, (F.col("pos") - F.col("_offset")).cast("bigint").alias("start"), "_words"
+    )
+    expected = starts.join(phrases, "query_id").select(
+        "query_id", key, "start", "_words", (F.col("start") + F.col("offset")).alias("pos"), "term"
+    )
+    found = expected.join(wanted.withColumn("pos", F.col("pos").cast("bigint")), [key, "pos", "term"])
     return (
-        starts.join(size, "query_id")
+        found.groupBy("query_id", key, "start", "_words")
+        .agg(F.count_distinct("pos").alias("_found"))
         .filter(F.col("_found") == F.col("_words"))
-        .select("query_id", key, F.col("start").cast("bigint").alias("start"))
+        .select("query_id", key, "start")
     )
 
 
@@ -213,3 +228,22 @@ def label_facets(counts: DataFrame, labels: DataFrame, lang: str, fallback: str
         .withColumn("label", F.coalesce("_own", "_other", F.col("value")))
         .drop("_own", "_other")
     )
+
+
+def auto_phrases(words: DataFrame, word: str) -> DataFrame:
+    """Phrases of the parts of those query words that split: (query_id = the word, offset, term)."""
+    return (
+        words.select(F.col(word).alias("query_id"), word_parts(F.col(word)).alias("_parts"))
+        .filter(F.size("_parts") > 1)
+        .select("query_id", F.posexplode("_parts").alias("offset", "term"))
+        .withColumn("term", F.lower("term"))
+    )
+
+
+def wildcard_match(post: DataFrame, stats: DataFrame, patterns: DataFrame, key: str, cap: int = MAX_TERMS) -> DataFrame:
+    """Documents per pattern; score is the number of occurrences, or 1 when the pattern stands for too many terms."""
+    found = expand_wildcards(stats, patterns, cap).select("query_id", "term", "constant_score")
+    return post.join(found, "term").groupBy("query_id", key).agg(
+        F.count(F.lit(1)).alias("n_terms"),
+        F.when(F.bool_or("constant_score"), F.lit(1.0)).otherwise(F.sum("tf").cast("double")).alias("score"),
+    )

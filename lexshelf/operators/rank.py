@@ -122,3 +122,9 @@ def elevate(hits: DataFrame, rules: DataFrame, key: str) -> DataFrame:
     pins = rules.filter(~F.col("excluded")).select("query_id", key, "pin_rank")
     kept = hits.join(rules.filter("excluded").select("query_id", key), ["query_id", key], "left_anti")
     return kept.join(pins, ["query_id", key], "full")
+
+
+def number_rows(first: DataFrame, order: Column, key: str) -> DataFrame:
+    """Places 1, 2, ... of an already limited list."""
+    place = F.row_number().over(Window.orderBy(order, F.col(key).asc())).cast("bigint")
+    return first.select(key, place.alias("place"))

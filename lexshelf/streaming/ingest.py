@@ -34,11 +34,17 @@ def file_changes(spark: SparkSession, path: str, schema: str, max_files: int = 2
     return spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files).parquet(path)
 
 
-def current_index(spark: SparkSession, root: str, base: DataFrame, key: str, doc: str) -> DataFrame:
-    """``base`` with all loaded changes applied, the latest winning."""
+def current_index(spark: SparkSession, root: str, base: DataFrame, key: str, doc: str, by_batch: bool = True) -> DataFrame:
+    """``base`` with all loaded changes applied, the latest winning.
+
+    Later batches win over earlier ones; with ``by_batch`` false ``seq`` alone decides, for feeds whose
+    files may arrive out of order.
+    """
     changes = spark.read.parquet(f"{root}/changes")
-    order = F.struct(F.col("batch").cast("bigint").alias("batch"), F.col("seq").alias("seq"))
-    return apply_changes(base, changes.withColumn("seq", order).drop("batch"), key, doc)
+    if by_batch:
+        order = F.struct(F.col("batch").cast("bigint").alias("batch"), F.col("seq").alias("seq"))
+        changes = changes.withColumn("seq", order)
+    return apply_changes(base, changes.drop("batch"), key, doc)
 
 
 def compact(spark: SparkSession, root: str, base: DataFrame, key: str, doc: str) -> DataFrame:
