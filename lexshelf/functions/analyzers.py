@@ -40,7 +40,7 @@ class Analyzer:
         for kind, step in self.steps:
             if kind == "term":
                 # one pass per step: a step may mention its term several times
-                tokens = _map_terms(tokens, step, stacked)
+                tokens = tokens if step is T.same else _map_terms(tokens, step, stacked)
             else:
                 tokens, stacked = step(tokens), stacked or kind == "slots"
         return tokens
@@ -60,7 +60,8 @@ def token_rows(df: DataFrame, text: str, analyzer: Analyzer, length: str | None
         count = F.size(F.filter(F.flatten("_tokens") if analyzer.stacked else "_tokens", lambda t: t != ""))
         out = out.withColumn(length, count.cast("bigint"))
         rest = [*rest, length]
-    out = out.select(*rest, F.posexplode("_tokens").alias("pos", "term"))
+    # the outer form: the inner one has Spark test the array's size first, analysing every text twice
+    out = out.select(*rest, F.posexplode_outer("_tokens").alias("pos", "term"))
     if analyzer.stacked:
         out = out.select(*rest, "pos", F.explode("term").alias("term"))
     return out.filter(F.col("term") != "")

@@ -97,6 +97,10 @@ def path_prefixes(c: Column, sep: str = "/") -> Column:
 # --- one term -> one term, or null to remove it -----------------------------------------------
 
 
+def same(t: Column) -> Column:
+    return t
+
+
 def lower_case(lang: str | None = None) -> TermStep:
     if lang == "tr":
         return lambda t: F.lower(F.translate(t, "Iİ", "ıi"))
@@ -110,7 +114,7 @@ def lower_case(lang: str | None = None) -> TermStep:
 def stop(stop_words: Iterable[str], ignore_case: bool = True) -> TermStep:
     listed = sorted({w.lower() for w in stop_words} if ignore_case else set(stop_words))
     if not listed:
-        return lambda t: t
+        return same
     return lambda t: F.when(~(F.lower(t) if ignore_case else t).isin(listed), t)
 
 

@@ -234,8 +234,9 @@ def auto_phrases(words: DataFrame, word: str) -> DataFrame:
     """Phrases of the parts of those query words that split: (query_id = the word, offset, term)."""
     return (
         words.select(F.col(word).alias("query_id"), word_parts(F.col(word)).alias("_parts"))
-        .filter(F.size("_parts") > 1)
-        .select("query_id", F.posexplode("_parts").alias("offset", "term"))
+        .select("query_id", F.size("_parts").alias("_n"), F.posexplode_outer("_parts").alias("offset", "term"))
+        .filter(F.col("_n") > 1)
+        .drop("_n")
         .withColumn("term", F.lower("term"))
     )
 

@@ -52,11 +52,11 @@ def tokenize_values(
         sized.select(key, order, "_width"), key, order, F.col("_width").cast("bigint"), "_base"
     ).select(key, order, "_base")
     rows = sized.join(widths, [key, order]).select(
-        key, F.posexplode("_tokens").alias("_at", "term"), (F.col("_base") + F.col(order) * gap).alias("_first")
+        key, F.posexplode_outer("_tokens").alias("_at", "term"), (F.col("_base") + F.col(order) * gap).alias("_first")
     )
     if analyzer.stacked:
         rows = rows.select(key, "_first", "_at", F.explode("term").alias("term"))
-    return rows.filter(F.col("term").isNotNull()).select(
+    return rows.filter(F.col("term") != "").select(
         key, (F.col("_first") + F.col("_at")).cast("bigint").alias("pos"), "term"
     )
 

@@ -292,7 +292,7 @@ def currency_range(spark, sf_dir):
     "currency_cross_rate",
     f"""WITH {sql_rates()}, priced AS (SELECT p_partkey, p_retailprice AS amount, ['EUR', 'NOK', 'GBP', 'CHF'][1 + p_partkey % 4] AS code FROM part)
     SELECT p_partkey, code, round(CASE code WHEN 'NOK' THEN amount WHEN 'EUR' THEN amount * 7.800095 WHEN 'GBP' THEN amount * 8.966508
-      ELSE amount * ((1 / (SELECT rate FROM usd WHERE usd.code = 'CHF')) * (SELECT rate FROM usd WHERE usd.code = 'NOK')) END, 4) AS nok FROM priced""",
+      ELSE amount * ((1 / (SELECT rate FROM usd WHERE usd.code = 'CHF')) * (SELECT rate FROM usd WHERE usd.code = 'NOK')) END, 8) AS nok FROM priced""",
 )
 def currency_cross_rate(spark, sf_dir):
     """Listed cross rates first, others by way of USD."""
@@ -301,7 +301,7 @@ def currency_cross_rate(spark, sf_dir):
         "p_partkey", F.col("p_retailprice").alias("amount"), F.get(codes, (F.col("p_partkey") % 4).cast("int")).alias("code")
     )
     converted = money.convert(parts, "amount", "code", money.default_rates(spark), "NOK", "nok")
-    return converted.select("p_partkey", "code", F.round("nok", 4).alias("nok"))
+    return converted.select("p_partkey", "code", F.round("nok", 8).alias("nok"))
 
 
 @query("augment", "SELECT c_custkey, 'part of the catalogue' AS note, c_acctbal > 5000 AS boosted FROM customer")
