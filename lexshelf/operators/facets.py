@@ -105,7 +105,7 @@ def group_results(hits: DataFrame, index: DataFrame, key: str, group: str, n: in
                   order: list[Column] | None = None) -> DataFrame:
     """The first ``n`` hits of every group of a query, with the group's size and the query's matches.
 
-    Hits without a value form a group of their own.
+    Hits without a value form a group of their own. ``hits`` is read three times: pass a stored table.
     """
     order = order or [F.desc("score")]
     rows = hits.join(index.select(key, F.col(group).alias("group_value")), key)

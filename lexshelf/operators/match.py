@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from lexshelf.functions.text import word_parts
 from lexshelf.operators.postings import restrict
-from lexshelf.session import spread_join
+from lexshelf.session import cut, spread_join
 
 MAX_TERMS = 1024
 
@@ -42,13 +42,13 @@ def phrase_match(tokens: DataFrame, phrases: DataFrame, key: str) -> DataFrame:
 
     Each phrase is looked up by its rarest word; the places found are then checked for the other
     words by one equi-join on (document, position, term). So a very frequent word costs no more
-    than its own tokens, however many phrases hold it. ``tokens`` is read three times: pass a stored
-    table, or one restricted to the phrases' words.
+    than its own tokens, however many phrases hold it. Phrase leads and places are stored, so Spark
+    knows their size when it plans the joins. ``tokens`` is read three times: pass a stored table.
     """
     wanted = restrict(tokens, phrases).select(key, "pos", "term")
     frequency = wanted.groupBy("term").agg(F.count(F.lit(1)).alias("_n"))
     rated = phrases.join(frequency, "term", "left").withColumn("_n", F.coalesce("_n", F.lit(0)))
-    leads = (
+    leads = cut(
         rated.groupBy("query_id")
         .agg(F.min(F.struct("_n", "offset", "term")).alias("_lead"), F.count(F.lit(1)).alias("_words"))
         .filter(F.col("_lead._n") > 0)
@@ -57,8 +57,10 @@ def phrase_match(tokens: DataFrame, phrases: DataFrame, key: str) -> DataFrame:
     starts = wanted.join(leads, "term").select(
         "query_id", key, (F.col("pos") - F.col("_offset")).cast("bigint").alias("start"), "_words"
     )
-    expected = starts.join(phrases, "query_id").select(
-        "query_id", key, "start", "_words", (F.col("start") + F.col("offset")).alias("pos"), "term"
+    expected = cut(
+        starts.join(phrases, "query_id").select(
+            "query_id", key, "start", "_words", (F.col("start") + F.col("offset")).alias("pos"), "term"
+        )
     )
     found = expected.join(wanted.withColumn("pos", F.col("pos").cast("bigint")), [key, "pos", "term"])
     return (

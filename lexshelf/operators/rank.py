@@ -11,41 +11,42 @@ from lexshelf.operators.postings import restrict, term_stats
 GROUP_LIMIT = 1000
 
 
-def weigh(post: DataFrame, clauses: DataFrame, n_docs: Column) -> DataFrame:
-    """Clauses with document frequency and inverse document frequency of their term."""
-    keys = [c for c in ("field", "term") if c in post.columns and c in clauses.columns]
-    return clauses.join(term_stats(post).select(*keys, "df"), keys).withColumn("_n", n_docs)
-
-
-def explain_scores(
-    post: DataFrame,
-    clauses: DataFrame,
-    n_docs: Column,
-    model: str = "tfidf",
-    avg_len: Column | None = None,
-    k1: float = 1.2,
-    b: float = 0.75,
+def term_weights(
+    post: DataFrame, clauses: DataFrame, n_docs: Column, model: str = "tfidf", avg_len: Column | None = None
 ) -> DataFrame:
-    """What each term adds to each hit's score.
+    """Clauses with the weight of their term; one narrow row per clause.
 
-    tfidf: sqrt(tf) * (1 + ln(n / (df + 1)))^2 / sqrt(len); bm25: Okapi with k1 and b.
+    Worth storing before ``explain_scores``: then its size is known, and Spark broadcasts it or not
+    by that.
     """
-    keys = [c for c in ("field", "term") if c in post.columns and c in clauses.columns]
-    wanted = restrict(post, clauses)
-    weights = weigh(wanted, clauses, n_docs)
+    keys = _keys(post, clauses)
+    rated = clauses.join(term_stats(restrict(post, clauses)).select(*keys, "df"), keys).withColumn("_n", n_docs)
     if model == "tfidf":
-        weights = weights.withColumn("_w", F.pow(F.lit(1.0) + F.log(F.col("_n") / (F.col("df") + 1)), F.lit(2.0)))
-        value = F.sqrt("tf") * F.col("_w") / F.sqrt("len")
-    elif model == "bm25":
-        weights = weights.withColumn(
-            "_w", F.log(F.lit(1.0) + (F.col("_n") - F.col("df") + 0.5) / (F.col("df") + 0.5))
-        ).withColumn("_avg", avg_len)
-        value = F.col("_w") * F.col("tf") * (k1 + 1) / (
-            F.col("tf") + k1 * (1 - b + b * F.col("len") / F.col("_avg"))
+        weight = F.pow(F.lit(1.0) + F.log(F.col("_n") / (F.col("df") + 1)), F.lit(2.0))
+        return rated.withColumn("weight", weight).drop("_n", "df")
+    if model == "bm25":
+        weight = F.log(F.lit(1.0) + (F.col("_n") - F.col("df") + 0.5) / (F.col("df") + 0.5))
+        return rated.withColumn("weight", weight).withColumn("avg_len", avg_len).drop("_n", "df")
+    raise ValueError(model)
+
+
+def _keys(post: DataFrame, clauses: DataFrame) -> list[str]:
+    return [c for c in ("field", "term") if c in post.columns and c in clauses.columns]
+
+
+def explain_scores(post: DataFrame, weights: DataFrame, k1: float = 1.2, b: float = 0.75) -> DataFrame:
+    """What each term adds to each hit's score.
+
+    tfidf: sqrt(tf) * (1 + ln(n / (df + 1)))^2 / sqrt(len); bm25, for weights with an average length:
+    Okapi with k1 and b.
+    """
+    if "avg_len" in weights.columns:
+        value = F.col("weight") * F.col("tf") * (k1 + 1) / (
+            F.col("tf") + k1 * (1 - b + b * F.col("len") / F.col("avg_len"))
         )
     else:
-        raise ValueError(model)
-    return wanted.join(weights, keys).withColumn("value", value).drop("_n", "_w", "_avg", "df")
+        value = F.sqrt("tf") * F.col("weight") / F.sqrt("len")
+    return post.join(weights, _keys(post, weights)).withColumn("value", value).drop("weight", "avg_len")
 
 
 def score(parts: DataFrame, key: str) -> DataFrame:
@@ -103,7 +104,7 @@ def top_k(hits: DataFrame, k: int, key: str, by: str = "query_id", order: list[C
 
 
 def page(hits: DataFrame, number: int, size: int, key: str, order: list[Column] | None = None) -> DataFrame:
-    """Page ``number`` (from 1) of every query, with the query's total."""
+    """Page ``number`` (from 1) of every query, with the query's total; ``hits``, read twice, should be stored."""
     total = hits.groupBy("query_id").agg(F.count(F.lit(1)).alias("total"))
     rows = top_k(hits, number * size, key, order=order).filter(F.col("rank") > (number - 1) * size)
     return rows.join(total, "query_id")

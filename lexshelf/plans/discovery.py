@@ -87,13 +87,13 @@ def snippet_or_alternate(spark, sf_dir):
 )
 def more_like_this(spark, sf_dir):
     """Three documents like each of the queries' best hits."""
-    sources = rank.top_k(benchmark_hits(spark, sf_dir), 3, "doc_id").select("doc_id").distinct()
     post = cut(C.doc_postings(spark, sf_dir))
+    sources = rank.top_k(benchmark_hits(spark, sf_dir, post=post), 3, "doc_id").select("doc_id").distinct()
     return discover.more_like_this(post, sources, "doc_id", C.count_docs(spark, sf_dir))
 
 
 def index_words(spark, sf_dir):
-    return postings.term_stats(C.doc_postings(spark, sf_dir, LOWER))
+    return cut(postings.term_stats(C.doc_postings(spark, sf_dir, LOWER)))
 
 
 def benchmark_words(spark, sf_dir):
@@ -152,7 +152,7 @@ def part_words(spark, sf_dir):
         (F.col("pos") == 0) & (F.length("word") >= 5), F.concat(F.left("word", F.lit(2)), F.substr("word", F.lit(4)))
     ).otherwise(F.col("word"))
     post = postings.postings(postings.tokenize(parts, "p_partkey", "p_name", LOWER), "p_partkey")
-    return words.withColumn("word", spoilt), post
+    return cut(words.withColumn("word", spoilt)), cut(post)
 
 
 @query(
@@ -173,7 +173,7 @@ def collation(spark, sf_dir):
     found = spelling.spellcheck(
         postings.term_stats(post), words, C.table(spark, sf_dir, "part").select(F.count(F.lit(1))).scalar(), max_frequency=0.0
     )
-    return spelling.collate(words, found, post, "p_partkey")
+    return spelling.collate(words, cut(found), post, "p_partkey")
 
 
 @query(

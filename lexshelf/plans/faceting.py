@@ -11,6 +11,7 @@ from lexshelf.plans import corpus as C
 from lexshelf.plans.corpus import query
 from lexshelf.plans.matching import benchmark_matches
 from lexshelf.plans.ranking import SQL_ROUNDED, benchmark_hits, benchmark_postings
+from lexshelf.session import cut
 
 
 @query(
@@ -116,7 +117,7 @@ def group_results(spark, sf_dir):
     index = C.table(spark, sf_dir, "documents").select(
         "doc_id", F.when(F.col("source") != "src1", F.col("source")).alias("source")
     )
-    hits = benchmark_hits(spark, sf_dir).select("query_id", "doc_id", "score")
+    hits = cut(benchmark_hits(spark, sf_dir).select("query_id", "doc_id", "score"))
     return facets.group_results(hits, index, "doc_id", "source", 2)
 
 
@@ -164,7 +165,7 @@ def query_term_statistics(spark, sf_dir):
 def term_vectors(spark, sf_dir):
     """Vectors of the documents labelled toxic."""
     docs = C.table(spark, sf_dir, "labels").filter("toxic = 1")
-    vectors = postings.term_vectors(C.doc_postings(spark, sf_dir), "doc_id", docs)
+    vectors = postings.term_vectors(cut(C.doc_postings(spark, sf_dir)), "doc_id", docs)
     return vectors.withColumn("tf_idf", F.round("tf_idf", 6))
 
 

@@ -129,7 +129,8 @@ def pattern_table(spark):
      count(*) OVER (PARTITION BY pattern) > 1024 AS constant_score FROM found""",
 )
 def wildcard_expand(spark, sf_dir):
-    return match.expand_wildcards(postings.term_stats(C.doc_postings(spark, sf_dir)), pattern_table(spark))
+    stats = cut(postings.term_stats(C.doc_postings(spark, sf_dir)))
+    return match.expand_wildcards(stats, pattern_table(spark))
 
 
 @query(
@@ -139,7 +140,7 @@ def wildcard_expand(spark, sf_dir):
     FROM sized JOIN post USING (term) GROUP BY pattern, doc_id""",
 )
 def wildcard_match(spark, sf_dir):
-    post = C.doc_postings(spark, sf_dir)
+    post = cut(C.doc_postings(spark, sf_dir))
     return match.wildcard_match(post, postings.term_stats(post), pattern_table(spark), "doc_id")
 
 

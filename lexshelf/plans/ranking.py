@@ -9,25 +9,34 @@ from lexshelf.functions.analyzers import Analyzer, token_rows
 from lexshelf.operators import postings, rank
 from lexshelf.plans import corpus as C
 from lexshelf.plans.corpus import query
+from lexshelf.session import cut
 
 SQL_ROUNDED = f"{C.SQL_SCORES}, r AS (SELECT query_id, doc_id, round(score, 6) AS score, n_terms FROM hits)"
 
 
 def benchmark_postings(spark, sf_dir):
-    """Postings of the terms the queries ask for, and the queries."""
+    """Stored postings of the terms the queries ask for, and the queries."""
     asked = C.clauses(spark, sf_dir)
     wanted = postings.restrict(C.doc_tokens(spark, sf_dir), asked)
-    return postings.postings(wanted, "doc_id"), asked
+    return cut(postings.postings(wanted, "doc_id")), asked
 
 
-def benchmark_hits(spark, sf_dir, model: str = "tfidf"):
-    post, asked = benchmark_postings(spark, sf_dir)
+def benchmark_parts(spark, sf_dir, model: str = "tfidf", post=None):
+    if post is None:
+        post, asked = benchmark_postings(spark, sf_dir)
+    else:
+        asked = C.clauses(spark, sf_dir)
     avg_len = None
     if model == "bm25":
         sizes = C.documents(spark, sf_dir).select(F.size(C.GENERAL(F.col("text"))).alias("n"))
         avg_len = sizes.select(F.avg("n")).scalar()
-    parts = rank.explain_scores(post, asked, C.count_docs(spark, sf_dir), model, avg_len)
-    return rank.score(parts, "doc_id").withColumn("score", F.round("score", 6))
+    weights = cut(rank.term_weights(post, asked, C.count_docs(spark, sf_dir), model, avg_len))
+    return rank.explain_scores(post, weights)
+
+
+def benchmark_hits(spark, sf_dir, model: str = "tfidf", post=None):
+    hits = rank.score(benchmark_parts(spark, sf_dir, model, post), "doc_id")
+    return hits.withColumn("score", F.round("score", 6))
 
 
 @query(
@@ -64,8 +73,7 @@ def top_documents_bm25(spark, sf_dir):
 )
 def score_parts(spark, sf_dir):
     """What each term adds to the score of the three best hits."""
-    post, asked = benchmark_postings(spark, sf_dir)
-    parts = rank.explain_scores(post, asked, C.count_docs(spark, sf_dir))
+    parts = benchmark_parts(spark, sf_dir)
     hits = rank.score(parts, "doc_id").withColumn("score", F.round("score", 6))
     top = rank.top_k(hits, 3, "doc_id").select("query_id", "doc_id")
     return parts.join(top, ["query_id", "doc_id"]).select("query_id", "doc_id", "term", F.round("value", 6).alias("value"))
@@ -109,7 +117,8 @@ def dismax(spark, sf_dir):
     )
     by_field = asked.select("*", F.explode(F.array(*[F.lit(f) for f in FIELDS])).alias("field"))
     post = postings.postings(part_fields(spark, sf_dir), "p_partkey")
-    scored = rank.explain_scores(post, by_field, parts.select(F.count(F.lit(1))).scalar())
+    weights = rank.term_weights(post, by_field, parts.select(F.count(F.lit(1))).scalar())
+    scored = rank.explain_scores(post, weights)
     hits = rank.dismax(scored, "p_partkey", FIELDS, asked)
     return hits.select("query_id", "p_partkey", F.round("score", 6).alias("score"), "n_terms")
 
@@ -162,7 +171,7 @@ def sort_multi_valued(spark, sf_dir):
 )
 def result_page(spark, sf_dir):
     """Second page of eleven hits, with totals."""
-    rows = rank.page(benchmark_hits(spark, sf_dir), 2, 11, "doc_id")
+    rows = rank.page(cut(benchmark_hits(spark, sf_dir)), 2, 11, "doc_id")
     return rows.select("query_id", "doc_id", "score", "rank", "total")
 
 
@@ -193,7 +202,7 @@ def random_order(spark, sf_dir):
 )
 def elevate(spark, sf_dir):
     """Per query: one document pinned first, the second best one excluded."""
-    hits = benchmark_hits(spark, sf_dir).select("query_id", "doc_id", "score")
+    hits = cut(benchmark_hits(spark, sf_dir).select("query_id", "doc_id", "score"))
     pins = C.table(spark, sf_dir, "benchmark").select(
         F.col("item_id").alias("query_id"), (F.col("item_id") + 1).alias("doc_id"), F.lit(1).alias("pin_rank"), F.lit(False).alias("excluded")
     )
