@@ -47,9 +47,10 @@ class Analyzer:
 
 
 def _map_terms(tokens: Column, step: T.TermStep, stacked: bool) -> Column:
+    # the lambda: a step given as it is might take the index for a second argument
     if not stacked:
-        return F.transform(tokens, step)
-    return F.transform(tokens, lambda slot: F.array_compact(F.transform(slot, step)))
+        return F.transform(tokens, lambda t: step(t))
+    return F.transform(tokens, lambda slot: F.array_compact(F.transform(slot, lambda t: step(t))))
 
 
 def token_rows(df: DataFrame, text: str, analyzer: Analyzer, length: str | None = None) -> DataFrame:
@@ -67,6 +68,30 @@ def token_rows(df: DataFrame, text: str, analyzer: Analyzer, length: str | None
     return out.filter(F.col("term") != "")
 
 
+def term_rows(df: DataFrame, text: str, analyzer: Analyzer, length: str) -> DataFrame:
+    """One row per distinct term of a text with its frequency ``tf``; other columns and the token count kept.
+
+    Counted within the row, by sorting its tokens and measuring the runs of equal ones, so nothing is
+    shuffled and only distinct terms leave the row.
+    """
+    rest = [c for c in df.columns if c != text]
+    tokens = analyzer(F.col(text))
+    tokens = F.flatten(tokens) if analyzer.stacked else tokens
+    rows = df.select(*rest, F.array_sort(F.filter(tokens, lambda t: t != "")).alias("_s"))
+    rows = rows.withColumn(length, F.size("_s").cast("bigint"))
+    places = F.sequence(F.lit(0), F.size("_s") - 1)
+    first = F.filter(places, lambda i: (i == 0) | (F.get("_s", i) != F.get("_s", i - 1)))
+    rows = rows.withColumn("_at", F.when(F.size("_s") > 0, first))
+    runs = F.transform(
+        "_at",
+        lambda p, j: F.struct(
+            F.get("_s", p).alias("term"),
+            (F.coalesce(F.get("_at", j + 1), F.size("_s")) - p).cast("bigint").alias("tf"),
+        ),
+    )
+    return rows.select(*rest, length, F.explode(runs).alias("_r")).select(*rest, length, "_r.term", "_r.tf")
+
+
 def query_rows(df: DataFrame, text: str, analyzer: Analyzer) -> DataFrame:
     """``token_rows`` for a table of queries: distinct terms, positions dropped."""
     rows = token_rows(df, text, analyzer).drop("pos")

@@ -364,6 +364,7 @@ def dedupe(df: DataFrame, key: str, name: str = "signature", overwrite: bool = T
     """With ``overwrite`` one record per signature, the last by key; else all, marked ``duplicate``.
 
     The kept key is found by aggregation and looked up by key, so a signature may be very frequent.
+    ``df`` is read twice: pass a stored table.
     """
     kept = df.groupBy(name).agg((F.max(key) if overwrite else F.min(key)).alias(key))
     if overwrite:

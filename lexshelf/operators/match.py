@@ -85,7 +85,8 @@ def expand_wildcards(stats: DataFrame, patterns: DataFrame, cap: int = MAX_TERMS
     keyed = keyed.withColumn("_n", F.length("_anchor"))
     like = F.replace(F.replace(F.col("pattern"), F.lit("\\"), F.lit("\\\\")), F.lit("%"), F.lit("\\%"))
     like = F.translate(F.replace(like, F.lit("_"), F.lit("\\_")), "*?", "%_")
-    keyed = keyed.withColumn("_like", like)
+    plain = F.col("pattern") == F.when(F.col("_end"), F.concat(F.lit("*"), "_anchor")).otherwise(F.concat("_anchor", F.lit("*")))
+    keyed = keyed.withColumn("_like", F.when(~plain, like))
     # the few (side, length) combinations the patterns use
     shapes = keyed.select(F.collect_set(F.struct("_end", "_n"))).scalar()
     anchored = stats.select("*", F.explode(shapes).alias("_shape")).select(
@@ -96,7 +97,7 @@ def expand_wildcards(stats: DataFrame, patterns: DataFrame, cap: int = MAX_TERMS
         .otherwise(F.left("term", F.col("_shape._n")))
         .alias("_anchor"),
     )
-    found = anchored.join(keyed, ["_end", "_n", "_anchor"]).filter(F.expr("term LIKE _like"))
+    found = anchored.join(keyed, ["_end", "_n", "_anchor"]).filter(F.expr("_like IS NULL OR term LIKE _like"))
     size = found.groupBy("query_id", "pattern").agg(F.count(F.lit(1)).alias("n_terms"))
     return found.join(size, ["query_id", "pattern"]).select(
         "query_id", "pattern", *stats.columns, "n_terms", (F.col("n_terms") > cap).alias("constant_score")

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lexshelf.functions.analyzers import Analyzer, token_rows
+from lexshelf.functions.analyzers import Analyzer, term_rows, token_rows
 
 BLOCK = 4096
 GAP = 100
@@ -61,8 +61,13 @@ def tokenize_values(
     )
 
 
+def postings_of(df: DataFrame, key: str, text: str, analyzer: Analyzer) -> DataFrame:
+    """Postings of a table with one text per key: worked out row by row, without a shuffle."""
+    return term_rows(df.select(key, text), text, analyzer, "len")
+
+
 def postings(tokens: DataFrame, key: str) -> DataFrame:
-    """Term frequency per document."""
+    """Term frequency per document, for documents whose tokens come from several rows."""
     keys = [c for c in ("field", key, "len", "term") if c in tokens.columns]
     return tokens.groupBy(*keys).agg(F.count(F.lit(1)).alias("tf"))
 

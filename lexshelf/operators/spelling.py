@@ -14,9 +14,9 @@ def _segment(term: Column, size: Column, j: int, parts: int) -> Column:
 def near_terms(stats: DataFrame, words: DataFrame, edits: int = 2, prefix: int = 1) -> DataFrame:
     """Pairs (word, term, distance) at 1 to ``edits`` edits that share their first ``prefix`` letters.
 
-    A term is cut into edits + 1 segments: with so few edits one segment stays whole, and lies in the
-    word within ``edits`` places of where it was. So an equi-join on segments finds every pair,
-    and no two terms are compared that do not share one.
+    A term is cut into edits + 1 segments: with so few edits one of them, the j-th, stays whole in the
+    word, with at most j edits before it and edits - j after it, which bounds how far it has moved.
+    So an equi-join on segments finds every pair, and no two terms are compared that do not share one.
     """
     parts = edits + 1
     size = F.length("term")
@@ -36,7 +36,11 @@ def near_terms(stats: DataFrame, words: DataFrame, edits: int = 2, prefix: int =
         asked.withColumn("_at", (start + F.col("_shift")).cast("int"))
         .withColumn("_len", length.cast("int"))
         .filter((F.col("_at") >= 0) & (F.col("_at") + F.col("_len") <= F.col("_size")))
+        .filter(F.abs("_shift") <= F.col("_j"))
+        .filter(F.abs(F.col("_shift") - (F.col("_size") - F.col("_n"))) <= edits - F.col("_j"))
         .select("word", "_head", "_n", "_j", F.substr(F.col("word"), F.col("_at") + 1, F.col("_len")).alias("_seg"))
+        # few words make many pairs: a fixed number of partitions, not merged for being small
+        .repartition(int(stats.sparkSession.conf.get("spark.sql.shuffle.partitions")), "_head", "_n", "_j", "_seg")
         .distinct()
     )
     pairs = held.join(asked, ["_head", "_n", "_j", "_seg"])

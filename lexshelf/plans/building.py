@@ -11,7 +11,7 @@ from lexshelf.functions import words as W
 from lexshelf.operators import build
 from lexshelf.plans import corpus as C
 from lexshelf.plans.corpus import query, sql_escape
-from lexshelf.session import shared_dir
+from lexshelf.session import cut, shared_dir
 from lexshelf.sources import records, store
 from lexshelf.streaming import ingest
 
@@ -284,7 +284,7 @@ def signatures(spark, sf_dir):
 
 @query("deduplicate", f"WITH {SQL_SIGNED} SELECT max(doc_id) AS doc_id, signature FROM s GROUP BY signature")
 def deduplicate(spark, sf_dir):
-    return build.dedupe(signatures(spark, sf_dir), "doc_id")
+    return build.dedupe(cut(signatures(spark, sf_dir)), "doc_id")
 
 
 @query(
@@ -292,7 +292,7 @@ def deduplicate(spark, sf_dir):
     f"WITH {SQL_SIGNED} SELECT doc_id, signature, doc_id <> min(doc_id) OVER (PARTITION BY signature) AS duplicate FROM s",
 )
 def mark_duplicates(spark, sf_dir):
-    return build.dedupe(signatures(spark, sf_dir), "doc_id", overwrite=False)
+    return build.dedupe(cut(signatures(spark, sf_dir)), "doc_id", overwrite=False)
 
 
 def sql_language_counts() -> str:

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from lexshelf.functions.analyzers import Analyzer, analyzer, query_rows
 from lexshelf.functions.text import ENTITIES, HTML_BLOCKS, HTML_TAGS, WORD
-from lexshelf.operators.postings import postings, tokenize
+from lexshelf.operators.postings import postings_of, tokenize
 from lexshelf.session import spread
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -51,7 +51,7 @@ def doc_tokens(spark: SparkSession, sf_dir: str, chain: Analyzer = GENERAL) -> D
 
 
 def doc_postings(spark: SparkSession, sf_dir: str, chain: Analyzer = GENERAL) -> DataFrame:
-    return postings(doc_tokens(spark, sf_dir, chain), "doc_id")
+    return postings_of(documents(spark, sf_dir), "doc_id", "text", chain)
 
 
 def clauses(spark: SparkSession, sf_dir: str, chain: Analyzer = GENERAL) -> DataFrame:

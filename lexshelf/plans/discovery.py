@@ -151,7 +151,7 @@ def part_words(spark, sf_dir):
     spoilt = F.when(
         (F.col("pos") == 0) & (F.length("word") >= 5), F.concat(F.left("word", F.lit(2)), F.substr("word", F.lit(4)))
     ).otherwise(F.col("word"))
-    post = postings.postings(postings.tokenize(parts, "p_partkey", "p_name", LOWER), "p_partkey")
+    post = postings.postings_of(parts, "p_partkey", "p_name", LOWER)
     return cut(words.withColumn("word", spoilt)), cut(post)
 
 

@@ -19,7 +19,7 @@ LOWER = Analyzer("lower", T.tok_standard, (), (("term", F.lower),))
 
 def benchmark_matches(spark, sf_dir):
     asked = C.clauses(spark, sf_dir)
-    wanted = postings.postings(postings.restrict(C.doc_tokens(spark, sf_dir), asked), "doc_id")
+    wanted = postings.restrict(C.doc_postings(spark, sf_dir), asked)
     return match.match_terms(wanted, asked), asked
 
 
@@ -50,9 +50,8 @@ def boolean_or(spark, sf_dir):
     return match.boolean_match(matches, asked, "doc_id", "OR")
 
 
-def part_tokens(spark, sf_dir):
-    parts = C.table(spark, sf_dir, "part").select("p_partkey", "p_name")
-    return postings.tokenize(parts, "p_partkey", "p_name", LOWER)
+def part_postings(spark, sf_dir):
+    return postings.postings_of(C.table(spark, sf_dir, "part"), "p_partkey", "p_name", LOWER)
 
 
 SQL_PART_TOK = (
@@ -70,12 +69,11 @@ SQL_PART_TOK = (
 )
 def must_not(spark, sf_dir):
     """Per product name: parts with its first word but without its last."""
-    tokens = part_tokens(spark, sf_dir)
     names = C.table(spark, sf_dir, "part").select(F.lower("p_name").alias("query_id")).distinct()
     words = F.split("query_id", " ")
     wanted = names.select("query_id", F.get(words, 0).alias("term"))
     unwanted = names.select("query_id", F.element_at(words, -1).alias("term"))
-    post = postings.postings(tokens, "p_partkey")
+    post = part_postings(spark, sf_dir)
     hits = match.match_terms(post, wanted).select("query_id", "p_partkey")
     return match.exclude(hits, post, unwanted, "p_partkey")
 

@@ -17,8 +17,7 @@ SQL_ROUNDED = f"{C.SQL_SCORES}, r AS (SELECT query_id, doc_id, round(score, 6) A
 def benchmark_postings(spark, sf_dir):
     """Stored postings of the terms the queries ask for, and the queries."""
     asked = C.clauses(spark, sf_dir)
-    wanted = postings.restrict(C.doc_tokens(spark, sf_dir), asked)
-    return cut(postings.postings(wanted, "doc_id")), asked
+    return cut(postings.restrict(C.doc_postings(spark, sf_dir), asked)), asked
 
 
 def benchmark_parts(spark, sf_dir, model: str = "tfidf", post=None):

@@ -34,7 +34,7 @@ def read_synonyms(spark: SparkSession, path: str, expand: bool = True) -> DataFr
         (F.col("line") != "") & ~F.col("line").startswith("#")
     )
     sides = F.split("line", "=>")
-    words = lambda c: F.transform(F.split(c, ","), F.trim)
+    words = lambda c: F.transform(F.split(c, ","), lambda w: F.trim(w))
     left = words(F.get(sides, 0))
     right = F.when(F.size(sides) > 1, words(F.get(sides, 1))).when(F.lit(expand), left).otherwise(F.slice(left, 1, 1))
     return lines.select(F.explode(left).alias("source"), right.alias("_r")).select(
