@@ -77,7 +77,7 @@ def term_rows(df: DataFrame, text: str, analyzer: Analyzer, length: str) -> Data
     rest = [c for c in df.columns if c != text]
     tokens = analyzer(F.col(text))
     tokens = F.flatten(tokens) if analyzer.stacked else tokens
-    rows = df.select(*rest, F.array_sort(F.filter(tokens, lambda t: t != "")).alias("_s"))
+    rows = df.select(*rest, F.sort_array(F.filter(tokens, lambda t: t != "")).alias("_s"))
     rows = rows.withColumn(length, F.size("_s").cast("bigint"))
     places = F.sequence(F.lit(0), F.size("_s") - 1)
     first = F.filter(places, lambda i: (i == 0) | (F.get("_s", i) != F.get("_s", i - 1)))
