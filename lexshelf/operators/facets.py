@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lexshelf.operators.postings import restrict, term_stats
+from lexshelf.session import cut, spread_join
 
 
 def facet_fields(index: DataFrame, fields: list[str], hits: DataFrame | None = None, key: str = "doc_id",
@@ -140,7 +141,9 @@ def field_stats(index: DataFrame, column: str, by: list[str] | None = None) -> D
 def term_counts(post: DataFrame, clauses: DataFrame, key: str) -> DataFrame:
     """For each query term and document: its frequency there, in all, and the documents holding it."""
     wanted = restrict(post, clauses)
-    return wanted.join(term_stats(wanted), "term").join(clauses, "term").select(
+    # one narrow row per clause, stored so that its size is known
+    asked = cut(clauses.join(term_stats(wanted), "term"))
+    return spread_join(wanted, asked, ["term"]).select(
         "query_id", "term", key, "tf", "df", "ttf"
     )
 

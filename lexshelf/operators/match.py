@@ -17,9 +17,9 @@ MAX_TERMS = 1024
 
 
 def match_terms(post: DataFrame, clauses: DataFrame) -> DataFrame:
-    """Every (query, document, term) that agrees."""
+    """Every (query, document, term) that agrees. A term's postings are dealt over several tasks."""
     keys = [c for c in ("field", "term") if c in post.columns and c in clauses.columns]
-    return post.join(clauses, keys)
+    return spread_join(post, clauses, keys)
 
 
 def boolean_match(matches: DataFrame, clauses: DataFrame, key: str, op: str = "AND") -> DataFrame:
@@ -28,7 +28,7 @@ def boolean_match(matches: DataFrame, clauses: DataFrame, key: str, op: str = "A
     if op.upper() == "OR":
         return found
     need = clauses.groupBy("query_id").agg(F.count_distinct("term").alias("_need"))
-    return found.join(need, "query_id").filter(F.col("n_terms") == F.col("_need")).drop("_need")
+    return spread_join(found, need, ["query_id"]).filter(F.col("n_terms") == F.col("_need")).drop("_need")
 
 
 def exclude(hits: DataFrame, post: DataFrame, unwanted: DataFrame, key: str) -> DataFrame:
@@ -58,7 +58,7 @@ def phrase_match(tokens: DataFrame, phrases: DataFrame, key: str) -> DataFrame:
         "query_id", key, (F.col("pos") - F.col("_offset")).cast("bigint").alias("start"), "_words"
     )
     expected = cut(
-        starts.join(phrases, "query_id").select(
+        spread_join(starts, phrases.select("query_id", "offset", "term"), ["query_id"]).select(
             "query_id", key, "start", "_words", (F.col("start") + F.col("offset")).alias("pos"), "term"
         )
     )
@@ -98,7 +98,7 @@ def expand_wildcards(stats: DataFrame, patterns: DataFrame, cap: int = MAX_TERMS
         .alias("_anchor"),
     )
     found = anchored.join(keyed, ["_end", "_n", "_anchor"]).filter(F.expr("_like IS NULL OR term LIKE _like"))
-    size = found.groupBy("query_id", "pattern").agg(F.count(F.lit(1)).alias("n_terms"))
+    size = cut(found.groupBy("query_id", "pattern").agg(F.count(F.lit(1)).alias("n_terms")))
     return found.join(size, ["query_id", "pattern"]).select(
         "query_id", "pattern", *stats.columns, "n_terms", (F.col("n_terms") > cap).alias("constant_score")
     )
@@ -156,11 +156,11 @@ def drill_down(index: DataFrame, selections: DataFrame, fields: list[str], sel:
         ).alias("_f"),
     ).select(*index.columns, F.col("_f.field").alias("field"), F.explode(F.array_distinct("_f.values")).alias("value"))
     key_columns = [F.col(c) for c in index.columns]
-    matched = values.join(parts, ["field", "value"])
+    matched = spread_join(values, parts, ["field", "value"])
     return (
-        matched.groupBy("query_id", *key_columns)
-        .agg(F.count_distinct("field").alias("_got"))
-        .join(need, "query_id")
+        spread_join(
+            matched.groupBy("query_id", *key_columns).agg(F.count_distinct("field").alias("_got")), need, ["query_id"]
+        )
         .filter(F.col("_got") == F.col("_need"))
         .drop("_got", "_need")
     )
@@ -247,7 +247,7 @@ def auto_phrases(words: DataFrame, word: str) -> DataFrame:
 def wildcard_match(post: DataFrame, stats: DataFrame, patterns: DataFrame, key: str, cap: int = MAX_TERMS) -> DataFrame:
     """Documents per pattern; score is the number of occurrences, or 1 when the pattern stands for too many terms."""
     found = expand_wildcards(stats, patterns, cap).select("query_id", "term", "constant_score")
-    return post.join(found, "term").groupBy("query_id", key).agg(
+    return spread_join(post, found, ["term"]).groupBy("query_id", key).agg(
         F.count(F.lit(1)).alias("n_terms"),
         F.when(F.bool_or("constant_score"), F.lit(1.0)).otherwise(F.sum("tf").cast("double")).alias("score"),
     )

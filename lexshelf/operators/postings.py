@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lexshelf.functions.analyzers import Analyzer, term_rows, token_rows
+from lexshelf.session import spread_join
 
 BLOCK = 4096
 GAP = 100
@@ -108,7 +109,7 @@ def terms(stats: DataFrame, prefix: str = "", sort: str = "count", limit: int =
 def term_vectors(post: DataFrame, key: str, docs: DataFrame | None = None) -> DataFrame:
     """Term vector rows of the wanted documents: tf, df and their quotient."""
     wanted = post if docs is None else post.join(docs.select(key).distinct(), key, "left_semi")
-    return wanted.join(term_stats(post), "term").select(
+    return spread_join(wanted, term_stats(post), ["term"]).select(
         key, "term", "tf", "df", (F.col("tf") / F.col("df")).alias("tf_idf")
     )
 

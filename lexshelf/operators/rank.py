@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lexshelf.operators.postings import restrict, term_stats
+from lexshelf.session import spread_join
 
 # row_number limits up to this are applied by Spark inside every map task before the shuffle
 GROUP_LIMIT = 1000
@@ -46,7 +47,8 @@ def explain_scores(post: DataFrame, weights: DataFrame, k1: float = 1.2, b: floa
         )
     else:
         value = F.sqrt("tf") * F.col("weight") / F.sqrt("len")
-    return post.join(weights, _keys(post, weights)).withColumn("value", value).drop("weight", "avg_len")
+    # a term may be in very many documents: its postings are dealt over several tasks
+    return spread_join(post, weights, _keys(post, weights)).withColumn("value", value).drop("weight", "avg_len")
 
 
 def score(parts: DataFrame, key: str) -> DataFrame:
@@ -61,7 +63,7 @@ def dismax(parts: DataFrame, key: str, weights: dict[str, float], clauses: DataF
     boost = F.element_at(F.create_map(*[F.lit(x) for kv in weights.items() for x in kv]), F.col("field"))
     best = parts.groupBy("query_id", key, "term").agg(F.max(F.col("value") * boost).alias("value"))
     need = clauses.groupBy("query_id").agg(F.ceil(F.count_distinct("term") * match).alias("_need"))
-    return score(best, key).join(need, "query_id").filter(F.col("n_terms") >= F.col("_need")).drop("_need")
+    return spread_join(score(best, key), need, ["query_id"]).filter(F.col("n_terms") >= F.col("_need")).drop("_need")
 
 
 def boost(hits: DataFrame, index: DataFrame, key: str, extra: Column) -> DataFrame:

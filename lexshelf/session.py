@@ -74,11 +74,11 @@ def spread_join(
 
 
 def spread(df: DataFrame, key: str) -> DataFrame:
-    """Deal a small scan out over all cores; a table that already gives every core a full split stays as it is."""
+    """Deal a small scan out over all cores; a table of more than an eighth of a full split per core stays as it is."""
     spark = df.sparkSession
     cores = spark.sparkContext.defaultParallelism
     split = spark.conf.get("spark.sql.files.maxPartitionBytes").lower()
     unit = {"k": 1 << 10, "m": 1 << 20, "g": 1 << 30}.get(split.rstrip("b")[-1:], 1)
     digits = "".join(c for c in split if c.isdigit())
     known = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    return df.repartition(cores, key) if known < cores * int(digits) * unit else df
+    return df.repartition(cores, key) if known < cores * int(digits) * unit // 8 else df

@@ -226,3 +226,16 @@ def test_cut_keeps_rows_and_types(spark):
     stored = cut(df)
     assert stored.schema.simpleString() == df.schema.simpleString()
     assert sorted(r.id for r in stored.collect()) == list(range(10))
+
+
+def test_one_term_in_every_document(spark):
+    """A term, a query and a phrase word shared by everything still give whole results."""
+    docs = spark.range(400).select(F.col("id").alias("doc_id"), F.concat(F.lit("hot w"), F.col("id").cast("string")).alias("text"))
+    post = postings.postings_of(docs, "doc_id", "text", LOWER)
+    asked = spark.createDataFrame([("q1", "hot"), ("q2", "hot"), ("q2", "w7")], "query_id string, term string")
+    found = match.match_terms(post, asked)
+    assert found.count() == 801
+    assert {(r.query_id, r.doc_id) for r in match.boolean_match(found, asked, "doc_id").collect()} == {("q1", i) for i in range(400)} | {("q2", 7)}
+    hits = rank.score(rank.explain_scores(post, rank.term_weights(post, asked, F.lit(400))), "doc_id")
+    assert hits.count() == 800
+    assert rank.top_k(hits, 1, "doc_id").filter("query_id = 'q2'").first().doc_id == 7
