@@ -6,10 +6,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lexshelf.functions import words as W
+from lexshelf.session import literal_table
 
 
 def default_rates(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(W.RATES, "from string, to string, rate double")
+    return literal_table(spark, W.RATES, "from string, to string, rate double")
 
 
 def all_rates(rates: DataFrame, base: str = "USD") -> DataFrame:

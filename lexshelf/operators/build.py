@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lexshelf.functions.text import html_escape, tok_standard
-from lexshelf.session import spread_join
+from lexshelf.session import literal_table, spread_join
 
 # Metadata never taken into the all-metadata index.
 NOT_INDEXED = ["Identifier", "classifytype", "assocfilepath"]
@@ -174,7 +174,7 @@ def field_map(sections: DataFrame) -> DataFrame:
         "field",
         F.concat("_code", F.when(F.col("_n") > 1, F.col("_n").cast("string")).otherwise("")).alias("short_name"),
     )
-    fixed = sections.sparkSession.createDataFrame([("allfields", "ZZ"), ("text", "TX")], "field string, short_name string")
+    fixed = literal_table(sections.sparkSession, [("allfields", "ZZ"), ("text", "TX")], "field string, short_name string")
     return coded.union(fixed)
 
 

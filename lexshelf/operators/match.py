@@ -86,7 +86,8 @@ def expand_wildcards(stats: DataFrame, patterns: DataFrame, cap: int = MAX_TERMS
     like = F.replace(F.replace(F.col("pattern"), F.lit("\\"), F.lit("\\\\")), F.lit("%"), F.lit("\\%"))
     like = F.translate(F.replace(like, F.lit("_"), F.lit("\\_")), "*?", "%_")
     plain = F.col("pattern") == F.when(F.col("_end"), F.concat(F.lit("*"), "_anchor")).otherwise(F.concat("_anchor", F.lit("*")))
-    keyed = keyed.withColumn("_like", F.when(~plain, like))
+    # stored: Spark then knows how few patterns there are when it plans the join
+    keyed = cut(keyed.withColumn("_like", F.when(~plain, like)))
     # the few (side, length) combinations the patterns use
     shapes = keyed.select(F.collect_set(F.struct("_end", "_n"))).scalar()
     anchored = stats.select("*", F.explode(shapes).alias("_shape")).select(

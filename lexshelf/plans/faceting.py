@@ -11,7 +11,7 @@ from lexshelf.plans import corpus as C
 from lexshelf.plans.corpus import query
 from lexshelf.plans.matching import benchmark_matches
 from lexshelf.plans.ranking import SQL_ROUNDED, benchmark_hits, benchmark_postings
-from lexshelf.session import cut
+from lexshelf.session import cut, literal_table
 
 
 @query(
@@ -191,6 +191,6 @@ def term_offsets(spark, sf_dir):
     WHERE term IN ({", ".join("'" + w + "'" for w in W.STOP_EN)})""",
 )
 def query_stop_words(spark, sf_dir):
-    listed = spark.createDataFrame([(w,) for w in W.STOP_EN], "word string")
+    listed = literal_table(spark, [(w,) for w in W.STOP_EN], "word string")
     items = C.table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("query_id"), "text")
     return facets.query_stop_words(query_rows(items, "text", C.GENERAL), listed)

@@ -12,7 +12,7 @@ from lexshelf.functions.analyzers import Analyzer, analyzer, token_rows
 from lexshelf.operators import match, postings, rank
 from lexshelf.plans import corpus as C
 from lexshelf.plans.corpus import query
-from lexshelf.session import cut
+from lexshelf.session import cut, literal_table
 
 LOWER = Analyzer("lower", T.tok_standard, (), (("term", F.lower),))
 
@@ -117,7 +117,7 @@ SQL_PATTERNS = "pats AS (SELECT unnest([" + ", ".join(f"'{p}'" for p in PATTERNS
 
 
 def pattern_table(spark):
-    return spark.createDataFrame([(p, p) for p in PATTERNS], "query_id string, pattern string")
+    return literal_table(spark, [(p, p) for p in PATTERNS], "query_id string, pattern string")
 
 
 @query(
@@ -190,7 +190,7 @@ SELECTIONS = [
     UNION ALL SELECT 'q3', p_partkey FROM part WHERE p_type IN ('STANDARD', 'SMALL') AND p_brand = 'Brand#1' AND p_size = 10""",
 )
 def drill_down(spark, sf_dir):
-    asked = spark.createDataFrame(SELECTIONS, "query_id string, selections string")
+    asked = literal_table(spark, SELECTIONS, "query_id string, selections string")
     parts = C.table(spark, sf_dir, "part").select("p_partkey", "p_brand", "p_type", "p_size")
     return match.drill_down(parts, asked, ["p_brand", "p_type", "p_size"]).select("query_id", "p_partkey")
 

@@ -82,3 +82,10 @@ def spread(df: DataFrame, key: str) -> DataFrame:
     digits = "".join(c for c in split if c.isdigit())
     known = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
     return df.repartition(cores, key) if known < cores * int(digits) * unit // 8 else df
+
+
+def literal_table(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
+    """A short fixed table written into the plan, so that Spark sees how small it is."""
+    fields = [column.split() for column in schema.split(", ")]
+    structs = [F.struct(*[F.lit(v).cast(kind).alias(name) for v, (name, kind) in zip(row, fields)]) for row in rows]
+    return spark.range(1).select(F.inline(F.array(*structs)))
