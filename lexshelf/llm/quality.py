@@ -17,8 +17,10 @@ from pyspark.sql import functions as F
 
 WINDOW = 8
 ROUNDS = 30
-#: Accuracy that each rule starts with, and as many votes of that accuracy as are added to the counted ones.
-GOOD_RIGHT, BAD_RIGHT, PRIOR_GOOD, PRIOR_VOTES = 0.95, 0.4, 0.8, 5.0
+#: Accuracies that each rule starts with about good and bad documents, and the first share of good ones. The belief that a
+#: good document seldom gets a bad vote weighs as much as all votes counted; the other two as much as PRIOR_VOTES votes. Else the
+#: two classes would be the two largest kinds of document, and a kind of bad one that most rules miss would count as good.
+GOOD_RIGHT, BAD_RIGHT, PRIOR_GOOD, PRIOR_VOTES = 0.995, 0.3, 0.85, 5.0
 
 SPACE = " \t\n\x0b\f\r"
 SPACES = "[ \\t-\\r]+"
@@ -41,12 +43,12 @@ def rules() -> dict[str, tuple[Column, Column]]:
     capitals = F.col("n_capitals") / F.greatest(F.col("n_letters"), F.lit(1))
     marks, frequent = F.col("n_marks") / n, F.col("n_frequent") / n
     return {
-        "few symbols": (symbols > 0.2, symbols <= 0.05),
+        "few symbols": (symbols > 0.15, symbols <= 0.05),
         "usual word length": ((chars < 2.5) | (chars > 9), (chars >= 3.5) & (chars <= 6.6)),
-        "lines differ": (lines > 0.3, lines <= 0.1),
-        "stretches differ": (repeats > 0.2, repeats <= 0.05),
-        "words vary": (variety < 2.5, variety >= 4),
-        "mostly letters": (letters < 0.75, letters >= 0.9),
+        "lines differ": (lines > 0.5, lines <= 0.3),
+        "stretches differ": (repeats > 0.3, repeats <= 0.1),
+        "words vary": (variety < 1.5, variety >= 3),
+        "mostly letters": (letters < 0.88, letters >= 0.93),
         "few capitals": (capitals > 0.4, capitals <= 0.15),
         "marks end sentences": (marks > 0.8, (marks > 0.01) & (marks <= 0.35)),
         "function words": (F.lit(False), frequent >= 0.08),
@@ -133,21 +135,23 @@ def estimated(patterns: Column, n_rules: int, rounds: int = ROUNDS) -> Column:
         judged = F.transform(patterns, lambda p: F.struct(p["cast"].alias("cast"), p["n"].alias("n"), posterior(p["cast"], weights).alias("r")))
 
         def maximised(judged: Column) -> Column:
-            def right(j: Column, good: bool, prior: float) -> Column:
+            def right(j: Column, good: bool) -> Column:
                 part = lambda p: p["n"] * (p["r"] if good else 1 - p["r"])
                 count = lambda want: F.aggregate(
                     judged, F.lit(0.0), lambda s, p: s + F.when(want(F.get(p["cast"], j)), part(p)).otherwise(0.0)
                 )
                 hits = count(lambda v: F.coalesce(v == F.lit(good), F.lit(False)))
-                return (hits + PRIOR_VOTES * prior) / (count(lambda v: v.isNotNull()) + PRIOR_VOTES)
+                votes = count(lambda v: v.isNotNull())
+                added = PRIOR_VOTES + votes if good else F.lit(PRIOR_VOTES)
+                return (hits + added * (GOOD_RIGHT if good else BAD_RIGHT)) / (votes + added)
 
             all_n = F.aggregate(judged, F.lit(0.0), lambda s, p: s + p["n"])
             good_n = F.aggregate(judged, F.lit(0.0), lambda s, p: s + p["n"] * p["r"])
             share = (good_n + PRIOR_VOTES * PRIOR_GOOD) / (all_n + PRIOR_VOTES)
             accuracies = F.struct(
                 share.alias("share"),
-                F.transform(each, lambda j: right(j, True, GOOD_RIGHT)).alias("good"),
-                F.transform(each, lambda j: right(j, False, BAD_RIGHT)).alias("bad"),
+                F.transform(each, lambda j: right(j, True)).alias("good"),
+                F.transform(each, lambda j: right(j, False)).alias("bad"),
             )
             return F.get(F.transform(F.array(accuracies), lambda a: _weights(a["share"], a["good"], a["bad"])), 0)
 

@@ -57,7 +57,8 @@ def plain_em(patterns, rounds):
         new = []
         for j in range(n_rules):
             voted = [(cast[j], n, p) for (cast, n), p in zip(patterns, r) if cast[j] is not None]
-            g = (sum(n * p for v, n, p in voted if v) + k * quality.GOOD_RIGHT) / (sum(n * p for v, n, p in voted) + k)
+            sure = sum(n * p for v, n, p in voted)
+            g = (sum(n * p for v, n, p in voted if v) + (k + sure) * quality.GOOD_RIGHT) / (2 * sure + k)
             b = (sum(n * (1 - p) for v, n, p in voted if not v) + k * quality.BAD_RIGHT) / (sum(n * (1 - p) for v, n, p in voted) + k)
             new.append((g, b))
         share = (sum(n * p for (_, n), p in zip(patterns, r)) + k * quality.PRIOR_GOOD) / (sum(n for _, n in patterns) + k)
