@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexshelf.llm import bpe, quality, simhash, substrings
+from lexshelf.llm import bpe, decontaminate, quality, simhash, substrings
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -43,6 +43,12 @@ def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *base, "kept", "quality")
 
 
+@query
+def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(doc_id, item_id, start, end, edits) of every benchmark passage in a document."""
+    return decontaminate.passages(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 @query
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
