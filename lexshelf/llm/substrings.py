@@ -298,7 +298,7 @@ def repeated_windows(docs: DataFrame, length: int = LENGTH, hot: int = HOT) -> D
     return judged.where("key is null").select("doc", "off", "n").union(compared.select("doc", "off", "n"))
 
 
-def _remove(length: int):
+def _remove(length: int, as_text: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unzip = zstandard.ZstdDecompressor()
         for batch in batches:
@@ -319,21 +319,31 @@ def _remove(length: int):
                 kept.append(b"".join(text[a:b] for a, b in zip([0, *ends], [*starts, len(text)], strict=True)))
             rest = [c for c in batch.schema.names if c not in ("packed", "marks", "doc")]
             spans_type = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
-            columns = [*(batch.column(c) for c in rest), pa.array(kept, pa.binary()), pa.array(spans, spans_type), pa.array(sizes, pa.int64())]
+            stay = pa.array([k.decode(errors="ignore") for k in kept], pa.string()) if as_text else pa.array(kept, pa.binary())
+            columns = [*(batch.column(c) for c in rest), stay, pa.array(spans, spans_type), pa.array(sizes, pa.int64())]
             yield pa.RecordBatch.from_arrays(columns, [*rest, "kept", "removed", "n_bytes"])
 
     return run
 
 
-def remove_repeats(docs: DataFrame, length: int = LENGTH, hot: int = HOT) -> DataFrame:
+def remove_repeats(docs: DataFrame, length: int = LENGTH, hot: int = HOT, as_text: bool = False) -> DataFrame:
     """``docs`` without text, and kept (bytes that stay, binary), removed (maximal runs start, end) and n_bytes.
 
     Every byte under a ``length``-byte string that also starts earlier (smaller doc_id, or the same document) goes.
+    With ``as_text`` kept is a string: a character of which only some bytes stay goes as well.
     """
     found = repeated_windows(docs, length, hot)
     marks = found.groupBy("doc").agg(F.collect_list(F.struct("off", "n")).alias("marks"))
     named = docs.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(docs.columns) if c != "text"], F.col("text").cast("string").alias("text"), F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc"))
     joined = _packed(named).join(marks, "doc", "left")
     rest = [(f"c{i}", f) for i, f in enumerate(docs.schema.fields) if f.name != "text"]
-    schema = ", ".join([*(f"{c} {f.dataType.simpleString()}" for c, f in rest), "kept binary", "removed array<struct<start:long,end:long>>", "n_bytes long"])
-    return joined.mapInArrow(_remove(length), schema).withColumnsRenamed({c: f.name for c, f in rest})
+    schema = ", ".join([*(f"{c} {f.dataType.simpleString()}" for c, f in rest), f"kept {'string' if as_text else 'binary'}", "removed array<struct<start:long,end:long>>", "n_bytes long"])
+    return joined.mapInArrow(_remove(length, as_text), schema).withColumnsRenamed({c: f.name for c, f in rest})
+
+
+def shortened(docs: DataFrame, length: int = LENGTH) -> DataFrame:
+    """``docs`` with the text that stays, and its number of characters where there is a column n_chars. No row goes."""
+    plain = docs.select(*[F.col(f"`{c}`").alias(c if c in ("doc_id", "text") else f"x{i}") for i, c in enumerate(docs.columns)])
+    found = remove_repeats(plain, length, as_text=True)
+    values = {"text": F.col("kept"), "n_chars": F.length("kept").cast("long"), "doc_id": F.col("doc_id")}
+    return found.select(*[values.get(c, F.col(f"x{i}")).alias(c) for i, c in enumerate(docs.columns)])

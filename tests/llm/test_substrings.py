@@ -64,7 +64,8 @@ def test_blocks_of_one_long_text(spark):
 
 
 def test_odd_rows(spark):
-    text = "".join(random.Random(1).choice("abcdefgh ") for _ in range(150))
+    rng = random.Random(1)
+    text = "".join(rng.choice("abcdefgh ") for _ in range(150))
     rows = [(None, text, 1), (1, text, 2), (1, text, 3), (2, None, 4)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, kept int")
     got = substrings.remove_repeats(docs).toDF("doc_id", "extra", "kept", "removed", "n_bytes").collect()
