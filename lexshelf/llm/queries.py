@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexshelf.llm import bpe, decontaminate, quality, simhash, substrings
+from lexshelf.llm import bpe, decontaminate, licenses, quality, simhash, substrings
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -36,6 +36,11 @@ def op2_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op4_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents")).drop("blocks")
+
+
 @query
 def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = quality.judged(table(spark, sf_dir, "documents").select("doc_id", "text"))
