@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexshelf.llm import bpe, decontaminate, licenses, quality, simhash, substrings
+from lexshelf.llm import bpe, decontaminate, language, licenses, pages, quality, simhash, substrings
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -24,6 +24,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query
+def op1_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pages.extracted(table(spark, sf_dir, "pages"))
+    return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 @query
 def op2_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = substrings.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
@@ -48,6 +54,11 @@ def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *base, "kept", "quality")
 
 
+@query
+def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.identify(table(spark, sf_dir, "documents"))
+
+
 @query
 def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(doc_id, item_id, start, end, edits) of every benchmark passage in a document."""
