@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexshelf.llm import bpe, decontaminate, language, licenses, pages, quality, simhash, substrings
+from lexshelf.llm import bpe, decontaminate, language, licenses, lmscore, pages, quality, simhash, substrings
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -42,6 +42,13 @@ def op2_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op3_context_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = lmscore.scored(table(spark, sf_dir, "documents"), language.held_out(F.col("doc_id"), 7))
+    bits = F.when(F.col("n_bytes") > 0, -F.col("score") * F.log2(F.lit(10.0)) / F.col("n_bytes"))
+    return found.select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score", bits.alias("bits_per_byte"))
+
+
 @query
 def op4_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(table(spark, sf_dir, "documents")).drop("blocks")
