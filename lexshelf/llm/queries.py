@@ -8,7 +8,18 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexshelf.llm import bpe, decontaminate, language, licenses, lmscore, pages, quality, simhash, substrings
+from lexshelf.llm import (
+    bpe,
+    decontaminate,
+    language,
+    licenses,
+    lmscore,
+    packing,
+    pages,
+    quality,
+    simhash,
+    substrings,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -88,3 +99,8 @@ def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2("ids", 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
     )
+
+
+@query
+def op10_packed_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.packed(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
