@@ -130,7 +130,8 @@ LANGUAGE_STEPS = {
     "th": "lower stop",
     "tr": "lower:tr stop-case",
 }
-STOP_LISTS = {"en": W.STOP_EN, "fr": W.STOP_FR}
+#: The general list is empty as delivered; other languages have to be given theirs.
+STOP_LISTS = {"": [], "en": W.STOP_EN, "fr": W.STOP_FR}
 PRESETS = [
     "text_ws", "text_general", "text_en", "text_en_splitting", "text_en_splitting_tight", "text_general_rev",
     "lowercase", "alphaOnlySort", "text_cjk", *(f"text_{lang}" for lang in LANGUAGE_STEPS),
@@ -145,12 +146,17 @@ def analyzer(
     rewrites: list | None = None,
     groups: list | None = None,
 ) -> Analyzer:
-    """A preset chain; ``query`` gives the query-time variant, ``stop_words`` overrides the list."""
+    """A preset chain; ``query`` gives the query-time variant, ``stop_words`` overrides the list.
+
+    A chain that removes stop words of a language without a built-in list fails unless it is given one.
+    """
     html, lower = (T.html_strip,), ("term", F.lower)
     lists: Mapping[str, list[str]] = STOP_LISTS
 
     def stops(lang: str, ignore_case: bool = True) -> tuple:
-        listed = lists.get(lang, []) if stop_words is None else list(stop_words)
+        if stop_words is None and lang not in lists:
+            raise ValueError(f"{preset} removes stop words: give its list as stop_words")
+        listed = lists[lang] if stop_words is None else list(stop_words)
         return ("term", T.stop(listed, ignore_case))
 
     def synonyms(expand: bool = True) -> tuple:
@@ -171,15 +177,15 @@ def analyzer(
     if preset == "text_en_splitting":
         if query:
             steps = (
-                stops("en"), ("slots", _delimit_after_synonyms(T.synonyms(rewrites, groups), T.word_delimiter(catenate=False))),
+                ("slots", T.synonyms(rewrites, groups)), stops("en"), ("slots", _delimit_slots(T.word_delimiter(catenate=False))),
                 lower, stem,
             )
             return Analyzer(preset, T.tok_whitespace, (), steps)
         return Analyzer(preset, T.tok_whitespace, html, (stops("en"), ("slots", T.word_delimiter()), lower, stem))
     if preset == "text_en_splitting_tight":
         steps = (
-            ("slots", _delimit_after_synonyms(T.synonyms(rewrites, groups, False), T.word_delimiter(generate_parts=False))),
-            lower, stops("en"), stem, ("slots", T.dedupe_tokens),
+            ("slots", T.synonyms(rewrites, groups, False)), stops("en"), ("slots", _delimit_slots(T.word_delimiter(generate_parts=False))),
+            lower, stem, ("slots", T.dedupe_tokens),
         )
         return Analyzer(preset, T.tok_whitespace, html, steps)
     if preset == "lowercase":
@@ -213,15 +219,16 @@ def analyzer(
     return Analyzer(preset, T.tok_standard, before, tuple(steps))
 
 
-def _delimit_after_synonyms(spread: Callable, delimit: Callable) -> Callable:
-    """Word parts of tokens that may already be replaced by synonyms at their position."""
+def _delimit_slots(delimit: Callable) -> Callable:
+    """Word parts of the terms of every position; parts of several terms at a position share its positions in turn."""
 
-    def apply(tokens: Column) -> Column:
-        return F.flatten(
-            F.transform(
-                spread(tokens),
-                lambda slot: F.when(F.size(slot) == 1, delimit(slot)).otherwise(F.array(slot)),
-            )
+    def parts(slot: Column) -> Column:
+        each = F.transform(slot, lambda t: delimit(F.array(t)))
+        width = F.array_max(F.transform(each, F.size))
+        merged = F.transform(
+            F.sequence(F.lit(0), width - 1),
+            lambda i: F.flatten(F.transform(each, lambda p: F.coalesce(F.get(p, i), F.array().cast("array<string>")))),
         )
+        return F.when(F.size(slot) == 0, F.array(slot)).otherwise(merged)
 
-    return apply
+    return lambda slots: F.flatten(F.transform(slots, parts))

@@ -340,9 +340,14 @@ def cjk_bigrams(tokens: Column) -> Column:
     return F.flatten(F.transform(F.array_compact(tokens), slots_of))
 
 
+#: Stands before a reversed term, so that it never equals or starts like a plain one.
+REVERSED = "\u0001"
+
+
 def reverse_terms(tokens: Column) -> Column:
-    """Each term and its reverse at one position, so that a leading wildcard is a prefix."""
-    return F.transform(tokens, lambda t: F.when(t.isNotNull(), F.array(t, F.reverse(t))).otherwise(F.array().cast("array<string>")))
+    """Each term and its marked reverse at one position, so that a leading wildcard is a prefix."""
+    both = lambda t: F.array(t, F.concat(F.lit(REVERSED), F.reverse(t)))
+    return F.transform(tokens, lambda t: F.when(t.isNotNull(), both(t)).otherwise(F.array().cast("array<string>")))
 
 
 def dedupe_tokens(slots: Column) -> Column:

@@ -60,15 +60,6 @@ HYPHENATIONS_GA = "h n t".split()
 # Dutch stems that override the stemmer.
 STEMS_NL = {"fiets": "fiets", "bromfiets": "bromfiets", "ei": "eier", "kind": "kinder"}
 
-# Editorial elevation rules (query, document, excluded).
-ELEVATIONS = [
-    ("foo bar", "1", False),
-    ("foo bar", "2", False),
-    ("foo bar", "3", False),
-    ("ipod", "MA147LL/A", False),
-    ("ipod", "IW-02", True),
-]
-
 # Exchange rates (from, to, rate).
 RATES = [
     ("USD", "ARS", 4.333871), ("USD", "AUD", 1.025768), ("USD", "EUR", 0.743676), ("USD", "BRL", 1.881093),

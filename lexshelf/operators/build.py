@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lexshelf.functions.text import html_escape, tok_standard
@@ -156,26 +156,35 @@ def all_metadata(sections: DataFrame, specified: list[str] = ()) -> DataFrame:
     )
 
 
-def field_map(sections: DataFrame) -> DataFrame:
-    """Field name -> short name over the whole collection.
-
-    A two-letter code; fields sharing one are numbered in the order of their names.
+def field_map(spark: SparkSession, spec: str, sections: DataFrame | None = None) -> DataFrame:
+    """Field name -> short name: the fields of the index spec as ``project_fields`` names its columns, in their order,
+    then every other metadata name of the collection, in the order of the names, by the same rule.
     """
+    taken: dict[str, str] = {}
+    listed = [f.removeprefix("top") for f in spec.split(";") if f not in ("allfields", "metadata")]
+    for field in listed:
+        short_name(field, taken)
+    rows = [("allfields", "ZZ"), *((field, taken[field]) for field in dict.fromkeys(listed))]
+    if "text" not in taken:
+        rows.append(("text", "TX"))
+    fixed = literal_table(spark, rows, "field string, short_name string")
+    if sections is None:
+        return fixed
     names = (
         sections.select(F.explode(F.map_keys("meta")).alias("field"))
         .distinct()
-        .filter(~F.col("field").isin(NOT_INDEXED) & ~F.col("field").startswith("gsdl"))
+        .filter(~F.col("field").isin([*NOT_INDEXED, *taken]) & ~F.col("field").startswith("gsdl"))
     )
-    code = F.upper(F.left(F.substring_index("field", ".", -1), F.lit(2)))
-    place = F.row_number().over(Window.partitionBy("_code").orderBy("field")) + F.when(
-        F.col("_code").isin("ZZ", "TX"), 1
-    ).otherwise(0)
-    coded = names.withColumn("_code", code).withColumn("_n", place).select(
+    used = {}
+    for code in ["ZZ", "TX", *taken.values()]:
+        used[code[:2]] = max(used.get(code[:2], 0), int(code[2:] or 1))
+    ahead = F.create_map(*[F.lit(x) for pair in used.items() for x in pair])
+    place = F.row_number().over(Window.partitionBy("_code").orderBy("field")) + F.coalesce(F.try_element_at(ahead, F.col("_code")), F.lit(0))
+    coded = names.withColumn("_code", F.upper(F.left(F.substring_index("field", ".", -1), F.lit(2)))).withColumn("_n", place).select(
         "field",
         F.concat("_code", F.when(F.col("_n") > 1, F.col("_n").cast("string")).otherwise("")).alias("short_name"),
     )
-    fixed = literal_table(sections.sparkSession, [("allfields", "ZZ"), ("text", "TX")], "field string, short_name string")
-    return coded.union(fixed)
+    return fixed.union(coded)
 
 
 def sort_facet_fields(
@@ -244,20 +253,28 @@ def build_doc_index(sections: DataFrame, spec: str, mode: str | None = None) ->
 
 
 def ingest_stats(sections: DataFrame, processed: DataFrame, value: str = "value") -> DataFrame:
-    """Documents, sections, bytes read and bytes written to the index."""
+    """Documents, sections and bytes read, and bytes written to the index.
+
+    ``sections`` are all sections of indexed documents, also those that are not indexed themselves.
+    """
     raw = sections.agg(
         F.count_if(F.col("sec_no") == 1).alias("docs"),
         F.count(F.lit(1)).alias("sections"),
-        F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("bytes"),
+        F.coalesce(F.sum(F.when(F.col("indexed"), F.octet_length("text"))), F.lit(0)).alias("bytes"),
     )
     done = processed.agg(F.coalesce(F.sum(F.octet_length(value)), F.lit(0)).alias("processed_bytes"))
     return raw.withColumn("processed_bytes", done.scalar())
 
 
 def latest(changes: DataFrame, key: str, seq: str) -> DataFrame:
-    """The last change of each key. The winner is found by aggregation, so a key may change very often."""
-    last = changes.groupBy(key).agg(F.max(seq).alias(seq))
-    return changes.join(last, [key, seq], "left_semi")
+    """The last change of each key; of several with the same number, the one of greatest hash. One row per key.
+
+    The winner is found by aggregation, so a key may change very often; of equal rows one is kept.
+    """
+    hashed = changes.withColumn("_hash", F.xxhash64(*[F.to_json(F.struct(F.col(c))) for c in changes.columns]))
+    last = hashed.groupBy(key).agg(F.max(F.struct(seq, "_hash")).alias("_last"))
+    last = last.select(key, F.col(f"_last.{seq}").alias(seq), "_last._hash")
+    return hashed.join(last, [key, seq, "_hash"], "left_semi").drop("_hash").dropDuplicates([key])
 
 
 def apply_changes(target: DataFrame, changes: DataFrame, key: str = "docOID", doc: str = "doc_oid", seq: str = "seq") -> DataFrame:

@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from datetime import date
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from lexshelf.functions.dates import LEAST_SECONDS, add_units, moment, parse_step
 from lexshelf.operators.postings import restrict, term_stats
 from lexshelf.session import cut, spread_join
 
@@ -71,24 +71,28 @@ def _fill(counts: DataFrame, last: int, mincount: int) -> DataFrame:
     return slots.join(counts, "bucket", "left").select("bucket", F.coalesce("_count", F.lit(0)).alias("count"))
 
 
-def facet_date(index: DataFrame, column: str, start: str, end: str, gap_months: int, mincount: int = 0) -> DataFrame:
-    """Counts per calendar step of ``gap_months`` from day ``start`` to day ``end`` (not included).
+def facet_date(index: DataFrame, column: str, start: str, end: str, gap: str, now: str | None = None, mincount: int = 0) -> DataFrame:
+    """Counts per calendar step from ``start`` to ``end`` (not included), with the rows before and after.
 
-    The last step runs its whole length, as the numeric ranges do.
+    ``start`` and ``end`` are timestamps, or NOW with date math (``NOW/YEAR-10YEARS``); ``gap`` is a step such as ``+1MONTH``
+    or ``+2DAYS``. Edges are laid out first, each from ``start``, and rows compared with them, so the end of a short month
+    falls where its edge says. The last step runs its whole length, as the numeric ranges do.
     """
-    first, until = date.fromisoformat(start), date.fromisoformat(end)
-    months = (until.year - first.year) * 12 + until.month - first.month + (until.day > first.day)
-    last = -(-months // gap_months) - 1
-    c, low = F.col(column), F.lit(first)
-    past = F.add_months(low, (last + 1) * gap_months).cast("timestamp")
-    step = F.floor(F.months_between(F.date_trunc("day", c), low.cast("timestamp")) / gap_months)
-    bucket = F.when(c < low.cast("timestamp"), F.lit(-1)).when(c >= past, F.lit(last + 1)).otherwise(step).cast("int")
-    counts = index.filter(c.isNotNull()).groupBy(bucket.alias("bucket")).agg(F.count(F.lit(1)).alias("_count"))
+    spark = index.sparkSession
+    low, until = (moment(spark, text, now) for text in (start, end))
+    number, unit = parse_step(gap)
+    rough = max(1, (until - low).total_seconds() / (number * LEAST_SECONDS[unit]))
+    steps = spark.range(int(rough) + 2).select(F.col("id").cast("int").alias("bucket"))
+    edges = steps.select("bucket", add_units(F.lit(low).cast("timestamp"), F.col("bucket") * number, unit).alias("low"))
+    lows = [r.low for r in edges.orderBy("bucket").collect()]
+    last = next(i for i, edge in enumerate(lows) if edge >= until) - 1
+    edges = F.array(*[F.lit(edge) for edge in lows[: last + 2]])
+    c = F.col(column).cast("timestamp")
+    bucket = F.size(F.filter(edges, lambda edge: edge <= c)) - 1
+    counts = index.filter(c.isNotNull()).groupBy(bucket.cast("int").alias("bucket")).agg(F.count(F.lit(1)).alias("_count"))
     return _fill(counts, last, mincount).select(
         F.when(F.col("bucket") < 0, "before").when(F.col("bucket") > last, "after").otherwise("range").alias("part"),
-        F.when(
-            F.col("bucket").between(0, last), F.add_months(low, F.col("bucket") * gap_months).cast("timestamp")
-        ).alias("low"),
+        F.when(F.col("bucket").between(0, last), F.get(edges, F.col("bucket"))).alias("low"),
         "count",
     )
 

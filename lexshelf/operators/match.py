@@ -13,8 +13,6 @@ from lexshelf.functions.text import word_parts
 from lexshelf.operators.postings import restrict
 from lexshelf.session import cut, spread_join
 
-MAX_TERMS = 1024
-
 
 def match_terms(post: DataFrame, clauses: DataFrame) -> DataFrame:
     """Every (query, document, term) that agrees. A term's postings are dealt over several tasks."""
@@ -23,8 +21,8 @@ def match_terms(post: DataFrame, clauses: DataFrame) -> DataFrame:
 
 
 def boolean_match(matches: DataFrame, clauses: DataFrame, key: str, op: str = "AND") -> DataFrame:
-    """Documents that hold all (AND) or any (OR) of a query's terms."""
-    found = matches.groupBy("query_id", key).agg(F.count_distinct("term").alias("n_terms"))
+    """Documents that hold all (AND) or any (OR) of a query's terms; ``matches`` has one row per query, document and term."""
+    found = matches.groupBy("query_id", key).agg(F.count(F.lit(1)).alias("n_terms"))
     if op.upper() == "OR":
         return found
     need = clauses.groupBy("query_id").agg(F.count_distinct("term").alias("_need"))
@@ -71,11 +69,11 @@ def phrase_match(tokens: DataFrame, phrases: DataFrame, key: str) -> DataFrame:
     )
 
 
-def expand_wildcards(stats: DataFrame, patterns: DataFrame, cap: int = MAX_TERMS) -> DataFrame:
+def expand_wildcards(stats: DataFrame, patterns: DataFrame) -> DataFrame:
     """Index terms each ``(query_id, pattern)`` stands for; ``*`` any run, ``?`` one character.
 
-    Joined on the pattern's literal start or end, whichever is longer, then checked in full. All
-    terms are kept; above ``cap`` terms a pattern is marked to score 1 per document.
+    Joined on the pattern's literal start or end, whichever is longer, then checked in full. All terms are kept.
+    What is found is stored before it is counted, so ``stats`` is read once.
     """
     star = F.regexp_replace(F.col("pattern"), r"[*?].*$", "")
     tail = F.regexp_replace(F.col("pattern"), r"^.*[*?]", "")
@@ -99,10 +97,9 @@ def expand_wildcards(stats: DataFrame, patterns: DataFrame, cap: int = MAX_TERMS
         .alias("_anchor"),
     )
     found = anchored.join(keyed, ["_end", "_n", "_anchor"]).filter(F.expr("_like IS NULL OR term LIKE _like"))
+    found = cut(found.select("query_id", "pattern", *stats.columns))
     size = cut(found.groupBy("query_id", "pattern").agg(F.count(F.lit(1)).alias("n_terms")))
-    return found.join(size, ["query_id", "pattern"]).select(
-        "query_id", "pattern", *stats.columns, "n_terms", (F.col("n_terms") > cap).alias("constant_score")
-    )
+    return found.join(size, ["query_id", "pattern"]).select("query_id", "pattern", *stats.columns, "n_terms")
 
 
 def match_all(index: DataFrame, key: str) -> DataFrame:
@@ -123,15 +120,16 @@ def range_filter(
 
 
 def doc_filter(hits: DataFrame, key: str, prefix: str) -> DataFrame:
-    """Only the sections of one document (keys that start with ``prefix``)."""
-    return hits.filter(F.col(key).startswith(prefix))
+    """Only one document and its sections: the key itself, and keys that go on after it with a full stop."""
+    return hits.filter((F.col(key) == prefix) | F.col(key).startswith(prefix + "."))
 
 
-def drill_down(index: DataFrame, selections: DataFrame, fields: list[str], sel: str = "selections") -> DataFrame:
+def drill_down(index: DataFrame, selections: DataFrame, key: str, fields: list[str], sel: str = "selections") -> DataFrame:
     """Documents per query that fit its chosen facet values: OR within a field, AND across fields.
 
     ``selections`` is ``(query_id, selections)`` with a JSON list of URL-encoded ``field:value``.
-    Elements without a colon are skipped. Joined field by field, so a list may be long.
+    Elements without a colon are skipped. Joined field by field, so a list may be long. Gives (query_id, key): fields are
+    joined to that where they are wanted.
     """
     parts = (
         selections.select("query_id", F.explode(F.from_json(sel, "array<string>")).alias("_e"))
@@ -146,7 +144,7 @@ def drill_down(index: DataFrame, selections: DataFrame, fields: list[str], sel:
     )
     need = parts.groupBy("query_id").agg(F.count_distinct("field").alias("_need"))
     values = index.select(
-        "*",
+        key,
         F.explode(
             F.array(
                 *[
@@ -155,12 +153,11 @@ def drill_down(index: DataFrame, selections: DataFrame, fields: list[str], sel:
                 ]
             )
         ).alias("_f"),
-    ).select(*index.columns, F.col("_f.field").alias("field"), F.explode(F.array_distinct("_f.values")).alias("value"))
-    key_columns = [F.col(c) for c in index.columns]
+    ).select(key, F.col("_f.field").alias("field"), F.explode(F.array_distinct("_f.values")).alias("value"))
     matched = spread_join(values, parts, ["field", "value"])
     return (
         spread_join(
-            matched.groupBy("query_id", *key_columns).agg(F.count_distinct("field").alias("_got")), need, ["query_id"]
+            matched.groupBy("query_id", key).agg(F.count_distinct("field").alias("_got")), need, ["query_id"]
         )
         .filter(F.col("_got") == F.col("_need"))
         .drop("_got", "_need")
@@ -192,7 +189,11 @@ def with_filters(index: DataFrame, predicates: list[Column]) -> DataFrame:
 
 
 def fetch_fields(hits: DataFrame, index: DataFrame, key: str, fields: list[str]) -> DataFrame:
-    """Stored fields of the hits; call it after top-k so that only their rows are looked up."""
+    """Stored fields of the hits; call it after top-k so that only their rows are looked up.
+
+    The hits are stored first: Spark then sees how few they are, and moves them rather than the index.
+    """
+    hits = cut(hits)
     wanted = [f for f in fields if f not in (key, "score")]
     return hits.join(index.select(key, *wanted), key).select(
         "query_id", *[f for f in (key, "score") if f in hits.columns], *wanted
@@ -245,10 +246,9 @@ def auto_phrases(words: DataFrame, word: str) -> DataFrame:
     )
 
 
-def wildcard_match(post: DataFrame, stats: DataFrame, patterns: DataFrame, key: str, cap: int = MAX_TERMS) -> DataFrame:
-    """Documents per pattern; score is the number of occurrences, or 1 when the pattern stands for too many terms."""
-    found = expand_wildcards(stats, patterns, cap).select("query_id", "term", "constant_score")
+def wildcard_match(post: DataFrame, stats: DataFrame, patterns: DataFrame, key: str) -> DataFrame:
+    """Documents per pattern; each scores 1, whatever the number of terms the pattern stands for."""
+    found = expand_wildcards(stats, patterns).select("query_id", "term")
     return spread_join(post, found, ["term"]).groupBy("query_id", key).agg(
-        F.count(F.lit(1)).alias("n_terms"),
-        F.when(F.bool_or("constant_score"), F.lit(1.0)).otherwise(F.sum("tf").cast("double")).alias("score"),
+        F.count(F.lit(1)).alias("n_terms"), F.lit(1.0).alias("score")
     )

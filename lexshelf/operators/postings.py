@@ -68,9 +68,14 @@ def postings_of(df: DataFrame, key: str, text: str, analyzer: Analyzer) -> DataF
 
 
 def postings(tokens: DataFrame, key: str) -> DataFrame:
-    """Term frequency per document, for documents whose tokens come from several rows."""
-    keys = [c for c in ("field", key, "len", "term") if c in tokens.columns]
-    return tokens.groupBy(*keys).agg(F.count(F.lit(1)).alias("tf"))
+    """Term frequency per document (and field), for documents whose tokens come from several rows.
+
+    A document's length is the number of its tokens over all rows, counted per term first.
+    """
+    owner = [c for c in ("field", key) if c in tokens.columns]
+    counted = tokens.groupBy(*owner, "term").agg(F.count(F.lit(1)).alias("tf"))
+    sizes = counted.groupBy(*owner).agg(F.sum("tf").alias("len"))
+    return counted.join(sizes, owner).select(*owner, "len", "term", "tf")
 
 
 def posting_blocks(tokens: DataFrame, key: str, block: int = BLOCK) -> DataFrame:
@@ -94,9 +99,9 @@ def doc_lengths(tokens: DataFrame, key: str) -> DataFrame:
 
 
 def restrict(tokens: DataFrame, clauses: DataFrame) -> DataFrame:
-    """Only tokens some query asks for; done before any shuffle of the tokens."""
+    """Only tokens some query asks for; done before any other shuffle of the tokens. A frequent term is split."""
     keys = [c for c in ("field", "term") if c in tokens.columns and c in clauses.columns]
-    return tokens.join(clauses.select(*keys).distinct(), keys, "left_semi")
+    return spread_join(tokens, clauses.select(*keys).distinct(), keys, "left_semi")
 
 
 def terms(stats: DataFrame, prefix: str = "", sort: str = "count", limit: int = 10) -> DataFrame:
@@ -115,21 +120,19 @@ def term_vectors(post: DataFrame, key: str, docs: DataFrame | None = None) -> Da
 
 
 def drop_stop_words(tokens: DataFrame, stop_words: DataFrame, word: str = "word") -> DataFrame:
-    """Remove listed terms (a list of any length); positions stay as they are."""
-    return tokens.join(stop_words.select(F.lower(word).alias("term")).distinct(), "term", "left_anti")
+    """Remove listed terms (a list of any length); positions stay as they are. A frequent term is split."""
+    return spread_join(tokens, stop_words.select(F.lower(word).alias("term")).distinct(), ["term"], "left_anti")
 
 
 def override_stems(tokens: DataFrame, stems: DataFrame) -> DataFrame:
-    """Replace terms by the stem a (word, stem) table of any length gives."""
+    """Replace terms by the stem a (word, stem) table of any length gives; of several for one word, the least."""
     rest = [c for c in tokens.columns if c != "term"]
-    return tokens.join(stems.select(F.col("word").alias("term"), "stem"), "term", "left").select(
-        *rest, F.coalesce("stem", "term").alias("term")
-    )
+    one = stems.groupBy(F.col("word").alias("term")).agg(F.min("stem").alias("stem"))
+    return spread_join(tokens, one, ["term"], "left").select(*rest, F.coalesce("stem", "term").alias("term"))
 
 
 def join_synonyms(tokens: DataFrame, rules: DataFrame) -> DataFrame:
     """Put every target of a (source, target) table of any length at the token's position; others stay."""
     rest = [c for c in tokens.columns if c != "term"]
-    return tokens.join(rules.select(F.col("source").alias("term"), "target"), "term", "left").select(
-        *rest, F.coalesce("target", "term").alias("term")
-    )
+    targets = rules.select(F.col("source").alias("term"), "target").distinct()
+    return spread_join(tokens, targets, ["term"], "left").select(*rest, F.coalesce("target", "term").alias("term"))

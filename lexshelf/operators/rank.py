@@ -6,10 +6,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lexshelf.operators.postings import restrict, term_stats
-from lexshelf.session import spread_join
+from lexshelf.session import cut, spread_join
 
-# row_number limits up to this are applied by Spark inside every map task before the shuffle
-GROUP_LIMIT = 1000
+# the session's bound for row_number limits that Spark applies inside every map task before the shuffle
+GROUP_LIMIT_KEY = "spark.sql.optimizer.windowGroupLimitThreshold"
 
 
 def term_weights(
@@ -93,7 +93,7 @@ def top_k(hits: DataFrame, k: int, key: str, by: str = "query_id", order: list[C
     """
     order = order or [F.desc("score")]
     full = [*order, F.col(key).asc()]
-    if k > GROUP_LIMIT:
+    if k > int(hits.sparkSession.conf.get(GROUP_LIMIT_KEY)):
         sliced = Window.partitionBy(by, "_slice").orderBy(*full)
         hits = (
             hits.withColumn("_slice", F.pmod(F.xxhash64(key), F.lit(64)))
@@ -114,7 +114,7 @@ def page(hits: DataFrame, number: int, size: int, key: str, order: list[Column]
 
 def random_order(df: DataFrame, key: str, seed: int) -> DataFrame:
     """The same shuffled order for the same seed."""
-    return df.withColumn("random", F.xxhash64(key, F.lit(seed))).orderBy("random", key)
+    return df.withColumn("random", F.md5(F.concat_ws("|", F.col(key).cast("string"), F.lit(str(seed))))).orderBy("random", key)
 
 
 def elevate(hits: DataFrame, rules: DataFrame, key: str) -> DataFrame:
@@ -127,7 +127,19 @@ def elevate(hits: DataFrame, rules: DataFrame, key: str) -> DataFrame:
     return kept.join(pins, ["query_id", key], "full")
 
 
-def number_rows(first: DataFrame, order: Column, key: str) -> DataFrame:
-    """Places 1, 2, ... of an already limited list."""
-    place = F.row_number().over(Window.orderBy(order, F.col(key).asc())).cast("bigint")
-    return first.select(key, place.alias("place"))
+def numbered(hits: DataFrame, order: list[Column], key: str) -> DataFrame:
+    """All hits with their place 1, 2, ... in a total order.
+
+    Sorted by ranges over all tasks; a place is the one within its range after the rows of the ranges before. The ranges are
+    written first, so that both parts see the same ones.
+    """
+    full = [*order, F.col(key).asc()]
+    parts = int(hits.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = cut(hits.repartitionByRange(parts, *full).withColumn("_slice", F.spark_partition_id()))
+    counts = ranged.groupBy("_slice").agg(F.count(F.lit(1)).alias("_rows"))
+    ahead = Window.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)  # one row per range
+    starts = counts.select("_slice", F.coalesce(F.sum("_rows").over(ahead), F.lit(0)).alias("_start"))
+    within = F.row_number().over(Window.partitionBy("_slice").orderBy(*full))
+    return ranged.withColumn("_at", within).join(starts, "_slice").withColumn(
+        "place", (F.col("_start") + F.col("_at")).cast("bigint")
+    ).drop("_slice", "_at", "_start")

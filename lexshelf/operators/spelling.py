@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from lexshelf.session import cut, spread_join
+
 
 def _segment(term: Column, size: Column, j: int, parts: int) -> Column:
     start = F.floor(size * j / parts)
@@ -56,7 +58,7 @@ def spellcheck(
     stats: DataFrame,
     words: DataFrame,
     n_docs: Column,
-    n: int = 5,
+    n: int,
     edits: int = 2,
     prefix: int = 1,
     min_length: int = 4,
@@ -107,50 +109,39 @@ def word_joins(stats: DataFrame, words: DataFrame) -> DataFrame:
     )
 
 
-def collate(words: DataFrame, suggestions: DataFrame, post: DataFrame, key: str, tries: int = 10) -> DataFrame:
-    """Corrected queries that have hits, best first: (query_id, attempt, corrected, hits).
+def collate(words: DataFrame, suggestions: DataFrame, post: DataFrame, key: str) -> DataFrame:
+    """The best corrected query that has hits: (query_id, rank_sum, corrected, hits).
 
-    ``words``: (query_id, pos, word). The first attempt takes the best suggestion for every
-    misspelt word; each further one takes another suggestion for one of them, in order of rank.
+    ``words``: (query_id, pos, word). A misspelt word (one with suggestions) takes any of them, the others stay. Of all
+    combinations with hits the one with the least sum of ranks wins, then the first in order. Combinations are not
+    enumerated: per document each place takes the best option that the document holds, which gives the best combination
+    that hits it; the best of these is the best of all, and the documents that gave it are its hits.
     """
-    ranked = suggestions.select("word", "suggestion", "rank")
-    options = words.join(ranked, "word").select("query_id", "pos", "suggestion", "rank")
-    others = options.filter(F.col("rank") > 1).select("query_id", F.col("pos").alias("_pos"), F.col("rank").alias("_rank"))
-    number = F.row_number().over(Window.partitionBy("query_id").orderBy("_rank", "_pos"))
-    more = others.withColumn("attempt", number).filter(F.col("attempt") < tries)
-    first = options.select("query_id").distinct().select(
-        "query_id", F.lit(-1).cast("int").alias("_pos"), F.lit(1).alias("_rank"), F.lit(0).alias("attempt")
-    )
-    attempts = first.unionByName(more)
-    best = options.filter(F.col("rank") == 1).select("query_id", "pos", F.col("suggestion").alias("_best"))
-    other = options.select(
-        "query_id", F.col("pos").alias("_pos"), F.col("rank").alias("_rank"), F.col("suggestion").alias("_other")
-    )
-    tried = (
-        attempts.join(words, "query_id")
-        .join(best, ["query_id", "pos"], "left")
-        .join(other, ["query_id", "_pos", "_rank"], "left")
-        .select(
-            "query_id", "attempt", "pos",
-            F.when(F.col("pos") == F.col("_pos"), F.col("_other")).otherwise(F.coalesce("_best", "word")).alias("term"),
+    ranked = suggestions.select("word", F.col("suggestion").alias("term"), "rank")
+    options = cut(
+        words.join(ranked, "word", "left").select(
+            "query_id", "pos", F.coalesce("term", "word").alias("term"), F.coalesce("rank", F.lit(0)).alias("rank")
         )
     )
-    need = tried.groupBy("query_id", "attempt").agg(
-        F.count_distinct("term").alias("_need"),
-        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("pos", "term"))), lambda s: s["term"]), " ").alias("corrected"),
+    need = words.groupBy("query_id").agg(F.count_distinct("pos").alias("_need"))
+    places = (
+        spread_join(post.select(key, "term").distinct(), options, ["term"])
+        .groupBy("query_id", key, "pos")
+        .agg(F.min(F.struct("rank", "term")).alias("_best"))
     )
-    found = (
-        post.select(key, "term")
-        .join(tried.select("query_id", "attempt", "term").distinct(), "term")
-        .groupBy("query_id", "attempt", key)
-        .agg(F.count(F.lit(1)).alias("_got"))
+    found = places.groupBy("query_id", key).agg(
+        F.count(F.lit(1)).alias("_got"),
+        F.sum("_best.rank").cast("bigint").alias("rank_sum"),
+        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("pos", "_best.term"))), lambda s: s["term"]), " ").alias("corrected"),
     )
-    return (
-        found.join(need, ["query_id", "attempt"])
+    counted = (
+        spread_join(found, need, ["query_id"])
         .filter(F.col("_got") == F.col("_need"))
-        .groupBy("query_id", "attempt", "corrected")
+        .groupBy("query_id", "rank_sum", "corrected")
         .agg(F.count(F.lit(1)).alias("hits"))
     )
+    best = counted.groupBy("query_id").agg(F.min(F.struct("rank_sum", "corrected", "hits")).alias("_b"))
+    return best.select("query_id", "_b.rank_sum", "_b.corrected", "_b.hits")
 
 
 def suggest(df: DataFrame, field: str, weight: str, prefixes: DataFrame, n: int = 10) -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from lexshelf.functions import text as T
 from lexshelf.functions import words as W
-from lexshelf.functions.analyzers import PRESETS, Analyzer, analyzer, token_rows
+from lexshelf.functions.analyzers import LANGUAGE_STEPS, PRESETS, Analyzer, analyzer, token_rows
 from lexshelf.operators import match, postings
 from lexshelf.plans import corpus as C
 from lexshelf.plans.corpus import query
@@ -344,14 +344,13 @@ def cjk_bigrams(spark, sf_dir):
 @query(
     "reversed_terms",
     f"""WITH w AS (SELECT DISTINCT unnest({SQL_LOW}) AS term FROM documents)
-    SELECT term FROM w WHERE suffix(term, 'tion') OR prefix(term, 'noit')""",
+    SELECT term FROM w WHERE suffix(term, 'tion')""",
 )
 def reversed_terms(spark, sf_dir):
-    """``*tion`` as a prefix filter on the reversed form held beside each term."""
-    chain = analyzer("text_general_rev")
-    rows = C.doc_tokens(spark, sf_dir, chain).select("term").distinct().filter(F.col("term").startswith("noit"))
-    plain = C.doc_tokens(spark, sf_dir, Analyzer("lower", T.tok_standard, (), (("term", F.lower),))).select("term").distinct()
-    return plain.join(rows.select(F.reverse("term").alias("term")).union(rows), "term", "left_semi")
+    """``*tion`` as a prefix filter on the marked reversed form held beside each term."""
+    terms = C.doc_tokens(spark, sf_dir, analyzer("text_general_rev")).select("term").distinct()
+    found = terms.filter(F.col("term").startswith(T.REVERSED + "noit"))
+    return found.select(F.reverse(F.substr("term", F.lit(2))).alias("term"))
 
 
 @query("alpha_sort_key", "SELECT c_custkey, regexp_replace(trim(lower(c_name || ' ' || c_mktsegment)), '[^a-z]', '', 'g') AS sort_key FROM customer")
@@ -405,17 +404,15 @@ def preset_text_en_splitting(spark, sf_dir):
     return chain_terms(spark, sf_dir, analyzer("text_en_splitting"))
 
 
-SQL_WS_STRIPPED = f"regexp_extract_all({C.sql_html_strip('text')}, '\\S+')"
-
 
 @query(
     "preset_text_en_splitting_tight",
-    sql_delimited(SQL_WS_STRIPPED, SQL_DELIMITED)
+    sql_delimited(SQL_STOP_WS, SQL_DELIMITED)
     + f"""runs AS (SELECT doc_id, i, j, lower(array_to_string(q, '')) AS x FROM o)
-    SELECT {sql_stem('x')} AS term, count(*) AS n FROM runs WHERE x NOT IN ({sql_list(W.STOP_EN)}) AND x <> '' GROUP BY ALL""",
+    SELECT {sql_stem('x')} AS term, count(*) AS n FROM runs WHERE x <> '' GROUP BY ALL""",
 )
 def preset_text_en_splitting_tight(spark, sf_dir):
-    tokens = C.doc_tokens(spark, sf_dir, analyzer("text_en_splitting_tight", rewrites=[], groups=[["zzzz"]]))
+    tokens = C.doc_tokens(spark, sf_dir, analyzer("text_en_splitting_tight"))
     return tokens.groupBy("term").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -426,7 +423,7 @@ def preset_text_general(spark, sf_dir):
 
 @query(
     "preset_text_general_rev",
-    f"WITH {C.sql_token_rows('documents', 'doc_id', SQL_LOW)}, two AS (SELECT term, pos FROM tok UNION ALL SELECT reverse(term), pos FROM tok) "
+    f"WITH {C.sql_token_rows('documents', 'doc_id', SQL_LOW)}, two AS (SELECT term, pos FROM tok UNION ALL SELECT chr(1) || reverse(term), pos FROM tok) "
     "SELECT term, count(*) AS n, CAST(sum(pos) AS BIGINT) AS pos_sum FROM two GROUP BY term",
 )
 def preset_text_general_rev(spark, sf_dir):
@@ -471,7 +468,9 @@ def preset_token_counts(spark, sf_dir):
     docs = C.documents(spark, sf_dir)
 
     def size(name: str):
-        chain = analyzer(name)
+        lang = name.removeprefix("text_")
+        own = lang in LANGUAGE_STEPS and lang != "fr"
+        chain = analyzer(name, stop_words=W.FUNCTION_WORDS.get(lang, W.FUNCTION_WORDS["en"]) if own else None)
         tokens = chain(F.col("text"))
         return F.size(F.filter(F.flatten(tokens) if chain.stacked else tokens, lambda t: t != ""))
 

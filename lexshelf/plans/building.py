@@ -128,10 +128,11 @@ def all_metadata(spark, sf_dir):
 
 @query(
     "field_map",
-    """SELECT * FROM (VALUES ('allfields', 'ZZ'), ('text', 'TX'), ('dc.Title', 'TI'), ('dc.Subject', 'SU'), ('dls.Organization', 'OR')) AS v(field, short_name)""",
+    """SELECT * FROM (VALUES ('allfields', 'ZZ'), ('text', 'TX'), ('dc.Subject', 'SU'), ('dc.Sums', 'SU2'), ('dc.Title', 'TI'), ('dls.Organization', 'OR')) AS v(field, short_name)""",
 )
 def field_map(spark, sf_dir):
-    return build.field_map(C.sections(spark, sf_dir))
+    """Numbered as the columns of the index are: fields of the spec first, then the other metadata of the collection."""
+    return build.field_map(spark, "allfields;dc.Subject;dc.Sums;text", C.sections(spark, sf_dir))
 
 
 @query(
@@ -168,12 +169,13 @@ def html_escape(spark, sf_dir):
 
 @query(
     "ingest_statistics",
-    f"""WITH {SQL_ELIGIBLE} SELECT count(*) FILTER (sec_no = 1) AS docs, count(*) AS sections, CAST(sum(strlen(text)) AS BIGINT) AS bytes,
-    CAST(sum(coalesce(strlen({SQL_TX}), 0) + coalesce(strlen({SQL_SU}), 0)) AS BIGINT) AS processed_bytes FROM ok""",
+    f"""WITH {SQL_ELIGIBLE}, raw AS (SELECT count(*) FILTER (sec_no = 1) AS docs, count(*) AS sections FROM sections WHERE doc_type = 'indexed_doc')
+    SELECT docs, sections, CAST(sum(strlen(text)) AS BIGINT) AS bytes,
+    CAST(sum(coalesce(strlen({SQL_TX}), 0) + coalesce(strlen({SQL_SU}), 0)) AS BIGINT) AS processed_bytes FROM ok, raw GROUP BY docs, sections""",
 )
 def ingest_statistics(spark, sf_dir):
     sections = C.sections(spark, sf_dir)
-    return build.ingest_stats(build.eligible(sections), build.build_doc_index(sections, "text;dc.Subject"))
+    return build.ingest_stats(build.eligible(sections, keep_placeholders=True), build.build_doc_index(sections, "text;dc.Subject"))
 
 
 SQL_CHANGES = """target AS (SELECT 'c' || conv_id AS doc_oid, CASE WHEN turn = 0 THEN 'c' || conv_id ELSE 'c' || conv_id || '.' || turn END AS docOID, text AS TX FROM conversations),

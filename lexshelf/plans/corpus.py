@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from lexshelf.functions.analyzers import Analyzer, analyzer, query_rows
 from lexshelf.functions.text import ENTITIES, HTML_BLOCKS, HTML_TAGS, WORD
 from lexshelf.operators.postings import postings_of, tokenize
-from lexshelf.session import spread
+from lexshelf.session import deal
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -43,7 +43,7 @@ GENERAL = analyzer("text_general")
 
 
 def documents(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
-    return spread(table(spark, sf_dir, "documents").select("doc_id", *(columns or ("text",))), "doc_id")
+    return deal(table(spark, sf_dir, "documents").select("doc_id", *(columns or ("text",))), "doc_id")
 
 
 def doc_tokens(spark: SparkSession, sf_dir: str, chain: Analyzer = GENERAL) -> DataFrame:

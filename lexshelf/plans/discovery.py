@@ -89,7 +89,7 @@ def more_like_this(spark, sf_dir):
     """Three documents like each of the queries' best hits."""
     post = cut(C.doc_postings(spark, sf_dir))
     sources = rank.top_k(benchmark_hits(spark, sf_dir, post=post), 3, "doc_id").select("doc_id").distinct()
-    return discover.more_like_this(post, sources, "doc_id", C.count_docs(spark, sf_dir))
+    return discover.more_like_this(post, sources, "doc_id", C.count_docs(spark, sf_dir), max_terms=25, min_tf=2, min_df=5)
 
 
 def index_words(spark, sf_dir):
@@ -115,13 +115,13 @@ SQL_BENCH_WORDS = f"bw AS (SELECT item_id AS query_id, generate_subscripts(t, 1)
     pairs AS (SELECT word, term, df, levenshtein(translate(word, '{WIDE}', '{NARROW}'), translate(term, '{WIDE}', '{NARROW}')) AS distance
       FROM rare JOIN stats ON left(term, 1) = left(word, 1) AND abs(length(term) - length(word)) <= 2)
     SELECT word, term AS suggestion, distance, df, row_number() OVER (PARTITION BY word ORDER BY distance, df DESC, term) AS rank FROM pairs
-    WHERE distance BETWEEN 1 AND 2 AND 1 - distance / least(length(word), length(term)) >= 0.5 QUALIFY rank <= 5""",
+    WHERE distance BETWEEN 1 AND 2 AND 1 - distance / least(length(word), length(term)) >= 0.5 QUALIFY rank <= 10""",
 )
 def spelling_query(spark, sf_dir):
     """Suggestions for the rare words of all queries."""
     stats = index_words(spark, sf_dir)
     words = benchmark_words(spark, sf_dir).select("word")
-    return spelling.spellcheck(stats, words, C.count_docs(spark, sf_dir))
+    return spelling.spellcheck(stats, words, C.count_docs(spark, sf_dir), 10)
 
 
 @query(
@@ -163,15 +163,16 @@ def part_words(spark, sf_dir):
     q AS (SELECT query_id, CASE WHEN length(w[1]) >= 5 THEN left(w[1], 2) || substr(w[1], 4) ELSE w[1] END AS a, w[2] AS b FROM names),
     rare AS (SELECT DISTINCT a AS word FROM q WHERE length(a) >= 4 AND a NOT IN (SELECT term FROM stats)),
     sug AS (SELECT word, term, row_number() OVER (PARTITION BY word ORDER BY levenshtein(word, term), df DESC, term) AS rank FROM rare JOIN stats ON left(word, 1) = left(term, 1)
-      WHERE levenshtein(word, term) BETWEEN 1 AND 2 AND 1 - levenshtein(word, term) / least(length(word), length(term)) >= 0.5 QUALIFY rank <= 5)
-    SELECT query_id, CAST(rank - 1 AS INTEGER) AS attempt, s.term || ' ' || b AS corrected, count(*) AS hits FROM q JOIN sug s ON s.word = q.a
-      JOIN tok x ON x.term = s.term JOIN tok y ON y.term = q.b AND y.p_partkey = x.p_partkey GROUP BY ALL""",
+      WHERE levenshtein(word, term) BETWEEN 1 AND 2 AND 1 - levenshtein(word, term) / least(length(word), length(term)) >= 0.5 QUALIFY rank <= 5),
+    opt AS (SELECT query_id, b, coalesce(s.term, a) AS first, CAST(coalesce(rank, 0) AS BIGINT) AS rank_sum FROM q LEFT JOIN sug s ON s.word = q.a)
+    SELECT query_id, rank_sum, first || ' ' || b AS corrected, count(*) AS hits FROM opt JOIN tok x ON x.term = first JOIN tok y ON y.term = b AND y.p_partkey = x.p_partkey
+    GROUP BY query_id, rank_sum, first, b QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY rank_sum, first) = 1""",
 )
 def collation(spark, sf_dir):
     """Misspelt product names corrected to queries that have hits."""
     words, post = part_words(spark, sf_dir)
     found = spelling.spellcheck(
-        postings.term_stats(post), words, C.table(spark, sf_dir, "part").select(F.count(F.lit(1))).scalar(), max_frequency=0.0
+        postings.term_stats(post), words, C.table(spark, sf_dir, "part").select(F.count(F.lit(1))).scalar(), 5, max_frequency=0.0
     )
     return spelling.collate(words, cut(found), post, "p_partkey")
 
@@ -195,14 +196,14 @@ def suggestions(spark, sf_dir):
 
 @query("cluster_kmeans")
 def cluster_kmeans(spark, sf_dir):
-    return discover.cluster_kmeans(C.documents(spark, sf_dir), "doc_id", "text", LOWER, k=8, features=1 << 12, steps=5)
+    return discover.cluster_kmeans(C.documents(spark, sf_dir), "doc_id", "text", LOWER)
 
 
 @query(
     "cluster_phrases",
     f"""WITH a AS (SELECT doc_id, list_transform({C.sql_tokens('text')}, lambda x: lower(x)) AS t FROM documents),
     g AS (SELECT DISTINCT doc_id, phrase FROM (SELECT doc_id, unnest(list_transform(range(1, len(t) - 1), lambda i: array_to_string(t[i:i + 2], ' '))) AS phrase FROM a)),
-    c AS (SELECT phrase, count(*) AS size FROM g GROUP BY 1 HAVING count(*) >= 2 ORDER BY size DESC, phrase LIMIT 30)
+    c AS (SELECT phrase, count(*) AS size FROM g GROUP BY 1 HAVING count(*) >= 2)
     SELECT phrase, size, doc_id FROM g JOIN c USING (phrase)""",
 )
 def cluster_phrases(spark, sf_dir):
@@ -219,13 +220,14 @@ def browse_list(spark, sf_dir):
 
 @query(
     "browse_groups",
-    """SELECT p_brand AS node, p_name, p_partkey, count(*) OVER (PARTITION BY p_brand) AS count FROM part""",
+    """SELECT p_brand AS node, p_name, p_partkey, count(*) OVER (PARTITION BY p_brand) AS count,
+    row_number() OVER (ORDER BY p_brand, p_name, p_partkey) AS place FROM part""",
 )
 def browse_groups(spark, sf_dir):
     """Documents under each value, by title, with the value's size."""
     parts = C.table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand")
     sizes = parts.groupBy(F.col("p_brand").alias("node")).agg(F.count(F.lit(1)).alias("count"))
-    return discover.browse_leaves(parts, "p_partkey", "p_brand", "p_name").join(sizes, "node")
+    return discover.browse_leaves(parts, "p_partkey", "p_brand", "p_name").join(sizes, "node").orderBy("place")
 
 
 @query(
@@ -237,3 +239,14 @@ def browse_groups(spark, sf_dir):
 def browse_tree(spark, sf_dir):
     pages = C.table(spark, sf_dir, "pages").select(F.regexp_extract("url", PATH, 1).alias("path"))
     return discover.browse_tree(pages, "path")
+
+
+@query(
+    "browse_tree_leaves",
+    rf"""WITH p AS (SELECT page_id, regexp_extract(url, '{PATH}', 1) AS node, url FROM pages)
+    SELECT node, url, page_id, row_number() OVER (ORDER BY node, url, page_id) AS place FROM p WHERE node <> ''""",
+)
+def browse_tree_leaves(spark, sf_dir):
+    """The pages at each node of the tree of paths, by address."""
+    pages = C.table(spark, sf_dir, "pages").select("page_id", "url", F.nullif(F.regexp_extract("url", PATH, 1), F.lit("")).alias("path"))
+    return discover.browse_leaves(pages, "page_id", "path", "url").orderBy("place")

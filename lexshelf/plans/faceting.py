@@ -84,7 +84,7 @@ def facet_range_empty_buckets(spark, sf_dir):
 )
 def facet_date(spark, sf_dir):
     """Years, from ten years before the given now."""
-    return facets.facet_date(C.table(spark, sf_dir, "orders"), "o_orderdate", "1996-01-01", "2002-07-01", 12)
+    return facets.facet_date(C.table(spark, sf_dir, "orders"), "o_orderdate", "NOW/YEAR-10YEARS", "NOW/MONTH-42MONTHS", "+1YEAR", now="2006-01-20")
 
 
 @query(
@@ -93,7 +93,19 @@ def facet_date(spark, sf_dir):
     SELECT CASE b WHEN -1 THEN 'before' WHEN 2 THEN 'after' ELSE 'range' END AS part, CASE b WHEN 0 THEN TIMESTAMP '2024-01-15' WHEN 1 THEN TIMESTAMP '2024-04-15' END AS low, n AS count FROM b WHERE n >= 1""",
 )
 def facet_date_months(spark, sf_dir):
-    return facets.facet_date(C.table(spark, sf_dir, "events"), "ts", "2024-01-15", "2024-07-15", 3, mincount=1)
+    return facets.facet_date(C.table(spark, sf_dir, "events"), "ts", "2024-01-15", "2024-07-15", "+3MONTHS", mincount=1)
+
+
+@query(
+    "facet_date_days",
+    """WITH e AS (SELECT unnest(range(-1, 8)) AS b), n AS (SELECT CAST(floor((epoch(ts) - epoch(TIMESTAMP '2024-01-30')) / 259200) AS BIGINT) AS k FROM events),
+    c AS (SELECT CASE WHEN k < 0 THEN -1 WHEN k > 6 THEN 7 ELSE k END AS b, count(*) AS n FROM n GROUP BY 1)
+    SELECT CASE WHEN b < 0 THEN 'before' WHEN b > 6 THEN 'after' ELSE 'range' END AS part,
+     CASE WHEN b BETWEEN 0 AND 6 THEN TIMESTAMP '2024-01-30' + to_days(CAST(3 * b AS INTEGER)) END AS low, coalesce(n, 0) AS count FROM e LEFT JOIN c USING (b)""",
+)
+def facet_date_days(spark, sf_dir):
+    """Steps of three days over the end of a month."""
+    return facets.facet_date(C.table(spark, sf_dir, "events"), "ts", "2024-01-30", "2024-02-18", "+3DAYS")
 
 
 @query(

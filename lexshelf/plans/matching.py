@@ -109,7 +109,7 @@ def auto_phrase(spark, sf_dir):
     names = C.table(spark, sf_dir, "customer").select("c_custkey", "c_name")
     chain = Analyzer("split", T.tok_whitespace, (), (("slots", T.word_delimiter(catenate=False)), ("term", F.lower)))
     words = names.select(F.explode(T.tok_whitespace(F.col("c_name"))).alias("word")).distinct()
-    return match.phrase_match(token_rows(names, "c_name", chain), match.auto_phrases(words, "word"), "c_custkey")
+    return match.phrase_match(cut(token_rows(names, "c_name", chain)), match.auto_phrases(words, "word"), "c_custkey")
 
 
 PATTERNS = ["th*", "*tion", "a*e", "?he", "ou??", "*", "*eau*", "ün*"]
@@ -123,8 +123,7 @@ def pattern_table(spark):
 @query(
     "wildcard_expand",
     f"""WITH {C.SQL_STATS}, {SQL_PATTERNS}
-    SELECT pattern AS query_id, pattern, term, df, ttf, count(*) OVER (PARTITION BY pattern) AS n_terms,
-     count(*) OVER (PARTITION BY pattern) > 1024 AS constant_score FROM found""",
+    SELECT pattern AS query_id, pattern, term, df, ttf, count(*) OVER (PARTITION BY pattern) AS n_terms FROM found""",
 )
 def wildcard_expand(spark, sf_dir):
     stats = cut(postings.term_stats(C.doc_postings(spark, sf_dir)))
@@ -133,13 +132,13 @@ def wildcard_expand(spark, sf_dir):
 
 @query(
     "wildcard_match",
-    f"""WITH {C.SQL_STATS}, {SQL_PATTERNS}, sized AS (SELECT *, count(*) OVER (PARTITION BY pattern) > 1024 AS constant FROM found)
-    SELECT pattern AS query_id, doc_id, count(*) AS n_terms, CASE WHEN bool_or(constant) THEN 1.0 ELSE CAST(sum(tf) AS DOUBLE) END AS score
-    FROM sized JOIN post USING (term) GROUP BY pattern, doc_id""",
+    f"""WITH {C.SQL_STATS}, {SQL_PATTERNS}
+    SELECT pattern AS query_id, doc_id, count(*) AS n_terms, CAST(1.0 AS DOUBLE) AS score
+    FROM found JOIN post USING (term) GROUP BY pattern, doc_id""",
 )
 def wildcard_match(spark, sf_dir):
     post = cut(C.doc_postings(spark, sf_dir))
-    return match.wildcard_match(post, postings.term_stats(post), pattern_table(spark), "doc_id")
+    return match.wildcard_match(post, cut(postings.term_stats(post)), pattern_table(spark), "doc_id")
 
 
 @query("match_all", "SELECT doc_id, CAST(1.0 AS DOUBLE) AS score FROM documents")
@@ -168,7 +167,7 @@ def range_filter(spark, sf_dir):
 @query(
     "doc_filter",
     """WITH s AS (SELECT CASE WHEN turn = 0 THEN 'c' || conv_id ELSE 'c' || conv_id || '.' || turn END AS docOID FROM conversations)
-    SELECT docOID FROM s WHERE docOID LIKE 'c4%'""",
+    SELECT docOID FROM s WHERE docOID = 'c4' OR starts_with(docOID, 'c4.')""",
 )
 def doc_filter(spark, sf_dir):
     from lexshelf.operators.build import section_key
@@ -192,7 +191,7 @@ SELECTIONS = [
 def drill_down(spark, sf_dir):
     asked = literal_table(spark, SELECTIONS, "query_id string, selections string")
     parts = C.table(spark, sf_dir, "part").select("p_partkey", "p_brand", "p_type", "p_size")
-    return match.drill_down(parts, asked, ["p_brand", "p_type", "p_size"]).select("query_id", "p_partkey")
+    return match.drill_down(parts, asked, "p_partkey", ["p_brand", "p_type", "p_size"])
 
 
 @query("drill_down_predicate", "SELECT p_partkey, p_name FROM part WHERE p_brand IN ('Brand#3', 'Brand#7') AND p_size BETWEEN 1 AND 30")

@@ -143,24 +143,24 @@ def conversation_sorts(spark, sf_dir):
 
 @query(
     "sort_hits",
-    """SELECT p_partkey, CAST(row_number() OVER (ORDER BY p_size % 5 = 0, p_size DESC, p_partkey) AS BIGINT) AS place
-    FROM part QUALIFY place <= 100""",
+    """SELECT p_partkey, CAST(row_number() OVER (ORDER BY p_size % 5 = 0, CASE WHEN p_size % 5 <> 0 THEN p_size END DESC, p_partkey) AS BIGINT) AS place
+    FROM part""",
 )
 def sort_hits(spark, sf_dir):
-    """Descending, missing values last, first hundred."""
+    """Descending, missing values last; the place says the order."""
     rows = conversation_sorts(spark, sf_dir)
-    first = rank.sort_hits(rows, "size", "p_partkey", descending=True).limit(100)
-    return rank.number_rows(first, rank.sort_key(rows, "size", True), "p_partkey")
+    return rank.numbered(rows, [rank.sort_key(rows, "size", True)], "p_partkey").select("p_partkey", "place")
 
 
 @query(
     "sort_multi_valued",
-    """SELECT p_partkey, least(split_part(p_name, ' ', 1), split_part(p_name, ' ', 2)) AS least_value FROM part ORDER BY 2, 1 LIMIT 200""",
+    """SELECT p_partkey, least(split_part(p_name, ' ', 1), split_part(p_name, ' ', 2)) AS least_value,
+    row_number() OVER (ORDER BY least(split_part(p_name, ' ', 1), split_part(p_name, ' ', 2)), p_partkey) AS place FROM part""",
 )
 def sort_multi_valued(spark, sf_dir):
     rows = conversation_sorts(spark, sf_dir)
-    first = rank.sort_hits(rows, "byNA", "p_partkey", descending=False).limit(200)
-    return first.select("p_partkey", F.array_min("byNA").alias("least_value"))
+    placed = rank.numbered(rows, [rank.sort_key(rows, "byNA", False)], "p_partkey")
+    return placed.select("p_partkey", F.array_min("byNA").alias("least_value"), "place")
 
 
 @query(
@@ -184,9 +184,13 @@ def deep_page(spark, sf_dir):
     return rows.select("query_id", "doc_id", "score", "rank")
 
 
-@query("random_order")
+@query(
+    "random_order",
+    "SELECT doc_id, md5(doc_id || '|42') AS random, row_number() OVER (ORDER BY md5(doc_id || '|42'), doc_id) AS place FROM documents",
+)
 def random_order(spark, sf_dir):
-    return rank.random_order(C.table(spark, sf_dir, "documents").select("doc_id"), "doc_id", 42)
+    rows = rank.random_order(C.table(spark, sf_dir, "documents").select("doc_id"), "doc_id", 42)
+    return rank.numbered(rows, [F.asc("random")], "doc_id")
 
 
 @query(

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 CHECKPOINT_KEY = "spark.checkpoint.dir"
+SCAN_KEY = "lexshelf.scan.partitions"
 
 
 def local_session(cores: int | str = 8, app: str = "lexshelf", **conf: str) -> SparkSession:
@@ -17,6 +18,7 @@ def local_session(cores: int | str = 8, app: str = "lexshelf", **conf: str) -> S
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app)
         .config("spark.sql.shuffle.partitions", str(cores))
+        .config(SCAN_KEY, str(cores))
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "12g")
@@ -73,15 +75,14 @@ def spread_join(
     return salted.join(copies, [*on, "_salt"], how).drop("_salt")
 
 
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """Deal a small scan out over all cores; a table of more than an eighth of a full split per core stays as it is."""
-    spark = df.sparkSession
-    cores = spark.sparkContext.defaultParallelism
-    split = spark.conf.get("spark.sql.files.maxPartitionBytes").lower()
-    unit = {"k": 1 << 10, "m": 1 << 20, "g": 1 << 30}.get(split.rstrip("b")[-1:], 1)
-    digits = "".join(c for c in split if c.isdigit())
-    known = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    return df.repartition(cores, key) if known < cores * int(digits) * unit // 8 else df
+def deal(df: DataFrame, key: str) -> DataFrame:
+    """Deal a scan out over the number of partitions that the session names in ``lexshelf.scan.partitions``.
+
+    Without that setting the scan stays as the files split. A session sets it where its files have fewer splits than it has
+    cores and the work on each row outweighs one shuffle; the size of the table plays no part.
+    """
+    parts = df.sparkSession.conf.get(SCAN_KEY, None)
+    return df.repartition(int(parts), key) if parts else df
 
 
 def literal_table(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:

@@ -12,14 +12,6 @@ def read_words(spark: SparkSession, path: str) -> DataFrame:
     return lines.select(F.explode(F.split(F.trim("line"), r"\s+")).alias("word")).filter("word != ''")
 
 
-def word_list(spark: SparkSession, path: str, limit: int = 10_000) -> list[str]:
-    """A short word list on the driver, for a chain's ``stop_words``; longer ones are joined as tables."""
-    rows = read_words(spark, path).limit(limit + 1).collect()
-    if len(rows) > limit:
-        raise ValueError(f"more than {limit} words: join the table instead (drop_stop_words)")
-    return [r.word for r in rows]
-
-
 def read_stems(spark: SparkSession, path: str) -> DataFrame:
     """Tab-separated ``word stem`` lines: (word, stem)."""
     parts = F.split("value", "\t")

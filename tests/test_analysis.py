@@ -86,7 +86,8 @@ def test_language_steps(spark):
 
 def test_cjk_and_reversed(spark):
     assert terms(spark, "東京都 abc", analyzer("text_cjk")) == [(0, "東京"), (1, "京都"), (2, "abc")]
-    assert {t for _, t in terms(spark, "Motion", analyzer("text_general_rev"))} == {"motion", "noitom"}
+    assert {t for _, t in terms(spark, "Motion", analyzer("text_general_rev"))} == {"motion", T.REVERSED + "noitom"}
+    assert not any(t.startswith("saw") for _, t in terms(spark, "it was late", analyzer("text_general_rev")))
 
 
 def test_payloads(spark):
@@ -101,7 +102,23 @@ def test_duplicates_at_a_position(spark):
 
 @pytest.mark.parametrize("preset", PRESETS)
 def test_presets_run(spark, preset):
-    assert len(terms(spark, "Readings naïves 42", analyzer(preset))) > 0
+    assert len(terms(spark, "Readings naïves 42", analyzer(preset, stop_words=["the"]))) > 0
+
+
+def test_a_chain_without_its_stop_list_is_an_error(spark):
+    with pytest.raises(ValueError):
+        analyzer("text_de")
+    assert terms(spark, "der Hund", analyzer("text_de", stop_words=["der"])) == [(1, "hund")]
+
+
+def test_other_scripts(spark):
+    """Literal texts beside a given table, which has no such letters."""
+    texts = {"ar": ("وَالكتاب", "والكتاب"), "fa": ("کتاب", "كتاب"), "hi": ("हूँ", "हुं"), "fi": ("Talo", "talo")}
+    rows = spark.read.parquet("/root/testdata/sf0.001/benchmark.parquet").selectExpr("item_id", "text").limit(2)
+    for lang, (text, want) in texts.items():
+        both = rows.union(spark.createDataFrame([(-1, text)], "item_id long, text string"))
+        found = token_rows(both, "text", analyzer(f"text_{lang}", stop_words=["the"])).where("item_id = -1").collect()
+        assert [r.term for r in found] == [want], lang
 
 
 def test_query_and_index_chains_differ(spark):

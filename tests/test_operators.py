@@ -73,9 +73,11 @@ def test_wildcards(spark):
     import fnmatch
 
     want = {(p, w) for p in patterns for w in vocabulary if fnmatch.fnmatchcase(w, p)}
-    rows = match.expand_wildcards(stats, asked, cap=3).collect()
+    rows = match.expand_wildcards(stats, asked).collect()
     assert {(r.pattern, r.term) for r in rows} == want
-    assert {r.pattern for r in rows if r.constant_score} == {"*"}
+    assert {(r.pattern, r.n_terms) for r in rows} == {(p, sum(q == p for q, _ in want)) for p, _ in want}
+    post = stats.selectExpr("1 AS doc_id", "term", "7 AS tf")
+    assert {r.score for r in match.wildcard_match(post, stats, asked, "doc_id").collect()} == {1.0}
 
 
 def test_range_ends(spark):
@@ -104,7 +106,7 @@ def test_drill_down_skips_what_is_malformed(spark):
     asked = spark.createDataFrame(
         [("q", '["byA:a", "byA:b", "byB:y", "nocolon", "byB:%zz"]')], "query_id string, selections string"
     )
-    assert [r.id for r in match.drill_down(index, asked, ["byA", "byB"]).collect()] == [2]
+    assert [r.id for r in match.drill_down(index, asked, "id", ["byA", "byB"]).collect()] == [2]
 
 
 def test_dates(spark):
@@ -175,18 +177,22 @@ def test_index_levels(spark):
 
 def test_short_names_collide_safely(spark):
     rows = [("d", "", 1, "indexed_doc", "", {"dc.Title": ["a"], "Time": ["b"], "x.Tide": ["c"]})]
-    names = build.field_map(spark.createDataFrame(rows, sections(spark).schema)).collect()
+    collection = spark.createDataFrame(rows, sections(spark).schema)
+    names = build.field_map(spark, "dc.Title;Time;text", collection).collect()
     assert {r.field: r.short_name for r in names} == {
-        "Time": "TI", "dc.Title": "TI2", "x.Tide": "TI3", "allfields": "ZZ", "text": "TX"
+        "dc.Title": "TI", "Time": "TI2", "x.Tide": "TI3", "allfields": "ZZ", "text": "TX"
     }
+    index = build.project_fields(collection, "dc.Title;Time;text").first()
+    assert (index.TI, index.TI2) == ("a", "b")
 
 
 def test_published_versions_and_store(spark, tmp_path):
     root = str(tmp_path / "index")
     assert store.publish(spark.range(3), root) == 1
     assert store.publish(spark.range(5), root) == 2
-    assert store.publish(spark.range(1), root, "append") == 2
-    assert store.current(spark, root).count() == 6
+    live = store.current(spark, root)
+    assert store.publish(spark.range(1), root, "append") == 3
+    assert (live.count(), store.current(spark, root).count()) == (5, 6)
 
 
 def test_stream_equals_batch(spark, tmp_path):
@@ -208,7 +214,7 @@ def test_stream_equals_batch(spark, tmp_path):
 
 def test_word_files(spark, tmp_path):
     (tmp_path / "stop.txt").write_text("# list\nder | the\ndie\nein zwei\n", encoding="utf-8")
-    assert wordlists.word_list(spark, str(tmp_path / "stop.txt")) == ["der", "die", "ein", "zwei"]
+    assert [r.word for r in wordlists.read_words(spark, str(tmp_path / "stop.txt")).collect()] == ["der", "die", "ein", "zwei"]
     (tmp_path / "syn.txt").write_text("# rules\naaa => bbb, ccc\nx, Y\n", encoding="utf-8")
     rows = {(r.source, r.target) for r in wordlists.read_synonyms(spark, str(tmp_path / "syn.txt")).collect()}
     assert rows == {("aaa", "bbb"), ("aaa", "ccc"), ("x", "x"), ("x", "y"), ("y", "x"), ("y", "y")}
@@ -239,3 +245,76 @@ def test_one_term_in_every_document(spark):
     hits = rank.score(rank.explain_scores(post, rank.term_weights(post, asked, F.lit(400))), "doc_id")
     assert hits.count() == 800
     assert rank.top_k(hits, 1, "doc_id").filter("query_id = 'q2'").first().doc_id == 7
+
+
+def test_one_document_and_its_sections(spark):
+    hits = spark.createDataFrame([("c4",), ("c4.1",), ("c40",), ("c41.2",)], "docOID string")
+    assert sorted(r.docOID for r in match.doc_filter(hits, "docOID", "c4").collect()) == ["c4", "c4.1"]
+
+
+def test_days_at_the_end_of_a_month_fall_between_the_edges(spark):
+    rows = [("2023-01-31 00:00:00",), ("2023-02-28 10:00:00",), ("2023-03-29 23:00:00",), ("2023-03-30 00:00:00",)]
+    events = spark.createDataFrame(rows, "t string").select(F.col("t").cast("timestamp").alias("t"))
+    got = facets.facet_date(events, "t", "2023-01-30", "2023-04-01", "+1MONTH").collect()
+    assert sorted((str(r.low)[:10], r["count"]) for r in got if r.part == "range") == [("2023-01-30", 1), ("2023-02-28", 2), ("2023-03-30", 1)]
+    with pytest.raises(ValueError):
+        facets.facet_date(events, "t", "2023-01-30", "2023-04-01", "1MONTH")
+
+
+def test_one_row_per_key_also_for_equal_numbers(spark):
+    changes = spark.createDataFrame([("d", "d", "one", "add", 1), ("d", "d", "two", "add", 1), ("d", "d", "two", "add", 1)], "doc_oid string, docOID string, TX string, op string, seq int")
+    rows = build.apply_changes(changes.select("doc_oid", "docOID", "TX").where("false"), changes).collect()
+    assert len(rows) == 1 and rows[0].TX in ("one", "two")
+
+
+def test_statistics_count_what_is_not_indexed(spark):
+    read = build.eligible(sections(spark), keep_placeholders=True)
+    one = build.ingest_stats(read, build.build_doc_index(sections(spark), "text")).first()
+    assert (one.docs, one.sections, one.bytes) == (1, 3, len("top <b>") + len("body"))
+
+
+def test_documents_of_several_rows(spark):
+    rows = spark.createDataFrame([("d", "one two"), ("d", "one two three"), ("e", "one")], "id string, t string")
+    got = postings.postings(postings.tokenize(rows, "id", "t", LOWER), "id").collect()
+    assert {(r.id, r.term, r.len, r.tf) for r in got} == {("d", "one", 5, 2), ("d", "two", 5, 2), ("d", "three", 5, 1), ("e", "one", 1, 1)}
+
+
+def test_second_suggestions_for_both_words(spark):
+    words = spark.createDataFrame([("q", 0, "aa"), ("q", 1, "bb"), ("q", 2, "c")], "query_id string, pos int, word string")
+    found = spark.createDataFrame([("aa", "a1", 1), ("aa", "a2", 2), ("bb", "b1", 1), ("bb", "b2", 2)], "word string, suggestion string, rank int")
+    post = spark.createDataFrame([(1, "a2"), (1, "b2"), (1, "c"), (2, "a1"), (2, "b1"), (3, "a2"), (3, "b2"), (3, "c")], "doc_id int, term string")
+    assert [tuple(r) for r in spelling.collate(words, found, post, "doc_id").collect()] == [("q", 4, "a2 b2 c", 2)]
+
+
+def test_a_stem_listed_twice(spark):
+    tokens = spark.createDataFrame([(1, 0, "ei"), (1, 1, "x")], "id int, pos int, term string")
+    stems = spark.createDataFrame([("ei", "eier"), ("ei", "eien")], "word string, stem string")
+    assert sorted(tuple(r) for r in postings.override_stems(tokens, stems).collect()) == [(1, 0, "eien"), (1, 1, "x")]
+
+
+def test_leaves_come_in_order(spark):
+    df = spark.createDataFrame([(1, "b", "z"), (2, "a", "y"), (3, "a", "x"), (4, None, "w")], "id int, node string, title string")
+    leaves = discover.browse_leaves(df, "id", "node", "title").orderBy("place").collect()
+    assert [(r.node, r.title, r.place) for r in leaves] == [("a", "x", 1), ("a", "y", 2), ("b", "z", 3)]
+
+
+def test_date_math_is_read_in_full(spark):
+    day = F.lit("2024-02-29 12:00:00").cast("timestamp")
+    value = lambda ops: str(spark.range(1).select(date_math(day, ops)).first()[0])
+    assert value("+1DAY/MONTH-1MILLISECOND") == "2024-02-29 23:59:59.999000"
+    for wrong in ("+1day", "+DAY", "/WEEK", "1DAY", "+1DAY x"):
+        with pytest.raises(ValueError):
+            date_math(day, wrong)
+
+
+def test_a_term_in_every_row_is_dealt_evenly(spark):
+    tokens = spark.range(40_000).select(F.col("id"), F.lit("hot").alias("term"))
+    asked = spark.createDataFrame([("hot",)], "term string").repartition(2)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        sizes = postings.restrict(tokens, asked).groupBy(F.spark_partition_id()).count().collect()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    assert sum(r["count"] for r in sizes) == 40_000 and max(r["count"] for r in sizes) <= 0.6 * 40_000
