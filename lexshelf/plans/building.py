@@ -8,10 +8,10 @@ from pyspark.sql import functions as F
 
 from lexshelf.functions import text as T
 from lexshelf.functions import words as W
-from lexshelf.operators import build
+from lexshelf.operators import build, facets, index
 from lexshelf.plans import corpus as C
 from lexshelf.plans.corpus import query, sql_escape
-from lexshelf.session import cut, shared_dir
+from lexshelf.session import cut, literal_table, shared_dir
 from lexshelf.sources import records, store
 from lexshelf.streaming import ingest
 
@@ -403,3 +403,55 @@ def stream_changes(spark, sf_dir):
     feed_schema = "doc_oid string, docOID string, TX string, op string, seq int"
     ingest.stream_index(ingest.file_changes(spark, f"{root}/feed", feed_schema, 2), root).awaitTermination()
     return ingest.current_index(spark, root, target, "docOID", "doc_oid", by_batch=False)
+
+
+# fielded clauses, as in ``TX:the SU:user``; every clause of a query has to hold
+FIELDED = [("q1", "TX", "the"), ("q1", "SU", "user"), ("q2", "TX", "that"), ("q3", "SU", "assistant"), ("q3", "TX", "of"), ("q4", "TX", "nowhere")]
+SQL_FIELDED = "cl AS (SELECT * FROM (VALUES " + ", ".join(str(c) for c in FIELDED) + ") AS v(query_id, field, term))"
+
+
+def sql_search(key: str) -> str:
+    """Hits of the fielded clauses over the values of ``ok``, grouped by ``key``."""
+    return (
+        f"{SQL_ELIGIBLE}, val AS (SELECT {key} AS docOID, 'TX' AS field, {SQL_TX} AS text FROM ok UNION ALL SELECT {key}, 'SU', {SQL_SU} FROM ok), "
+        f"tk AS (SELECT docOID, field, unnest({C.GENERAL_ARRAY}) AS term FROM val), "
+        "po AS (SELECT docOID, field, term, count(*) AS tf FROM tk WHERE term <> '' GROUP BY ALL), "
+        "ln AS (SELECT docOID, field, sum(tf) AS len FROM po GROUP BY ALL), st AS (SELECT field, term, count(*) AS df FROM po GROUP BY ALL), "
+        f"nd AS (SELECT count(DISTINCT docOID) AS n FROM po), {SQL_FIELDED}, need AS (SELECT query_id, count(*) AS need FROM cl GROUP BY 1), "
+        "hit AS (SELECT query_id, docOID, round(sum(sqrt(tf) * pow(1 + ln(n / (df + 1)), 2) / sqrt(len)), 6) AS score FROM cl JOIN st USING (field, term) "
+        "JOIN po USING (field, term) JOIN ln USING (docOID, field) JOIN need USING (query_id), nd GROUP BY query_id, docOID, need HAVING count(*) = need)"
+    )
+
+
+def fielded_hits(spark, values, key: str):
+    """The stored index of the values, and what the fielded clauses find in it."""
+    stored = index.build_index(values, key, C.GENERAL, f"{shared_dir(spark)}/index-{uuid.uuid4().hex}")
+    clauses = literal_table(spark, FIELDED, "query_id string, field string, term string")
+    hits = index.matching(index.search(stored, clauses), clauses)
+    return hits.select("query_id", key, F.round("score", 6).alias("score"))
+
+
+@query("search_documents", f"WITH {sql_search('doc_oid')} SELECT query_id, docOID, score FROM hit")
+def search_documents(spark, sf_dir):
+    """Fielded clauses against the stored index of whole conversations."""
+    return fielded_hits(spark, build.build_doc_index(C.sections(spark, sf_dir), "text;dc.Subject"), "docOID")
+
+
+@query(
+    "search_sections",
+    f"""WITH {sql_search('docOID')}, x AS (SELECT query_id, h.docOID, score, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, h.docOID) AS rank,
+     count(*) OVER (PARTITION BY query_id, role) AS same_role, role FROM hit h JOIN sections s ON s.docOID = h.docOID)
+    SELECT query_id, docOID, score, rank, role, same_role FROM x WHERE rank <= 11""",
+)
+def search_sections(spark, sf_dir):
+    """First page of eleven turns per query, with the facet counts of their roles."""
+    from lexshelf.operators import rank
+
+    sections = C.sections(spark, sf_dir)
+    rows = build.build_sec_index(sections, "text;dc.Subject")
+    bag = F.array(*[F.struct(F.lit(f).alias("field"), F.col(f).alias("value")) for f in ("TX", "SU")])
+    hits = cut(fielded_hits(spark, rows.select("docOID", F.inline(bag)).filter("value IS NOT NULL"), "docOID"))
+    roles = sections.select(build.section_key().alias("docOID"), F.element_at(build.meta_values("dc.Subject"), -1).alias("role"))
+    counts = facets.facet_fields(roles, ["role"], hits, "docOID").select("query_id", F.col("value").alias("role"), F.col("count").alias("same_role"))
+    page = rank.top_k(hits, 11, "docOID")
+    return page.join(roles, "docOID").join(counts, ["query_id", "role"]).select("query_id", "docOID", "score", "rank", "role", "same_role")

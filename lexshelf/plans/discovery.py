@@ -31,11 +31,12 @@ def sql_tagged(text: str, pre: str, post: str) -> str:
 
 def top_texts(spark, sf_dir):
     """Text and query terms of the three best hits of every query."""
-    top = rank.top_k(benchmark_hits(spark, sf_dir), 3, "doc_id").select("query_id", "doc_id")
+    top = cut(rank.top_k(benchmark_hits(spark, sf_dir), 3, "doc_id").select("query_id", "doc_id"))
     asked = C.table(spark, sf_dir, "benchmark").select(
         F.col("item_id").alias("query_id"), F.array_distinct(C.GENERAL(F.col("text"))).alias("terms")
     )
-    return top.join(C.table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id").join(asked, "query_id")
+    # stored hits: Spark sees how few they are, and brings them to the texts
+    return C.table(spark, sf_dir, "documents").select("doc_id", "text").join(top, "doc_id").join(asked, "query_id")
 
 
 @query("highlighted_documents", f"WITH {SQL_TOP3} SELECT query_id, doc_id, {sql_tagged('text', *highlight.DOC_TAGS)} AS highlighted FROM rows")
