@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lexshelf.functions.analyzers import Analyzer, term_rows, token_rows
+from lexshelf.functions.text import RUNS, WORD_CHARS
 from lexshelf.session import spread_join
 
 BLOCK = 4096
@@ -119,6 +120,26 @@ def term_vectors(post: DataFrame, key: str, docs: DataFrame | None = None) -> Da
     )
 
 
+def token_offsets(df: DataFrame, key: str, text: str) -> DataFrame:
+    """(key, term, pos, start, end) of the words of one text per key: characters from start up to end.
+
+    The text is cut into words and what stands between them, and lengths are summed up along it.
+    """
+    runs = df.select(key, F.posexplode(F.regexp_extract_all(F.col(text), F.lit(RUNS), F.lit(0))).alias("_i", "_run"))
+    before = Window.partitionBy(key).orderBy("_i").rowsBetween(Window.unboundedPreceding, -1)
+    word = F.col("_run").rlike(f"^[{WORD_CHARS}]")
+    placed = runs.select(
+        key,
+        "_run",
+        word.alias("_word"),
+        F.coalesce(F.sum(F.when(word, 1).otherwise(0)).over(before), F.lit(0)).alias("pos"),
+        F.coalesce(F.sum(F.length("_run")).over(before), F.lit(0)).alias("start"),
+    )
+    return placed.filter("_word").select(
+        key, F.lower("_run").alias("term"), "pos", "start", (F.col("start") + F.length("_run")).alias("end")
+    )
+
+
 def drop_stop_words(tokens: DataFrame, stop_words: DataFrame, word: str = "word") -> DataFrame:
     """Remove listed terms (a list of any length); positions stay as they are. A frequent term is split."""
     return spread_join(tokens, stop_words.select(F.lower(word).alias("term")).distinct(), ["term"], "left_anti")

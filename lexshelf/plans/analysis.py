@@ -360,7 +360,27 @@ def alpha_sort_key(spark, sf_dir):
     )
 
 
-@query("phonetic_match")
+# Soundex: the code of each letter, 7 for those that part nothing; equal codes in a row count once; vowels part but are not written
+SOUNDEX_CODES = ("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "01230127022455012623017202")
+
+
+def sql_soundex(x: str) -> str:
+    code = f"regexp_replace(translate(upper({x}), '{SOUNDEX_CODES[0]}', '{SOUNDEX_CODES[1]}'), '[^0-7]', '0', 'g')"
+    out = f"left({code}, 1) || replace(substr({code}, 2), '7', '')"
+    for digit in "0123456":
+        out = f"regexp_replace({out}, '{digit}+', '{digit}', 'g')"
+    out = f"rpad(left(replace(substr({out}, 2), '0', ''), 3), 3, '0')"
+    return f"CASE WHEN regexp_matches({x}, '^[A-Za-z]') THEN upper(left({x}, 1)) || {out} ELSE {x} END"
+
+
+@query(
+    "phonetic_match",
+    f"""WITH d AS MATERIALIZED (SELECT DISTINCT doc_id, x FROM (SELECT doc_id, unnest({C.GENERAL_ARRAY}) AS x FROM documents)),
+    q AS (SELECT DISTINCT item_id AS query_id, x FROM (SELECT item_id, unnest({C.GENERAL_ARRAY}) AS x FROM benchmark)),
+    k AS MATERIALIZED (SELECT x, {sql_soundex('x')} AS k FROM (SELECT x FROM d UNION SELECT x FROM q)),
+    dk AS (SELECT DISTINCT doc_id, k FROM d JOIN k USING (x)), qk AS (SELECT DISTINCT query_id, k FROM q JOIN k USING (x))
+    SELECT query_id, doc_id, count(*) AS n_keys FROM dk JOIN qk USING (k) GROUP BY ALL""",
+)
 def phonetic_match(spark, sf_dir):
     """Documents by the sound of the queries' words: both sides carry the phonetic key as their term."""
     chain = C.GENERAL.then("term", F.soundex)
@@ -462,6 +482,19 @@ for _lang in ("de", "fr", "es"):
     query(f"preset_text_{_lang}", sql_language(_lang))(language_terms(_lang))
 
 
+@query(
+    "duplicates_at_a_position",
+    sql_terms(sql_map(SQL_LOW, SQL_STEM_EN)),
+)
+def duplicates_at_a_position(spark, sf_dir):
+    """A synonym that the stemmer makes equal to its word is one term at that position, not two."""
+    steps = (
+        ("term", F.lower), ("slots", T.synonyms([], [["the", "thes"], ["that", "thats"]])),
+        ("term", T.stem_en_minimal), ("slots", T.dedupe_tokens),
+    )
+    return chain_terms(spark, sf_dir, Analyzer("dedupe", T.tok_standard, (), steps))
+
+
 @query("preset_token_counts")
 def preset_token_counts(spark, sf_dir):
     """Tokens every preset makes of the corpus, in one pass."""

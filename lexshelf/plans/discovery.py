@@ -127,8 +127,8 @@ def spelling_query(spark, sf_dir):
 
 @query(
     "word_breaks",
-    f"""WITH {SQL_LOWER_STATS}, {SQL_BENCH_WORDS}, w AS (SELECT DISTINCT word FROM bw WHERE length(word) >= 2),
-    c AS (SELECT word, left(word, i) AS "left", substr(word, i + 1) AS "right" FROM (SELECT word, unnest(range(1, length(word))) AS i FROM w))
+    f"""WITH {SQL_LOWER_STATS.replace("stats AS (", "stats AS MATERIALIZED (")}, {SQL_BENCH_WORDS}, w AS (SELECT DISTINCT word FROM bw WHERE length(word) >= 2),
+    c AS MATERIALIZED (SELECT word, left(word, i) AS "left", substr(word, i + 1) AS "right" FROM (SELECT word, unnest(range(1, length(word))) AS i FROM w))
     SELECT word, "left", "right", a.df AS left_df, b.df AS right_df FROM c JOIN stats a ON a.term = c."left" JOIN stats b ON b.term = c."right" """,
 )
 def word_breaks(spark, sf_dir):

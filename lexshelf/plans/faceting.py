@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from lexshelf.functions import text as T
 from lexshelf.functions import words as W
 from lexshelf.functions.analyzers import query_rows
 from lexshelf.operators import facets, match, postings
@@ -181,20 +182,19 @@ def term_vectors(spark, sf_dir):
     return vectors.withColumn("tf_idf", F.round("tf_idf", 6))
 
 
+SQL_RUNS = T.RUNS.replace("'", "''")
+
+
 @query(
     "term_offsets",
-    f"""WITH {C.sql_token_rows('documents', 'doc_id', "list_transform(" + C.sql_tokens('text') + ", lambda x: lower(x))")}
-    SELECT doc_id, term, pos FROM tok WHERE term IN (SELECT unnest({C.sql_tokens('lower(text)')}) FROM benchmark) AND doc_id IN (SELECT doc_id FROM labels WHERE toxic = 1)""",
+    f"""WITH r AS (SELECT doc_id, generate_subscripts(t, 1) AS i, unnest(t) AS run FROM (SELECT doc_id, regexp_extract_all(text, '{SQL_RUNS}') AS t FROM documents)),
+    o AS (SELECT *, regexp_matches(run, '^[{T.WORD_CHARS}]') AS word, coalesce(sum(length(run)) OVER w, 0) AS start, coalesce(sum(CASE WHEN regexp_matches(run, '^[{T.WORD_CHARS}]') THEN 1 ELSE 0 END) OVER w, 0) AS pos
+      FROM r WINDOW w AS (PARTITION BY doc_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING))
+    SELECT doc_id, lower(run) AS term, CAST(pos AS BIGINT) AS pos, CAST(start AS BIGINT) AS start, CAST(start + length(run) AS BIGINT) AS "end" FROM o WHERE word""",
 )
 def term_offsets(spark, sf_dir):
-    """Positions of the queries' terms in the labelled documents."""
-    from lexshelf.plans.matching import LOWER
-
-    docs = C.table(spark, sf_dir, "labels").filter("toxic = 1").select("doc_id")
-    wanted = C.documents(spark, sf_dir).join(docs, "doc_id", "left_semi")
-    asked = C.clauses(spark, sf_dir, LOWER).select("term").distinct()
-    tokens = postings.restrict(postings.tokenize(wanted, "doc_id", "text", LOWER), asked)
-    return tokens.select("doc_id", "term", "pos")
+    """Every token of every document with its place and its characters in the text."""
+    return postings.token_offsets(C.documents(spark, sf_dir), "doc_id", "text")
 
 
 @query(
