@@ -69,34 +69,43 @@ def phrase_match(tokens: DataFrame, phrases: DataFrame, key: str) -> DataFrame:
     )
 
 
+#: Letters of a literal inside a pattern that terms are looked up by.
+INSIDE = 3
+
+
 def expand_wildcards(stats: DataFrame, patterns: DataFrame) -> DataFrame:
     """Index terms each ``(query_id, pattern)`` stands for; ``*`` any run, ``?`` one character.
 
-    Joined on the pattern's literal start or end, whichever is longer, then checked in full. All terms are kept.
-    What is found is stored before it is counted, so ``stats`` is read once.
+    Joined on the pattern's literal start or end, whichever is longer, or else on the first letters of its longest
+    literal inside, then checked in full. A pattern without a literal is compared with all terms, which are dealt out.
+    All terms are kept. What is found is stored before it is counted, so ``stats`` is read once.
     """
     star = F.regexp_replace(F.col("pattern"), r"[*?].*$", "")
     tail = F.regexp_replace(F.col("pattern"), r"^.*[*?]", "")
-    keyed = patterns.withColumn("_end", F.length(tail) > F.length(star)).withColumn(
-        "_anchor", F.when(F.col("_end"), tail).otherwise(star)
+    inner = F.array_max(F.transform(F.split("pattern", "[*?]"), lambda p: F.struct(F.length(p).alias("n"), p.alias("p"))))["p"]
+    side = F.when((star == "") & (tail == ""), "inside").when(F.length(tail) > F.length(star), "end").otherwise("start")
+    keyed = patterns.withColumn("_side", side).withColumn(
+        "_anchor", F.when(F.col("_side") == "inside", F.left(inner, F.lit(INSIDE))).when(F.col("_side") == "end", tail).otherwise(star)
     )
     keyed = keyed.withColumn("_n", F.length("_anchor"))
     like = F.replace(F.replace(F.col("pattern"), F.lit("\\"), F.lit("\\\\")), F.lit("%"), F.lit("\\%"))
     like = F.translate(F.replace(like, F.lit("_"), F.lit("\\_")), "*?", "%_")
-    plain = F.col("pattern") == F.when(F.col("_end"), F.concat(F.lit("*"), "_anchor")).otherwise(F.concat("_anchor", F.lit("*")))
+    plain = F.col("pattern") == F.when(F.col("_side") == "end", F.concat(F.lit("*"), "_anchor")).otherwise(F.concat("_anchor", F.lit("*")))
     # stored: Spark then knows how few patterns there are when it plans the join
     keyed = cut(keyed.withColumn("_like", F.when(~plain, like)))
     # the few (side, length) combinations the patterns use
-    shapes = keyed.select(F.collect_set(F.struct("_end", "_n"))).scalar()
+    shapes = keyed.select(F.collect_set(F.struct("_side", "_n"))).scalar()
+    term, n = F.col("term"), F.col("_shape._n")
+    runs = F.transform(F.sequence(F.lit(1), F.greatest(F.length(term) - n + 1, F.lit(1))), lambda i: F.substr(term, i, n))
+    anchors = (
+        F.when((F.col("_shape._side") == "inside") & (n > 0), F.array_distinct(runs))
+        .when(F.col("_shape._side") == "end", F.array(F.right(term, n)))
+        .otherwise(F.array(F.left(term, n)))
+    )
     anchored = stats.select("*", F.explode(shapes).alias("_shape")).select(
-        *stats.columns,
-        F.col("_shape._end").alias("_end"),
-        F.col("_shape._n").alias("_n"),
-        F.when(F.col("_shape._end"), F.right("term", F.col("_shape._n")))
-        .otherwise(F.left("term", F.col("_shape._n")))
-        .alias("_anchor"),
+        *stats.columns, F.col("_shape._side").alias("_side"), F.col("_shape._n").alias("_n"), F.explode(anchors).alias("_anchor")
     )
-    found = anchored.join(keyed, ["_end", "_n", "_anchor"]).filter(F.expr("_like IS NULL OR term LIKE _like"))
+    found = spread_join(anchored, keyed, ["_side", "_n", "_anchor"], by=F.xxhash64("term")).filter(F.expr("_like IS NULL OR term LIKE _like"))
     found = cut(found.select("query_id", "pattern", *stats.columns))
     size = cut(found.groupBy("query_id", "pattern").agg(F.count(F.lit(1)).alias("n_terms")))
     return found.join(size, ["query_id", "pattern"]).select("query_id", "pattern", *stats.columns, "n_terms")

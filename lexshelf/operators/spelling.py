@@ -13,24 +13,58 @@ def _segment(term: Column, size: Column, j: int, parts: int) -> Column:
     return F.substr(term, (start + 1).cast("int"), (F.floor(size * (j + 1) / parts) - start).cast("int"))
 
 
+#: Terms up to this length are looked up by what deletions leave of them; their segments would be single letters.
+SHORT = 6
+
+
+def _deletions(term: Column, edits: int) -> Column:
+    """The term and all strings that up to ``edits`` deletions leave of it."""
+
+    def without_one(t: Column) -> Column:
+        places = F.sequence(F.lit(1), F.length(t))
+        left = F.transform(places, lambda i: F.concat(F.left(t, i - 1), F.substr(t, i + 1)))
+        return F.when(F.length(t) > 0, left).otherwise(F.array().cast("array<string>"))
+
+    found = last = F.array(term)
+    for _ in range(edits):
+        last = F.array_distinct(F.flatten(F.transform(last, without_one)))
+        found = F.concat(found, last)
+    return F.array_distinct(found)
+
+
 def near_terms(stats: DataFrame, words: DataFrame, edits: int = 2, prefix: int = 1) -> DataFrame:
     """Pairs (word, term, distance) at 1 to ``edits`` edits that share their first ``prefix`` letters.
 
-    A term is cut into edits + 1 segments: with so few edits one of them, the j-th, stays whole in the
+    A long term is cut into edits + 1 segments: with so few edits one of them, the j-th, stays whole in the
     word, with at most j edits before it and edits - j after it, which bounds how far it has moved.
-    So an equi-join on segments finds every pair, and no two terms are compared that do not share one.
+    A short term and a word so close leave the same string after at most ``edits`` deletions each. So equi-joins on
+    segments and on such strings find every pair, and no two terms are compared that share neither.
     """
+    held = stats.select("term", "df", F.left("term", F.lit(prefix)).alias("_head"), F.length("term").cast("int").alias("_n"))
+    asked = words.select("word", F.left("word", F.lit(prefix)).alias("_head"), F.length("word").alias("_size")).distinct()
+    pairs = _near_long(held, asked, edits).union(_near_short(held, asked, edits))
+    return (
+        pairs.withColumn("distance", F.levenshtein("word", "term", edits))
+        .filter(F.col("distance") > 0)
+        .select("word", "term", "df", "distance")
+        .distinct()
+    )
+
+
+def _near_short(held: DataFrame, asked: DataFrame, edits: int) -> DataFrame:
+    terms = held.filter(F.col("_n") <= SHORT).select("term", "df", "_head", F.explode(_deletions(F.col("term"), edits)).alias("_left"))
+    near = asked.filter(F.col("_size") <= SHORT + edits).select("word", "_head", F.explode(_deletions(F.col("word"), edits)).alias("_left"))
+    return terms.join(near, ["_head", "_left"]).select("word", "term", "df")
+
+
+def _near_long(held: DataFrame, asked: DataFrame, edits: int) -> DataFrame:
     parts = edits + 1
-    size = F.length("term")
-    held = stats.select("term", "df", F.left("term", F.lit(prefix)).alias("_head"), size.cast("int").alias("_n"))
-    held = held.select(
+    held = held.filter(F.col("_n") > SHORT).select(
         "term", "df", "_head", "_n",
         F.posexplode(F.array(*[_segment(F.col("term"), F.col("_n"), j, parts) for j in range(parts)])).alias("_j", "_seg"),
     )
-    n = F.length("word")
-    asked = words.select("word", F.left("word", F.lit(prefix)).alias("_head"), n.alias("_size")).distinct()
     asked = asked.select("*", F.explode(F.sequence(F.greatest(F.col("_size") - edits, F.lit(1)), F.col("_size") + edits)).alias("_n"))
-    asked = asked.select("*", F.explode(F.sequence(F.lit(0), F.lit(edits))).alias("_j"))
+    asked = asked.filter(F.col("_n") > SHORT).select("*", F.explode(F.sequence(F.lit(0), F.lit(edits))).alias("_j"))
     asked = asked.select("*", F.explode(F.sequence(F.lit(-edits), F.lit(edits))).alias("_shift"))
     start = F.floor(F.col("_n") * F.col("_j") / parts)
     length = F.floor(F.col("_n") * (F.col("_j") + 1) / parts) - start
@@ -41,17 +75,9 @@ def near_terms(stats: DataFrame, words: DataFrame, edits: int = 2, prefix: int =
         .filter(F.abs("_shift") <= F.col("_j"))
         .filter(F.abs(F.col("_shift") - (F.col("_size") - F.col("_n"))) <= edits - F.col("_j"))
         .select("word", "_head", "_n", "_j", F.substr(F.col("word"), F.col("_at") + 1, F.col("_len")).alias("_seg"))
-        # few words make many pairs: a fixed number of partitions, not merged for being small
-        .repartition(int(stats.sparkSession.conf.get("spark.sql.shuffle.partitions")), "_head", "_n", "_j", "_seg")
-        .distinct()
-    )
-    pairs = held.join(asked, ["_head", "_n", "_j", "_seg"])
-    return (
-        pairs.withColumn("distance", F.levenshtein("word", "term", edits))
-        .filter(F.col("distance") > 0)
-        .select("word", "term", "df", "distance")
         .distinct()
     )
+    return held.join(asked, ["_head", "_n", "_j", "_seg"]).select("word", "term", "df")
 
 
 def spellcheck(
@@ -144,32 +170,27 @@ def collate(words: DataFrame, suggestions: DataFrame, post: DataFrame, key: str)
     return best.select("query_id", "_b.rank_sum", "_b.corrected", "_b.hits")
 
 
+def _masked(c: Column) -> Column:
+    """The string with each of its letters hidden in turn."""
+    return F.transform(F.sequence(F.lit(1), F.length(c)), lambda i: F.concat(F.left(c, i - 1), F.lit("\u0001"), F.substr(c, i + 1)))
+
+
 def suggest(df: DataFrame, field: str, weight: str, prefixes: DataFrame, n: int = 10) -> DataFrame:
     """Values that start with a prefix ``(query_id, prefix)``, one wrong letter allowed, heaviest first.
 
-    Start and prefix are equally long, so at most one letter differs and one half is whole: an
-    equi-join on halves finds every candidate.
+    Start and prefix are equally long, so they agree in all letters but one at most: an equi-join on strings with one letter
+    hidden finds every candidate, and only such.
     """
-    lengths = prefixes.select(F.collect_set(F.length("prefix"))).scalar()
+    asked = prefixes.filter(F.length("prefix") > 0).select("query_id", "prefix", F.length("prefix").alias("_n"))
+    lengths = asked.select(F.collect_set("_n")).scalar()
     values = df.filter(F.col(field).isNotNull()).groupBy(F.col(field).alias("value")).agg(F.max(weight).alias("weight"))
-
-    def halves(c: Column) -> Column:
-        size = F.length(c)
-        half = F.floor(size / 2).cast("int")
-        return F.array(F.left(c, half), F.substr(c, half + 1))
-
     held = (
         values.select("value", "weight", F.explode(lengths).alias("_n"))
         .filter(F.length("value") >= F.col("_n"))
-        .select("value", "weight", "_n", F.left("value", F.col("_n")).alias("_start"))
-        .select("*", F.posexplode(halves(F.col("_start"))).alias("_j", "_half"))
-    )
-    asked = prefixes.select("query_id", "prefix", F.length("prefix").alias("_n")).select(
-        "*", F.posexplode(halves(F.col("prefix"))).alias("_j", "_half")
+        .select("value", "weight", F.explode(_masked(F.left("value", F.col("_n")))).alias("_hidden"))
     )
     pairs = (
-        held.join(asked, ["_n", "_j", "_half"])
-        .filter(F.levenshtein("_start", "prefix") <= 1)
+        held.join(asked.select("query_id", "prefix", F.explode(_masked(F.col("prefix"))).alias("_hidden")), "_hidden")
         .select("query_id", "prefix", "value", "weight")
         .distinct()
     )
