@@ -11,6 +11,7 @@ from lexshelf.functions.analyzers import LANGUAGE_STEPS, PRESETS, Analyzer, anal
 from lexshelf.operators import match, postings
 from lexshelf.plans import corpus as C
 from lexshelf.plans.corpus import query
+from lexshelf.session import literal_table
 
 
 def term_table(tokens: DataFrame) -> DataFrame:
@@ -330,15 +331,22 @@ SQL_WIDE = "".join(chr(c) for c in range(0xFF01, 0xFF5F)).replace("'", "''")
 SQL_PLAIN = "".join(chr(c - 0xFEE0) for c in range(0xFF01, 0xFF5F)).replace("'", "''")
 
 
+# the tables hold no ideographs or kana: a few literal texts go beside them
+CJK_TEXTS = ["東京都の天気 abc", "ＡＢ１ 한국어 テスト", "日 本 ひらがな"]
+
+
 @query(
     "cjk_bigrams",
-    f"""WITH w AS (SELECT unnest(list_transform({SQL_STRIPPED}, lambda x: lower(translate(x, '{SQL_WIDE}', '{SQL_PLAIN}')))) AS x FROM documents),
+    f"""WITH d AS (SELECT text FROM documents UNION ALL SELECT unnest([{sql_list(CJK_TEXTS)}])),
+    w AS (SELECT unnest(list_transform({SQL_STRIPPED}, lambda x: lower(translate(x, '{SQL_WIDE}', '{SQL_PLAIN}')))) AS x FROM d),
     g AS (SELECT unnest(CASE WHEN regexp_matches(x, '^[\\p{{Han}}\\p{{Hiragana}}\\p{{Katakana}}\\p{{Hangul}}]{{2,}}$')
       THEN list_transform(range(1, length(x)), lambda i: substr(x, i, 2)) ELSE [x] END) AS term FROM w)
     SELECT term, count(*) AS n FROM g GROUP BY term""",
 )
 def cjk_bigrams(spark, sf_dir):
-    return C.doc_tokens(spark, sf_dir, analyzer("text_cjk")).groupBy("term").agg(F.count(F.lit(1)).alias("n"))
+    more = literal_table(spark, [(-1 - i, t) for i, t in enumerate(CJK_TEXTS)], "doc_id bigint, text string")
+    docs = C.documents(spark, sf_dir).union(more)
+    return postings.tokenize(docs, "doc_id", "text", analyzer("text_cjk")).groupBy("term").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query(

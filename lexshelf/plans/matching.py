@@ -334,7 +334,7 @@ def sections_of_documents(spark, sf_dir):
 @query(
     "facet_labels",
     """WITH counts AS (SELECT 'nation' AS field, CAST(c_nationkey AS VARCHAR) AS value, count(*) AS count FROM customer GROUP BY 2),
-    labels AS (SELECT 'nation' AS field, CAST(n_nationkey AS VARCHAR) AS value, CASE WHEN n_nationkey % 3 = 0 THEN 'fr' ELSE 'en' END AS lang, n_name AS label FROM nation WHERE n_nationkey <> 5)
+    labels AS (SELECT 'nation' AS field, CAST(n_nationkey AS VARCHAR) AS value, CASE WHEN n_nationkey = 5 THEN 'es' WHEN n_nationkey % 3 = 0 THEN 'fr' ELSE 'en' END AS lang, n_name AS label FROM nation)
     SELECT c.field, c.value, c.count, coalesce(f.label, e.label, c.value) AS label FROM counts c
      LEFT JOIN labels f ON f.value = c.value AND f.lang = 'fr' LEFT JOIN labels e ON e.value = c.value AND e.lang = 'en'""",
 )
@@ -342,11 +342,10 @@ def facet_labels(spark, sf_dir):
     from lexshelf.operators.facets import facet_fields
 
     customers = C.table(spark, sf_dir, "customer").withColumnRenamed("c_nationkey", "nation")
-    nation = C.table(spark, sf_dir, "nation").filter("n_nationkey != 5")
-    labels = nation.select(
+    labels = C.table(spark, sf_dir, "nation").select(
         F.lit("nation").alias("field"),
         F.col("n_nationkey").cast("string").alias("value"),
-        F.when(F.col("n_nationkey") % 3 == 0, "fr").otherwise("en").alias("lang"),
+        F.when(F.col("n_nationkey") == 5, "es").when(F.col("n_nationkey") % 3 == 0, "fr").otherwise("en").alias("lang"),
         F.col("n_name").alias("label"),
     )
     return match.label_facets(facet_fields(customers, ["nation"]), labels, "fr")

@@ -21,14 +21,17 @@ def benchmark_postings(spark, sf_dir):
 
 
 def benchmark_parts(spark, sf_dir, model: str = "tfidf", post=None):
-    if post is None:
+    if model == "bm25" and post is None:
+        # the lengths of all documents are wanted, so all postings are stored
+        post, asked = cut(C.doc_postings(spark, sf_dir)), C.clauses(spark, sf_dir)
+    elif post is None:
         post, asked = benchmark_postings(spark, sf_dir)
     else:
         asked = C.clauses(spark, sf_dir)
     avg_len = None
     if model == "bm25":
-        sizes = C.documents(spark, sf_dir).select(F.size(C.GENERAL(F.col("text"))).alias("n"))
-        avg_len = sizes.select(F.avg("n")).scalar()
+        sizes = cut(post.groupBy("doc_id").agg(F.max("len").alias("n")).agg(F.avg("n").alias("mean")))
+        avg_len = sizes.select("mean").scalar()
     weights = cut(rank.term_weights(post, asked, C.count_docs(spark, sf_dir), model, avg_len))
     return rank.explain_scores(post, weights)
 
@@ -55,7 +58,7 @@ def scores_tfidf(spark, sf_dir):
 
 @query(
     "top_documents_bm25",
-    f"""WITH {C.SQL_MATCH}, n AS (SELECT count(*) AS n, (SELECT avg(len(t)) FROM arr) AS a FROM documents),
+    f"""WITH {C.SQL_MATCH}, n AS (SELECT count(*) AS n, (SELECT avg(len) FROM (SELECT DISTINCT doc_id, len FROM post)) AS a FROM documents),
     parts AS (SELECT query_id, doc_id, ln(1 + (n - df + 0.5) / (df + 0.5)) * tf * 2.2 / (tf + 1.2 * (0.25 + 0.75 * len / a)) AS value
       FROM matches JOIN stats USING (term), n),
     r AS (SELECT query_id, doc_id, round(sum(value), 6) AS score, count(*) AS n_terms FROM parts GROUP BY ALL)
@@ -152,6 +155,17 @@ def sort_hits(spark, sf_dir):
     return rank.numbered(rows, [rank.sort_key(rows, "size", True)], "p_partkey").select("p_partkey", "place")
 
 
+@query(
+    "index_order",
+    """SELECT conv_id, turn, row_number() OVER (ORDER BY conv_id, turn) AS place FROM conversations QUALIFY role = 'user'""",
+)
+def index_order(spark, sf_dir):
+    """Hits in the order in which their sections were read."""
+    rows = C.table(spark, sf_dir, "conversations").select("conv_id", "turn", "role")
+    placed = rank.numbered(rows, [F.asc("conv_id")], "turn")
+    return placed.filter("role = 'user'").select("conv_id", "turn", "place").orderBy("place")
+
+
 @query(
     "sort_multi_valued",
     """SELECT p_partkey, least(split_part(p_name, ' ', 1), split_part(p_name, ' ', 2)) AS least_value,
