@@ -373,7 +373,7 @@ SOUNDEX_CODES = ("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "01230127022455012623017202")
 
 
 def sql_soundex(x: str) -> str:
-    code = f"regexp_replace(translate(upper({x}), '{SOUNDEX_CODES[0]}', '{SOUNDEX_CODES[1]}'), '[^0-7]', '0', 'g')"
+    code = f"translate(regexp_replace(upper({x}), '[^A-Z]', '0', 'g'), '{SOUNDEX_CODES[0]}', '{SOUNDEX_CODES[1]}')"
     out = f"left({code}, 1) || replace(substr({code}, 2), '7', '')"
     for digit in "0123456":
         out = f"regexp_replace({out}, '{digit}+', '{digit}', 'g')"
