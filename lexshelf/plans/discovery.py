@@ -93,6 +93,28 @@ def more_like_this(spark, sf_dir):
     return discover.more_like_this(post, sources, "doc_id", C.count_docs(spark, sf_dir), max_terms=25, min_tf=2, min_df=5)
 
 
+@query(
+    "more_like_this_fields",
+    """WITH t AS (SELECT p_partkey, 'name' AS field, string_split(lower(p_name), ' ') AS t FROM part UNION ALL SELECT p_partkey, 'type', [lower(p_type)] FROM part),
+    post AS (SELECT p_partkey, field, len(t) AS len, term, count(*) AS tf FROM (SELECT p_partkey, field, t, unnest(t) AS term FROM t) GROUP BY ALL),
+    st AS (SELECT field, term, count(*) AS df FROM post GROUP BY ALL), n AS (SELECT count(*) AS n FROM part),
+    src AS (SELECT p_partkey FROM part QUALIFY row_number() OVER (PARTITION BY p_brand ORDER BY p_retailprice DESC, p_partkey) = 1),
+    cl AS (SELECT p_partkey AS query_id, field, term FROM post WHERE p_partkey IN (SELECT * FROM src)),
+    h AS (SELECT query_id, p_partkey, round(sum(sqrt(tf) * pow(1 + ln(n / (df + 1)), 2) * CASE field WHEN 'name' THEN 2.0 ELSE 0.5 END / sqrt(len)), 6) AS score
+      FROM cl JOIN post USING (field, term) JOIN st USING (field, term), n WHERE p_partkey <> query_id GROUP BY ALL)
+    SELECT query_id, p_partkey, score, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, p_partkey) AS rank FROM h QUALIFY rank <= 5""",
+)
+def more_like_this_fields(spark, sf_dir):
+    """Five parts like the dearest of each brand, by the words of two weighted fields."""
+    parts = C.table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_type", "p_brand", "p_retailprice")
+    fields = {"name": "p_name", "type": "p_type"}
+    post = [postings.postings_of(parts, "p_partkey", c, LOWER).withColumn("field", F.lit(f)) for f, c in fields.items()]
+    dearest = F.max(F.struct("p_retailprice", (-F.col("p_partkey")).alias("_k")))["_k"]
+    sources = parts.groupBy("p_brand").agg((-dearest).alias("p_partkey"))
+    count = parts.select(F.count(F.lit(1))).scalar()
+    return discover.more_like_this(cut(post[0].union(post[1])), sources, "p_partkey", count, 5, {"name": 2.0, "type": 0.5})
+
+
 def index_words(spark, sf_dir):
     return cut(postings.term_stats(C.doc_postings(spark, sf_dir, LOWER)))
 
