@@ -136,8 +136,10 @@ def _parse_docs(length: int, trigger: int, parts: int):
             later = (doc != doc[head]) | (off != off[head])
             rows = [row(i, none, none, doc[later][i::parts], off[later][i::parts], n[later][i::parts]) for i in range(parts if later.any() else 0)]
             h, g, doc, off, n = (x[first] for x in (h, g, doc, off, n))
-            part = (h >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)
-            edges = np.searchsorted(part, np.arange(parts + 1))
+            part = (h & np.uint64(0xFFFFFFFF)) * np.uint64(parts) >> np.uint64(32)  # the upper half is a minimum, so not even
+            order = np.argsort(part, kind="stable")
+            h, g, doc, off, n = (x[order] for x in (h, g, doc, off, n))
+            edges = np.searchsorted(part[order], np.arange(parts + 1))
             for i in np.flatnonzero(np.diff(edges)).tolist():
                 s = slice(edges[i], edges[i + 1])
                 rows.append(row(i, h[s], g[s], doc[s], off[s], n[s]))
