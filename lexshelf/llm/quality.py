@@ -3,7 +3,8 @@
 Each rule votes good or bad, or abstains. Votes have at most 3 ** 9 patterns, whose counts are all that
 expectation-maximisation needs: it estimates how often each rule is right about good and about bad documents, and the
 share of good ones. The posterior probability of a good document, not a pass of all rules, decides. No text is
-shuffled: one pass counts patterns, and the estimates reach the second pass as a scalar subquery of one row.
+shuffled, and each is measured once: the measured rows are written to the shared folder, their patterns counted, and the
+estimates meet the rows as a scalar subquery of one row.
 
 A null text has no words, like an empty one; both fail the base rules. Any row is judged by itself, so repeated rows
 and null ids need no care. Other columns pass. Without any document the estimates are the initial ones and the result
@@ -12,9 +13,13 @@ is empty.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lexshelf.session import cut
+
 WINDOW = 8
 ROUNDS = 30
 #: Accuracies that each rule starts with about good and bad documents, and the first share of good ones. The belief that a
@@ -89,18 +94,19 @@ def measured(frame: DataFrame) -> DataFrame:
     frame = _once(frame, windows=F.coalesce(windows, F.array().cast("array<bigint>")))
     repeated = F.size(F.array_distinct("windows")) < F.size("windows")
     left = lambda pattern: F.length(F.regexp_replace("joined", pattern, "")).cast("long")
+    number = lambda signs: F.length("joined") - F.length(reduce(lambda text, sign: F.replace(text, F.lit(sign), F.lit("")), signs, F.col("joined")))
     return _once(
         frame,
         n_words=size.cast("long"),
         word_chars=F.length("joined").cast("long"),
-        n_symbols=F.length("joined") - left(r"[#*$%&|<>]+"),
+        n_symbols=number("#*$%&|<>").cast("long"),
         n_lines=F.size("lines").cast("long"),
         n_dup_lines=(F.size("lines") - F.size(F.array_distinct("lines"))).cast("long"),
         n_repeat_words=F.when(repeated, _covered(F.col("windows"))).otherwise(F.lit(0).cast("long")),
         n_distinct=F.size(F.array_distinct("codes")).cast("long"),
         n_letters=F.length("joined") - left(r"\p{L}+"),
         n_capitals=F.length("joined") - left(r"\p{Lu}+"),
-        n_marks=F.length("joined") - left(r"[.!?]+"),
+        n_marks=number(".!?").cast("long"),
         n_frequent=F.size(F.filter("words", lambda w: w.isin(*FREQUENT))).cast("long"),
     ).drop("words", "lines", "codes", "joined", "windows")
 
@@ -162,7 +168,16 @@ def estimated(patterns: Column, n_rules: int, rounds: int = ROUNDS) -> Column:
 
 def judged(docs: DataFrame) -> DataFrame:
     """``docs`` with the measures, base_failed, quality (posterior probability of a good document) and kept."""
-    frame = _once(measured(docs), cast=votes())
+    return _judged(_once(measured(docs), cast=votes()))
+
+
+def judged_ids(docs: DataFrame) -> DataFrame:
+    """The same for doc_id alone; the texts are not written."""
+    return _judged(_once(measured(docs.select("doc_id", "text")), cast=votes()).drop("text"))
+
+
+def _judged(frame: DataFrame) -> DataFrame:
+    frame = cut(frame)
     patterns = frame.groupBy("cast").agg(F.count(F.lit(1)).cast("double").alias("n"))
     one = patterns.agg(F.sort_array(F.collect_list(F.struct("cast", "n"))).alias("patterns"))
     weights = one.select(estimated(F.col("patterns"), len(rules()))).scalar()

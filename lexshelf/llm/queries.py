@@ -67,7 +67,7 @@ def op4_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = quality.judged(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    found = quality.judged_ids(table(spark, sf_dir, "documents"))
     base = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed")
     return found.select("doc_id", *base, "kept", "quality")
 
