@@ -1,6 +1,6 @@
 """Quality rules by weak supervision, in DataFrame functions alone.
 
-Each rule votes good or bad, or abstains. Votes have at most 3 ** 9 patterns, whose counts are all that
+Each rule votes good or bad, or abstains. Votes have at most 3 ** 10 patterns, whose counts are all that
 expectation-maximisation needs: it estimates how often each rule is right about good and about bad documents, and the
 share of good ones. The posterior probability of a good document, not a pass of all rules, decides. No text is
 shuffled, and each is measured once: the measured rows are written to the shared folder, their patterns counted, and the
@@ -52,8 +52,9 @@ def rules() -> dict[str, tuple[Column, Column]]:
         "usual word length": ((chars < 2.5) | (chars > 9), (chars >= 3.5) & (chars <= 6.6)),
         "lines differ": (lines > 0.5, lines <= 0.3),
         "stretches differ": (repeats > 0.3, repeats <= 0.1),
+        "neighbours differ": (F.col("n_same_as_last") / n > 0.3, F.col("n_same_as_last") / n <= 0.05),
         "words vary": (variety < 1.5, variety >= 3),
-        "mostly letters": (letters < 0.88, letters >= 0.93),
+        "mostly letters and digits": (letters < 0.88, letters >= 0.93),
         "few capitals": (capitals > 0.4, capitals <= 0.15),
         "marks end sentences": (marks > 0.8, (marks > 0.01) & (marks <= 0.35)),
         "function words": (F.lit(False), frequent >= 0.08),
@@ -103,8 +104,9 @@ def measured(frame: DataFrame) -> DataFrame:
         n_lines=F.size("lines").cast("long"),
         n_dup_lines=(F.size("lines") - F.size(F.array_distinct("lines"))).cast("long"),
         n_repeat_words=F.when(repeated, _covered(F.col("windows"))).otherwise(F.lit(0).cast("long")),
+        n_same_as_last=F.size(F.filter("codes", lambda c, i: c == F.get("codes", i - 1))).cast("long"),
         n_distinct=F.size(F.array_distinct("codes")).cast("long"),
-        n_letters=F.length("joined") - left(r"\p{L}+"),
+        n_letters=F.length("joined") - left(r"[\p{L}\p{N}]+"),
         n_capitals=F.length("joined") - left(r"\p{Lu}+"),
         n_marks=number(".!?").cast("long"),
         n_frequent=F.size(F.filter("words", lambda w: w.isin(*FREQUENT))).cast("long"),
