@@ -18,6 +18,7 @@ from __future__ import annotations
 import base64
 import heapq
 from collections.abc import Iterator
+from itertools import chain
 
 import duckdb
 import numpy as np
@@ -31,6 +32,11 @@ KNOWN = 400_000
 BLOCK = 4 << 20
 WORDS = 30_000
 
+#: Marks the first stretch of a text; no other stretch starts with a blank.
+FIRST = " "
+#: Signs that are one match together after a word.
+MARKS = ".,;:!?*#$%&|"
+
 #: White space as the tokenizer library takes it.
 SPACE, NOT_SPACE = r"\p{White_Space}", r"\P{White_Space}"
 
@@ -42,9 +48,10 @@ WITH RECURSIVE state(word, tokens, step) AS (
         SELECT word, unnest(tokens[:-2]) AS a, unnest(tokens[2:]) AS b, generate_subscripts(tokens[2:], 1) AS pos
         FROM state WHERE len(tokens) > 1
      ), best AS (
-        SELECT word, min({'merged': merged, 'pos': pos}) AS m FROM pairs JOIN merges USING (a, b) GROUP BY word
+        SELECT word, min(merged * 65536::BIGINT + pos) AS least, least // 65536 AS merged, least % 65536 AS pos
+        FROM pairs JOIN merges USING (a, b) GROUP BY word
      )
-     SELECT word, tokens[:m.pos - 1] || [m.merged] || tokens[m.pos + 2:], step + 1 FROM best JOIN state USING (word))
+     SELECT word, tokens[:pos - 1] || [merged::INTEGER] || tokens[pos + 2:], step + 1 FROM best JOIN state USING (word))
 )
 SELECT word, arg_max(tokens, step) AS tokens FROM state GROUP BY word ORDER BY word
 """
@@ -123,21 +130,30 @@ class Codec:
         return np.array([ranks[p] for p in parts if p], "<u4").tobytes()
 
     def cut(self, text: str) -> list[str]:
-        """Stretches that no match crosses; together they are the text."""
+        """Stretches that no match crosses. All but the first follow a blank that is left out and belongs to their first match."""
         if self.odd.search(text):
-            return [s for s in self.starts.split(text) if s]
+            first, *rest = self.starts.split(text)
+            return [FIRST + first, *[s[1:] for s in rest]]
         first, *rest = text.split(" ")
-        return [first, *[" " + s for s in rest]] if first else [" " + s for s in rest]
+        return [FIRST + first, *rest]
+
+    def split(self, stretch: str) -> list[str]:
+        """The matches of a stretch."""
+        if stretch.isascii() and stretch[:1] != FIRST:
+            word = stretch.rstrip(MARKS)
+            if word.isalpha():
+                return [" " + word, stretch[len(word) :]] if len(word) < len(stretch) else [" " + word]
+        return self.pattern.findall(stretch[1:] if stretch[:1] == FIRST else " " + stretch)
 
     def learn(self, stretches: set[str]) -> None:
         """Encode the stretches that are not known yet."""
-        split = {s: self.pattern.findall(s) for s in stretches}
-        fresh = {m for found in split.values() for m in found if m not in self.matches}
+        split = {s: self.split(s) for s in stretches}
+        fresh = set(chain.from_iterable(split.values())).difference(self.matches)
         todo: list[tuple[str, bytes]] = []
         for match in fresh:
             raw = match.encode()
             if raw in self.ranks:
-                self.matches[match] = np.uint32(self.ranks[raw]).astype("<u4").tobytes()
+                self.matches[match] = self.ranks[raw].to_bytes(4, "little")
             elif len(raw) > LONG:
                 self.matches[match] = self.contract_long(raw)
             else:
@@ -150,13 +166,11 @@ class Codec:
             self.known[stretch] = b"".join(map(self.matches.__getitem__, found))
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        if len(self.known) > KNOWN:
-            self.known.clear()
-        if len(self.matches) > KNOWN:
-            self.matches.clear()
-            self.known.clear()
+        for memory in (self.known, self.matches):
+            if len(memory) > KNOWN:
+                memory.clear()
         cuts = [self.cut(t) for t in texts]
-        self.learn({s for c in cuts for s in c if s not in self.known})
+        self.learn(set(chain.from_iterable(cuts)).difference(self.known))
         return [b"".join(map(self.known.__getitem__, c)) for c in cuts]
 
     def decode(self, ids: list[bytes]) -> list[bytes]:
