@@ -5,19 +5,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lexshelf.session import cut
+from lexshelf.session import cut, spread_join
 
 
 def _large_star(links: DataFrame) -> DataFrame:
     both = links.union(links.select("b", "a"))
     least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
-    return both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
+    return spread_join(both, least, ["a"], by=F.xxhash64("b")).where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
 
 
 def _small_star(links: DataFrame) -> DataFrame:
     down = links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
     least = down.groupBy("a").agg(F.min("b").alias("m"))
-    across = down.join(least, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
+    across = spread_join(down, least, ["a"], by=F.xxhash64("b")).where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
     return across.union(least.select("a", F.col("m").alias("b")))
 
 
@@ -29,7 +29,8 @@ def components(links: DataFrame) -> DataFrame:
     """(node, root) for every node of ``links`` (a, b): root is the least node that can be reached.
 
     Alternating large and small stars; every round is a table in the shared folder, so a lost executor costs
-    one round at most. The number of rounds grows with the logarithm of the longest chain. Links of a node to itself are ignored:
+    one round at most. The links of one node are dealt over several tasks, so a centre may have very many. The number of
+    rounds grows with the logarithm of the longest chain. Links of a node to itself are ignored:
     a node that has no other link is not in the result.
     """
     links = cut(links.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
