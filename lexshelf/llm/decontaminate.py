@@ -33,6 +33,8 @@ BAND = 16
 SLICE = 1 << 20
 BLOCK = 1 << 19
 TABLE_BITS = 22
+#: Stands between texts; no character has this code.
+GAP = 0xFFFFFFFF
 _MUL = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -168,13 +170,14 @@ def scan(index: Index, texts: list[str | None]) -> Iterator[tuple[int, int, int,
     found: dict[tuple[int, int], tuple[int, int, int]] = {}
 
     def flush(rows: list[tuple[int, int, np.ndarray]]) -> None:
-        gap = np.zeros(margin, np.uint32)
+        gap = np.full(margin, GAP, np.uint32)
         codes = np.concatenate([x for _, _, part in rows for x in (part, gap)])
         begins = np.cumsum([0] + [len(part) + margin for _, _, part in rows])
         for item, start, end, edits in index.search(codes):
-            i = int(np.searchsorted(begins, start, side="right")) - 1
-            row, skipped, _ = rows[i]
-            a, b = start - int(begins[i]) + skipped, end - int(begins[i]) + skipped
+            # Either end may reach into a gap by some edits, but a stretch is shorter than a gap: it meets one text only.
+            i = int(np.searchsorted(begins, end - 1, side="right")) - 1
+            row, skipped, part = rows[i]
+            a, b = max(0, start - int(begins[i])) + skipped, min(len(part), end - int(begins[i])) + skipped
             old = found.get((row, item), (a, b, edits))
             found[row, item] = (min(a, old[0]), max(b, old[1]), min(edits, old[2]))
 

@@ -91,6 +91,22 @@ def test_blocks_and_slices(spark, monkeypatch):
     assert decontaminate.keep_clean(frame, bench).collect() == []
 
 
+def test_texts_that_begin_or_end_inside_an_item(spark):
+    rng = random.Random(5)
+    item = "".join(rng.choice("abcdefgh ") for _ in range(100))
+    clean = "".join(rng.choice("ijklmnop ") for _ in range(300))
+    docs = []
+    for cut in range(1, 11):
+        docs += [(len(docs), clean), (len(docs) + 1, item[cut:]), (len(docs) + 2, ""), (len(docs) + 3, item[:-cut]), (len(docs) + 4, None), (len(docs) + 5, item[cut:] + clean)]
+    frame = spark.createDataFrame(docs, "doc_id long, text string").coalesce(1)
+    bench = spark.createDataFrame([(7, item), (8, "\0" * 40)], "item_id long, text string")
+    want = {d: t for d, t in docs if t and t[:20] in item}
+    rows = decontaminate.passages(frame, bench).collect()
+    assert sorted((r.doc_id, r.item_id) for r in rows) == [(d, 7) for d in sorted(want)]
+    assert all(0 <= r.start < r.end <= len(want[r.doc_id]) for r in rows)
+    assert sorted(r.doc_id for r in decontaminate.keep_clean(frame, bench).collect()) == sorted({d for d, _ in docs} - set(want))
+
+
 def test_empty_tables(spark):
     docs = spark.createDataFrame([(1, "some text that is long enough", "y")], "doc_id long, text string, item_id string")
     none = spark.createDataFrame([], "item_id long, text string")
