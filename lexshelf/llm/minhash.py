@@ -1,18 +1,20 @@
 """Near-duplicates by an inverted join over MinHash signatures; whole shingle sets decide every link.
 
 A document's set holds its distinct shingles of ``words`` words. Its signature has COORDS coordinates, each the least of one random
-function over the set, and two sets agree in a coordinate with a chance of their Jaccard similarity.
+function over the set, and two sets agree in a coordinate with a chance of their Jaccard similarity. A byte of each coordinate makes the
+set's tags; pairs of sets whose tags collide in MATCH coordinates are decided by their whole sets.
 
-1. Postings: every different set is posted under its coordinate-value pairs. Pairs that one set alone has are skipped, and so
-   are sets with fewer than LEAST pairs left, since similar sets share LEAST of them (at a similarity of 0.8 all but about one pair of
+1. Postings: every different set is posted under its first POSTED coordinate-value pairs. Pairs that one set alone has are skipped, and so
+   are sets with fewer than LEAST pairs left, since similar sets share LEAST of them (at a similarity of 0.8 all but some pairs of
    sets in ten thousand do; above that nearly all).
 2. Prefixes: the pairs of a set are ordered by how many sets have them, rarest first. Two sets that share LEAST pairs share one
    of the first m - LEAST + 1 pairs of their m, so only those lists are merged; the long lists of common pairs are skipped.
-3. Stars: each list names the member with the commonest pairs as its centre. Collisions of a set with each centre are counted over its
-   lists, and the most frequent centres are compared with it. This puts most of a large family of near copies in one class.
-4. Rest: a list whose members are in one class is done. In every other list all members outside its largest class are compared
-   with all members: by blocks of bounded size, sets beside sets, so that a list of any length is dealt over many tasks and
-   only links leave them, never pairs.
+3. Stars: each list names the member with the commonest pairs as its centre. A set meets the centres that most of its lists name; those
+   whose tags collide enough are decided. This puts most of a large family of near copies in one class.
+4. Rest: a list whose members are in one class is done. In every other list collisions are counted between all members outside its
+   largest class and all members, by blocks of bounded size, so that a list of any length is dealt over many tasks. A pair counts in the
+   first list that both prefixes have. Members that collide enough with another stay, and their whole sets come to the
+   block and are compared there: only links leave it, never pairs.
 
 Equal sets are one node, so copies are never compared. A set is known by a 128-bit hash of its shingle hashes (64 bits each).
 Fewer words than a shingle has: the whole sequence is the one shingle. Nulls, empty texts and texts without a word have an empty
@@ -39,11 +41,14 @@ SEED = 42
 WORDS = 2
 #: The least similarity, as a fraction, so that it is compared in whole numbers.
 SHARE = (4, 5)
-COORDS, LEAST = 64, 38
+COORDS, MATCH = 128, 84
+POSTED, LEAST = 32, 18
 #: Centres that a set is compared with.
 CENTRES = 2
 #: A block of one list holds about so many shingles, and so many sets.
 BLOCK_SHINGLES, BLOCK_SETS = 1 << 18, 512
+#: Pairs whose tags are compared at a time.
+PAIRS = 1 << 16
 MEMO = 1 << 18
 _RANDOM = np.random.default_rng(SEED)
 _TIMES = _RANDOM.integers(0, 1 << 63, COORDS, np.uint64) * np.uint64(2) + np.uint64(1)
@@ -82,6 +87,10 @@ def signature(found: np.ndarray) -> np.ndarray:
     return least
 
 
+def tags_of(least: np.ndarray) -> bytes:
+    return (least >> np.uint64(56)).astype(np.uint8).tobytes()
+
+
 def node_of(found: np.ndarray) -> bytes | None:
     return xxhash.xxh3_128_digest(found.tobytes(), SEED) if len(found) else None
 
@@ -96,14 +105,16 @@ def _sketches(words: int) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memo = _Words()
         for batch in batches:
-            nodes, sizes, keys = [], [], []
+            nodes, sizes, tags, keys = [], [], [], []
             for text in texts_of(batch.column(1)):
                 found = shingles(text, words, memo)
+                least = signature(found)
                 nodes.append(node_of(found))
                 sizes.append(len(found))
-                keys.append(signature(found) if len(found) else found)
-            columns = [batch.column(0), pa.array(nodes, pa.binary()), pa.array(sizes, pa.int64()), _lists(keys)]
-            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "node", "n_shingles", "keys"])
+                tags.append(tags_of(least * _BASE) if len(found) else None)
+                keys.append(least[:POSTED] if len(found) else found)
+            columns = [batch.column(0), pa.array(nodes, pa.binary()), pa.array(sizes, pa.int64()), pa.array(tags, pa.binary()), _lists(keys)]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "node", "n_shingles", "tags", "keys"])
 
     return run
 
@@ -141,12 +152,76 @@ def shared_counts(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray
     return counts.astype(np.int64)
 
 
+def _tag_rows(column: pa.Array) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(-1, COORDS)
+
+
+def _collide(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows (node, centre, x, y) whose tags x and y collide enough."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, PAIRS):
+            part = batch.slice(at, PAIRS)
+            same = (_tag_rows(part.column("x")) == _tag_rows(part.column("y"))).sum(axis=1) >= MATCH
+            yield part.select(["node", "centre"]).filter(pa.array(same))
+
+
+def _blocks_of(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(edges, outer, inner) of the blocks of rows sorted by k, x and y."""
+    k, x, y, outer, inner = (table.column(c).to_numpy() for c in ("k", "x", "y", "outer", "inner"))
+    new = np.append(True, (k[1:] != k[:-1]) | (x[1:] != x[:-1]) | (y[1:] != y[:-1]))
+    return np.append(np.flatnonzero(new), len(k)), outer, inner
+
+
+def _pairs_of(edges: np.ndarray, outer: np.ndarray, inner: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(rows, rows): all outer rows beside all inner rows of their block, about PAIRS at a time."""
+    lefts, rights, size = [], [], 0
+    for start, end in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
+        if end - start < 2:
+            continue
+        left, right = start + np.flatnonzero(outer[start:end]), start + np.flatnonzero(inner[start:end])
+        step = max(1, PAIRS // max(1, len(right)))
+        for at in range(0, len(left), step):
+            part = left[at : at + step]
+            lefts.append(np.repeat(part, len(right)))
+            rights.append(np.tile(right, len(part)))
+            size += len(lefts[-1])
+            if size >= PAIRS:
+                yield np.concatenate(lefts), np.concatenate(rights)
+                lefts, rights, size = [], [], 0
+    if size:
+        yield np.concatenate(lefts), np.concatenate(rights)
+
+
+def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows of blocks that collide enough with a row of another class, first here: (k, x, y, outer, inner, root, node)."""
+    names = ["k", "x", "y", "outer", "inner", "root", "node"]
+    for table in runs(batches, ["k", "x", "y"]):
+        table = table.combine_chunks()
+        tags, roots = _tag_rows(table.column("tags")), table.column("root").combine_chunks().dictionary_encode().indices.to_numpy()
+        before = table.column("before").combine_chunks()
+        seen: dict[int, frozenset] = {}
+
+        def earlier(row: int, before: pa.ListArray = before, seen: dict = seen) -> frozenset:
+            if row not in seen:
+                seen[row] = frozenset(before[row].values.to_numpy().tolist())
+            return seen[row]
+
+        as_outer, as_inner = np.zeros(table.num_rows, bool), np.zeros(table.num_rows, bool)
+        for left, right in _pairs_of(*_blocks_of(table)):
+            other = roots[left] != roots[right]
+            left, right = left[other], right[other]
+            close = (tags[left] == tags[right]).sum(axis=1) >= MATCH
+            for i, j in zip(left[close].tolist(), right[close].tolist(), strict=True):
+                if not (as_outer[i] and as_inner[j]) and earlier(i).isdisjoint(earlier(j)):
+                    as_outer[i] = as_inner[j] = True
+        kept = table.select(names).set_column(3, "outer", pa.array(as_outer)).set_column(4, "inner", pa.array(as_inner))
+        yield from kept.filter(pa.array(as_outer | as_inner)).to_batches()
+
+
 def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Links (a, b) between classes, from rows sorted by block: ``outer`` ones are compared with the ``inner`` ones."""
+    """Links (a, b) between classes, from rows sorted by block: ``outer`` ones are compared with the ``inner`` ones, set by set."""
     for table in runs(batches, ["k", "x", "y"]):
-        k, x, y, outer, inner = (table.column(c).to_numpy() for c in ("k", "x", "y", "outer", "inner"))
-        new = np.append(True, (k[1:] != k[:-1]) | (x[1:] != x[:-1]) | (y[1:] != y[:-1]))
-        edges = np.append(np.flatnonzero(new), len(k))
+        edges, outer, inner = _blocks_of(table)
         roots, found = table.column("root").combine_chunks(), table.column("found").combine_chunks()
         a, b = [], []
         for start, end in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
@@ -167,24 +242,30 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _prefixes(nodes: DataFrame) -> DataFrame:
-    """(k, node, n, weight): the rarest repeated coordinate-value pairs of every set that may have a similar one."""
+    """(k, node, n, weight, before): the rarest repeated coordinate-value pairs of every set that may have a similar one.
+
+    ``before`` are the pairs that come before k in the order of the set.
+    """
     postings = nodes.select("node", F.explode("keys").alias("k"))
     repeated = cut(postings.groupBy("k").agg(F.count(F.lit(1)).alias("sets")).where("sets > 1"))
     held = postings.join(repeated, "k").groupBy("node").agg(F.sort_array(F.collect_list(F.struct("sets", "k"))).alias("held"))
     held = held.where(F.size("held") >= LEAST).select(
         "node",
         F.expr("aggregate(held, 0L, (s, p) -> s + p.sets)").alias("weight"),
-        F.explode(F.slice("held.k", F.lit(1), F.size("held") - LEAST + 1)).alias("k"),
+        F.slice("held.k", F.lit(1), F.size("held") - LEAST + 1).alias("first"),
     )
-    return cut(held.join(nodes.select("node", F.col("n_shingles").alias("n")), "node").select("k", "node", "n", "weight"))
+    lists = held.join(nodes.select("node", F.col("n_shingles").alias("n")), "node").select("node", "n", "weight", "first", F.posexplode("first").alias("at", "k"))
+    return cut(lists.select("k", "node", "n", "weight", F.slice("first", F.lit(1), F.col("at")).alias("before")))
 
 
-def _star_pairs(lists: DataFrame) -> DataFrame:
-    """(node, centre): the centres that a set meets most often over its lists."""
+def _star_pairs(lists: DataFrame, nodes: DataFrame) -> DataFrame:
+    """(node, centre): of the centres that most lists of a set name, those whose tags collide enough with its own."""
     centres = lists.groupBy("k").agg(F.max(F.struct("weight", "node")).getField("node").alias("centre"), F.count(F.lit(1)).alias("sets"))
-    met = lists.join(centres.where("sets > 1"), "k").where("node <> centre").groupBy("node", "centre").agg(F.count(F.lit(1)).alias("times"))
+    met = lists.select("k", "node").join(centres.where("sets > 1"), "k").where("node <> centre").groupBy("node", "centre").agg(F.count(F.lit(1)).alias("times"))
     best = F.row_number().over(Window.partitionBy("node").orderBy(F.desc("times"), "centre"))
-    return cut(met.withColumn("best", best).where(F.col("best") <= CENTRES).select("node", "centre"))
+    met = met.withColumn("best", best).where(F.col("best") <= CENTRES).select("node", "centre")
+    both = met.join(nodes.select("node", F.col("tags").alias("x")), "node").join(nodes.select(F.col("node").alias("centre"), F.col("tags").alias("y")), "centre")
+    return cut(both.select("node", "centre", "x", "y").mapInArrow(_collide, "node binary, centre binary"))
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -200,8 +281,8 @@ def _confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
 
 def _blocks(lists: DataFrame, roots: DataFrame, shingles_each: int, sets_each: int) -> DataFrame:
-    """(k, x, y, outer, inner, root, node): members of unfinished lists, dealt to blocks; x cuts the outer ones and y all."""
-    member = cut(lists.join(roots, "node", "left").select("k", "node", "n", F.coalesce("root", "node").alias("root")))
+    """(k, x, y, outer, inner, root, node, before): members of unfinished lists, dealt to blocks; x cuts the outer ones and y all."""
+    member = cut(lists.join(roots, "node", "left").select("k", "node", "n", "before", F.coalesce("root", "node").alias("root")))
     classes = member.groupBy("k", "root").agg(F.count(F.lit(1)).alias("sets"), F.sum("n").alias("shingles"))
     stats = classes.groupBy("k").agg(
         F.max(F.struct("sets", "shingles", "root")).alias("main"),
@@ -232,22 +313,34 @@ def _blocks(lists: DataFrame, roots: DataFrame, shingles_each: int, sets_each: i
         F.expr("sequence(0, wx - 1)"), lambda i: F.struct(i.alias("x"), y.alias("y"), F.lit(False).alias("outer"), F.lit(True).alias("inner"))
     ).cast(shape)
     placed = F.when(single, once).otherwise(F.concat(F.when(F.col("out"), across).otherwise(F.array().cast(shape)), down))
-    return mine.select("k", "root", "node", F.inline(placed))
+    return mine.select("k", "root", "node", "before", F.inline(placed))
+
+
+def _sets_of(docs: DataFrame, nodes: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
+    """(node, found): the whole sets of the wanted nodes, made anew from one text of each."""
+    ids = cut(nodes.join(wanted, "node", "left_semi").select(F.col("least").alias("id")).distinct())
+    texts = docs.join(ids, F.col("doc_id").eqNullSafe(F.col("id")), "left_semi").select("text")
+    return cut(texts.mapInArrow(_sets(words), "node binary, found array<bigint>").join(wanted, "node", "left_semi").dropDuplicates(["node"]))
 
 
 def near_duplicates(docs: DataFrame, words: int = WORDS, shingles_each: int = BLOCK_SHINGLES, sets_each: int = BLOCK_SETS) -> DataFrame:
     """(doc_id, n_shingles, component_id) for every row of ``docs``: component_id is the least doc_id of its class."""
     docs = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    rows = cut(docs.mapInArrow(_sketches(words), "doc_id long, node binary, n_shingles long, keys array<bigint>"))
+    rows = cut(docs.mapInArrow(_sketches(words), "doc_id long, node binary, n_shingles long, tags binary, keys array<bigint>"))
     filled = rows.where("node IS NOT NULL")
-    nodes = cut(filled.groupBy("node").agg(F.min("doc_id").alias("least"), F.first("n_shingles").alias("n_shingles"), F.first("keys").alias("keys")))
+    one = F.first(F.struct("n_shingles", "tags", "keys"))
+    nodes = cut(filled.groupBy("node").agg(F.min("doc_id").alias("least"), one.alias("_one")).select("node", "least", "_one.*"))
     lists = _prefixes(nodes)
-    ids = cut(nodes.join(lists.select("node").distinct(), "node", "left_semi").select(F.col("least").alias("id")).distinct())
-    texts = docs.join(ids, F.col("doc_id").eqNullSafe(F.col("id")), "left_semi").select("text")
-    sets = cut(texts.mapInArrow(_sets(words), "node binary, found array<bigint>").dropDuplicates(["node"]))
-    roots = components(_confirmed(_star_pairs(lists), sets))
-    blocks = _blocks(lists, roots, shingles_each, sets_each).join(sets, "node")
-    dealt = blocks.repartition("k", "x", "y").sortWithinPartitions("k", "x", "y")
+    pairs = _star_pairs(lists, nodes)
+    near = cut(pairs.select("node").union(pairs.select("centre")).distinct())
+    sets = _sets_of(docs, nodes, near, words)
+    roots = components(_confirmed(pairs, sets))
+    blocks = _blocks(lists, roots, shingles_each, sets_each).join(nodes.select("node", "tags"), "node")
+    blocks = blocks.repartition("k", "x", "y").sortWithinPartitions("k", "x", "y")
+    met = cut(blocks.mapInArrow(_meet, "k long, x int, y int, outer boolean, inner boolean, root binary, node binary"))
+    more = cut(met.select("node").distinct().join(near, "node", "left_anti"))
+    sets = sets.union(_sets_of(docs, nodes, more, words))
+    dealt = met.join(sets, "node").repartition("k", "x", "y").sortWithinPartitions("k", "x", "y")
     more = cut(dealt.mapInArrow(_compare, "a binary, b binary").distinct())
     rooted = nodes.select("node", "least").join(roots, "node", "left").select("node", "least", F.coalesce("root", "node").alias("root"))
     if not more.isEmpty():
