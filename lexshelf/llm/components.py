@@ -7,17 +7,20 @@ from pyspark.sql import functions as F
 
 from lexshelf.session import cut, spread_join
 
+#: Tasks that the links of one node are dealt over.
+WAYS = 8
+
 
 def _large_star(links: DataFrame) -> DataFrame:
     both = links.union(links.select("b", "a"))
     least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
-    return spread_join(both, least, ["a"], by=F.xxhash64("b")).where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
+    return spread_join(both, least, ["a"], by=F.xxhash64("b"), ways=WAYS).where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
 
 
 def _small_star(links: DataFrame) -> DataFrame:
     down = links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
     least = down.groupBy("a").agg(F.min("b").alias("m"))
-    across = spread_join(down, least, ["a"], by=F.xxhash64("b")).where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
+    across = spread_join(down, least, ["a"], by=F.xxhash64("b"), ways=WAYS).where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
     return across.union(least.select("a", F.col("m").alias("b")))
 
 
