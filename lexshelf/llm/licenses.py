@@ -1,16 +1,17 @@
 """Licence notices in text blocks, by an exact set-similarity join with prefix, length and positional filters.
 
 Words are runs of ASCII letters, digits and non-ASCII characters, in lower case. A block of a template with L words is a
-stretch of 2 * L words of a text, one starting at every L-th word, so a notice of L words lies whole in one of them.
-A block meets a template of n different words if it holds at least THRESHOLD * n of them (its containment).
+stretch of 2 * L words of a text, one starting at every place of one of the template's words. A block meets a template of n different
+words if it holds at least THRESHOLD * n of them (its containment); of blocks that overlap, the one with most of them is reported.
 
 One pass counts in how many documents each template word stands; that gives one order for all words, rarest first. A block
 can only meet a template if it holds one of the template's first n - need + 1 words in that order (prefix), has need words
-or more (length), and enough words remain on both sides after each shared one (position). Blocks that pass are
-counted out. The counts are as many as the templates have words, so only they and the templates reach the driver; documents
+or more (length), and enough words remain from its start on (position). Blocks that pass are counted by sliding once over the places
+of the template's words, so a text of any length takes time in proportion to them. The counts are as many as the templates have words, so only they and the templates reach the driver; documents
 are read in place, never shuffled.
 
-A null text is empty. Documents are judged one by one, so nulls in other columns, repeated rows and ties change nothing.
+A null text is empty. Documents are judged one by one, so nulls in other columns, repeated rows and ties change nothing; columns other
+than doc_id and text play no part, whatever their names. A long text is held whole, as words. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -67,19 +68,34 @@ class Template:
         self.words = frozenset(self.order)
         self.prefix = frozenset(self.order[: len(self.order) - self.need + 1])
 
-    def shared(self, block: list[int]) -> int:
-        """Words that a block (in the common order) shares with the template, or 0 once ``need`` is out of reach."""
-        if len(block) < self.need:
-            return 0
-        i = j = found = 0
-        while i < len(self.order) and j < len(block):
-            if found + min(len(self.order) - i, len(block) - j) < self.need:
-                return 0
-            if self.order[i] == block[j]:
-                found += 1
-            step = self.order[i] - block[j]
-            i, j = i + (step <= 0), j + (step >= 0)
-        return found if found >= self.need else 0
+    def windows(self, places: list[tuple[int, int]]) -> Iterator[tuple[int, int]]:
+        """(start, shared words) of the best of every group of overlapping windows that hold enough words of the template.
+
+        ``places`` are (position, word) of the template's words. A window of twice the template's length begins at each of them; it slides
+        once over the places, so any text takes time in proportion to them. Length filter: a window with fewer places than
+        words needed is passed over; position filter: so is one from whose start too few places are left.
+        """
+        width, inside, kinds, right = 2 * self.length, dict.fromkeys(self.order, 0), 0, 0
+        best, last = None, -1
+        for left, (start, word) in enumerate(places):
+            if len(places) - left < self.need:
+                break
+            while right < len(places) and places[right][0] < start + width:
+                seen = places[right][1]
+                kinds += not inside[seen]
+                inside[seen] += 1
+                right += 1
+            if right - left >= self.need and kinds >= self.need:
+                if best is not None and start >= last + width:
+                    yield best
+                    best = None
+                if best is None or kinds > best[1]:
+                    best = (start, kinds)
+                last = start
+            inside[word] -= 1
+            kinds -= not inside[word]
+        if best is not None:
+            yield best
 
 
 class Templates:
@@ -94,12 +110,12 @@ class Templates:
         if self.prefixes.isdisjoint(words):
             return
         at = [(i, self.place[w]) for i, w in enumerate(words) if w in self.place]
+        there = {w for _, w in at}
         for t in self.all:
-            starts = {s * t.length for i, w in at if w in t.prefix for s in (i // t.length, i // t.length - 1) if s >= 0}
-            for start in sorted(starts):
-                block = sorted({w for i, w in at if start <= i < start + 2 * t.length and w in t.words})
-                if shared := t.shared(block):
-                    yield t, start, shared
+            if t.prefix.isdisjoint(there) or len(t.words & there) < t.need:
+                continue
+            for start, shared in t.windows([(i, w) for i, w in at if w in t.words]):
+                yield t, start, shared
 
 
 def phrase_places(words: list[bytes], phrases: dict[tuple[bytes, ...], str]) -> list[tuple[int, str]]:

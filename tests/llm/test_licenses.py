@@ -2,6 +2,7 @@
 
 import random
 import re
+import time
 
 from lexshelf.llm import licenses
 from lexshelf.llm.queries import QUERIES
@@ -16,11 +17,18 @@ def brute(text, threshold=licenses.THRESHOLD):
     places = [(i, label) for p, label in licenses.PHRASES.items() for i in range(len(words)) if tuple(words[i : i + len(p)]) == p]
     blocks = set()
     for label, notice in licenses.NOTICES:
-        n, wanted = len(tokens(notice)), set(tokens(notice))
-        for start in range(0, len(words), n):
+        n, wanted, group = len(tokens(notice)), set(tokens(notice)), []
+        for start in range(len(words)):
+            if words[start] not in wanted:
+                continue
             shared = len(wanted & set(words[start : start + 2 * n]))
             if shared >= threshold * len(wanted) - 1e-9:
-                blocks.add((label, start, shared / len(wanted)))
+                if group and start >= group[-1][1] + 2 * n:
+                    blocks.add((label, *min(group)[1:]))
+                    group = []
+                group.append((-shared, start, shared / len(wanted)))
+        if group:
+            blocks.add((label, *min(group)[1:]))
     starts = [i for i, _ in places]
     base = {label for _, label in places}
     best = max([c for *_, c in blocks] + [1.0] * bool(places), default=0.0)
@@ -55,3 +63,21 @@ def test_damaged_notices(spark):
     assert got == want
     assert sum(bool(w[2]) for w in want) > 20
     assert licenses.scan(frame.where("false")).collect() == []
+
+
+def test_stretched_notices_are_found_at_every_offset():
+    templates = licenses.Templates(licenses.NOTICES, {}, licenses.THRESHOLD)
+    words = tokens(licenses.NOTICES[1][1])
+    stretched = [w for i, w in enumerate(words) for w in ([w, "zzz"] if i % 2 else [w])]
+    for offset in range(45):
+        found = [t.label for t, *_ in templates.found([w.encode() for w in ["filler"] * offset + stretched])]
+        assert "mit" in found, offset
+
+
+def test_long_texts_full_of_notices():
+    text = " ".join(notice for _, notice in licenses.NOTICES).encode() + b" "
+    words = licenses.words_of(text * (1_000_000 // len(text)))
+    started = time.perf_counter()
+    found = list(licenses.Templates(licenses.NOTICES, {}, licenses.THRESHOLD).found(words))
+    assert {t.label for t, *_ in found} == {label for label, _ in licenses.NOTICES}
+    assert time.perf_counter() - started < 20
