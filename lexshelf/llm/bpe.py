@@ -9,8 +9,8 @@ tokens; the same contractions are then done with a heap.
 **Decode.** Token positions join the vocabulary and their bytes are put together in order.
 
 A task holds its memory of known words below KNOWN entries, and blocks of BLOCK bytes of text. A null or empty text has no
-tokens; decoding gives empty bytes. Repeated rows are rows like any other; an empty table gives an empty result. Columns
-beside the given ones pass through.
+tokens; decoding gives empty bytes. A long text is encoded stretch by stretch and decoded POSITIONS tokens at a time. Repeated rows are rows
+like any other; an empty table gives an empty result. Columns beside the given ones pass through, but for those named as the result's own.
 """
 
 from __future__ import annotations
@@ -28,6 +28,8 @@ import regex
 from pyspark.sql import DataFrame
 
 LONG = 200
+#: Token positions that one decoding query holds.
+POSITIONS = 1 << 19
 KNOWN = 400_000
 BLOCK = 4 << 20
 WORDS = 30_000
@@ -174,13 +176,17 @@ class Codec:
         return [b"".join(map(self.known.__getitem__, c)) for c in cuts]
 
     def decode(self, ids: list[bytes]) -> list[bytes]:
+        lengths = np.array([len(i) // 4 for i in ids], np.int64)
         flat = np.frombuffer(b"".join(ids), "<u4").astype(np.int32)
-        doc = np.repeat(np.arange(len(ids), dtype=np.int32), [len(i) // 4 for i in ids])
-        found = self._run(DECODE, "tokens", doc=doc, pos=np.arange(len(flat), dtype=np.int32), id=flat)
-        out = [b""] * len(ids)
-        for i, text in zip(found.column("doc").to_pylist(), found.column("text").to_pylist(), strict=True):
-            out[i] = text.encode("latin-1")
-        return out
+        doc = np.repeat(np.arange(len(ids), dtype=np.int32), lengths)
+        out: list[list[bytes]] = [[] for _ in ids]
+        # a block of positions at a time: a query holds no more, however long a text is
+        for at in range(0, len(flat), POSITIONS):
+            part = slice(at, at + POSITIONS)
+            found = self._run(DECODE, "tokens", doc=doc[part], pos=np.arange(len(flat[part]), dtype=np.int32), id=flat[part])
+            for i, text in zip(found.column("doc").to_pylist(), found.column("text").to_pylist(), strict=True):
+                out[i].append(text.encode("latin-1"))
+        return [b"".join(parts) for parts in out]
 
 
 def blocks(batch: pa.RecordBatch, column: str, most: int) -> Iterator[tuple[pa.RecordBatch, list]]:
@@ -218,7 +224,9 @@ def codec_steps(ranks: dict[bytes, int], pattern: str, steps: tuple[str, ...]):
 
 
 def _apply(rows: DataFrame, path: str, pattern: str, steps: tuple[str, ...]) -> DataFrame:
-    """The rank file has a fixed size, so it travels with the tasks."""
+    """The rank file has a fixed size, so it travels with the tasks. Columns that the result makes anew are left out."""
+    made = [name for name, step in (("ids", "encode"), ("decoded", "decode")) if step in steps]
+    rows = rows.drop(*made)
     names, kinds = [], []
     for f in rows.schema.fields:
         names.append("ids" if f.name == "text" and "encode" in steps else f.name)

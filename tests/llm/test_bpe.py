@@ -48,3 +48,15 @@ def test_odd_rows(spark):
     back = {(r.doc_id, bytes(r.decoded).decode()) for r in bpe.decode(made, PATH).collect()}
     assert back == {(1, ""), (None, "a b"), (2, "word " * 30000)}
     assert bpe.round_trip(docs.where("false").drop("decoded"), PATH).collect() == []
+
+
+def test_long_text_and_clashing_columns(spark):
+    """32 MB in one text; columns that the result makes anew are left out."""
+    codec = bpe.Codec(bpe.read_ranks(PATH), public_tokenizers.PATTERN)
+    text = "the word " * 3_600_000
+    ids = codec.encode([text, "a"])
+    assert codec.decode([ids[0], b"", ids[1]]) == [text.encode(), b"", b"a"]
+    docs = spark.createDataFrame([(1, "a b", "x", "y")], "doc_id long, text string, ids string, decoded string")
+    found = bpe.round_trip(docs, PATH)
+    assert found.columns == ["doc_id", "ids", "decoded"] and bytes(found.first().decoded) == b"a b"
+    assert bpe.encode(docs, PATH).columns == ["doc_id", "ids", "decoded"]
