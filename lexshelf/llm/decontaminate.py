@@ -4,7 +4,8 @@ Items are cut into overlapping segments of SEGMENT characters. A place where a s
 most k edits shares at least m - q + 1 - q * k character q-grams with it, all on diagonals of one of the
 overlapping bands of width BAND + k. Shared q-grams are counted by (document, segment, band); bands that reach the bound
 are aligned within the band, and places with at most k edits are matches. k is RATE of the segment, or less for short
-segments, so that the bound stays 1 or more; items under Q characters have no q-gram and are never found.
+segments, so that the bound stays 1 or more. Items under Q characters have no q-gram: they are found where they stand exactly,
+with no letter or digit on either side.
 
 Letters are compared in lower case and white space as blanks, one for one, so positions are those of the text.
 The index of one slice of the benchmark goes to the tasks; a slice has at most SLICE characters, and a larger benchmark is
@@ -63,6 +64,17 @@ def grams(codes: np.ndarray) -> np.ndarray:
     return wide * _MUL
 
 
+def places_of(part: np.ndarray, codes: np.ndarray) -> list[int]:
+    """Where ``part`` stands in ``codes`` with no letter or digit right before or after it."""
+    if len(codes) < len(part):
+        return []
+    starts = np.flatnonzero(codes[: len(codes) - len(part) + 1] == part[0])
+    for i in range(1, len(part)):
+        starts = starts[codes[starts + i] == part[i]]
+    inside = lambda i: 0 <= i < len(codes) and codes[i] != GAP and chr(codes[i]).isalnum()
+    return [s for s in starts.tolist() if not inside(s - 1) and not inside(s + len(part))]
+
+
 class Index:
     """Q-grams of one slice of the benchmark, and its segments."""
 
@@ -85,6 +97,7 @@ class Index:
                 self.edits.append(min(int(rate * len(part)), (len(part) - Q) // Q))
                 texts.append(part)
         self.ids = [i for i, _ in items]
+        self.short = [(n, c) for n, c in ((n, codes_of(t, self.plain)) for n, (_, t) in enumerate(items)) if 0 < len(c) < Q]
         self.item, self.begin, self.size, self.edits = (np.array(x, np.int64) for x in (self.item, self.begin, self.size, self.edits))
         self.bound = self.size - Q + 1 - Q * self.edits
         self.most = int(self.edits.max()) if len(texts) else 0
@@ -154,6 +167,9 @@ class Index:
 
     def search(self, codes: np.ndarray) -> Iterator[tuple[int, int, int, int]]:
         """(item number, start, end, edits) of every segment found."""
+        for number, part in self.short:
+            for start in places_of(part, codes):
+                yield number, start, start + len(part), 0
         if len(codes) < Q or not len(self.values):
             return
         segment, diagonal = self.candidates(codes)

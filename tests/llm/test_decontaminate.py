@@ -1,6 +1,7 @@
 """Benchmark passages against brute-force alignment."""
 
 import random
+import re
 
 import numpy as np
 
@@ -26,7 +27,7 @@ def plain_text(text):
 def segments(text):
     size, text = decontaminate.SEGMENT, plain_text(text)
     last = max(0, len(text) - size)
-    for at in sorted({*range(0, last + 1, size // 2), last}) if len(text) >= decontaminate.Q else []:
+    for at in sorted({*range(0, last + 1, size // 2), last}) if len(text) >= decontaminate.Q else []:  # shorter: see brute
         part = text[at : at + size]
         yield part, min(int(decontaminate.RATE * len(part)), (len(part) - decontaminate.Q) // decontaminate.Q)
 
@@ -37,6 +38,8 @@ def brute(docs, items):
         for i, item in items:
             if any(least_edits(part, plain_text(text)) <= most for part, most in segments(item)):
                 out.add((d, i))
+            if 0 < len(item) < decontaminate.Q and re.search(rf"(?<![^\W_]){re.escape(plain_text(item))}(?![^\W_])", plain_text(text)):
+                out.add((d, i))
     return out
 
 
@@ -107,6 +110,17 @@ def test_texts_that_begin_or_end_inside_an_item(spark):
     assert sorted(r.doc_id for r in decontaminate.keep_clean(frame, bench).collect()) == sorted({d for d, _ in docs} - set(want))
 
 
+def test_short_items_are_found_exactly(spark):
+    docs = [(0, "Answer"), (1, "the answer."), (2, "answers"), (3, "an swer"), (4, "4 + 4 = 8"), (5, "48"), (6, "x\nyes no"), (7, None), (8, "reanswer answer_")]
+    items = [(1, "answer"), (2, "8"), (3, "yes\tno"), (4, "?"), (5, "")]
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    rows = decontaminate.passages(frame, bench).collect()
+    assert {(r.doc_id, r.item_id) for r in rows} == {(0, 1), (1, 1), (4, 2), (6, 3), (8, 1)} == brute(docs, items)
+    assert {(r.start, r.end) for r in rows if r.doc_id == 1} == {(4, 10)}
+    assert {r.doc_id for r in decontaminate.keep_clean(frame, bench).collect()} == {2, 3, 5, 7}
+
+
 def test_empty_tables(spark):
     docs = spark.createDataFrame([(1, "some text that is long enough", "y")], "doc_id long, text string, item_id string")
     none = spark.createDataFrame([], "item_id long, text string")
