@@ -218,6 +218,23 @@ def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from kept.filter(pa.array(as_outer | as_inner)).to_batches()
 
 
+def _forest(a: np.ndarray, b: np.ndarray, size: int) -> Iterator[tuple[int, int]]:
+    """Of the links between numbers below ``size``, one for every member that a class has besides its first."""
+    beside = np.zeros((size, size), bool)
+    beside[a, b] = beside[b, a] = True
+    left = np.ones(size, bool)
+    for first in np.flatnonzero(beside.any(axis=1)).tolist():
+        if not left[first]:
+            continue
+        left[first], reached = False, [first]
+        while reached:
+            new = np.flatnonzero(beside[reached.pop()] & left).tolist()
+            left[new] = False
+            for member in new:
+                yield first, member
+            reached += new
+
+
 def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Links (a, b) between classes, from rows sorted by block: ``outer`` ones are compared with the ``inner`` ones, set by set."""
     for table in runs(batches, ["k", "x", "y"]):
@@ -234,10 +251,10 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             total = np.array([len(sets[i]) for i in left.tolist()])[:, None] + np.array([len(sets[i]) for i in right.tolist()])
             linked = (n * SHARE[1] >= (total - n) * SHARE[0]) & (names[left - start][:, None] != names[right - start])
             i, j = np.nonzero(linked)
-            pairs = np.unique(np.stack([names[left[i] - start], names[right[j] - start]]), axis=1)
             values = {int(n): roots[start + at] for at, n in enumerate(names.tolist())}
-            a += [values[v].as_py() for v in pairs[0].tolist()]
-            b += [values[v].as_py() for v in pairs[1].tolist()]
+            for x, y in _forest(names[left[i] - start], names[right[j] - start], len(values)):
+                a.append(values[x].as_py())
+                b.append(values[y].as_py())
         yield pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(b, pa.binary())], ["a", "b"])
 
 
