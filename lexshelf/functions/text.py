@@ -8,6 +8,7 @@ put several terms at one position, or need more positions, give "slots": ``array
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Mapping
+from html.entities import name2codepoint
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -33,19 +34,41 @@ def html_escape(c: Column) -> Column:
     return c
 
 
-# Entities decoded after the tags are gone; the ampersand last.
-ENTITIES = [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&apos;", "'"), ("&nbsp;", " "), ("&amp;", "&")]
+# A character reference, the text up to the next ampersand, or an ampersand that begins none.
+REFERENCES = r"&(?:#[0-9]{1,7}|#[xX][0-9A-Fa-f]{1,6}|[A-Za-z][A-Za-z0-9]{1,31});|[^&]+|&"
 HTML_BLOCKS = r"(?is)<script[^>]*>.*?</script>|<style[^>]*>.*?</style>|<!--.*?-->"
 HTML_TAGS = r"<[/!?]?[A-Za-z][^>]*>"
 
 
 def html_strip(c: Column) -> Column:
-    """Text without scripts, styles, comments and tags; common entities decoded."""
+    """Text without scripts, styles, comments and tags; character references decoded."""
     c = F.regexp_replace(c, HTML_BLOCKS, " ")
-    c = F.regexp_replace(c, HTML_TAGS, " ")
-    for entity, plain in ENTITIES:
-        c = F.replace(c, F.lit(entity), F.lit(plain))
-    return c
+    return decode_references(F.regexp_replace(c, HTML_TAGS, " "))
+
+
+def decode_references(c: Column) -> Column:
+    """Named and numbered character references as the characters they stand for, once; what is none stays as it is.
+
+    A non-breaking space becomes a plain one. Only texts with an ampersand are taken apart.
+    """
+    names = {**{name: chr(code) for name, code in name2codepoint.items()}, "apos": "'", "nbsp": " "}
+    named = F.create_map(*[F.lit(x) for pair in sorted(names.items()) for x in pair])
+
+    def plain(part: Column) -> Column:
+        hexed = F.lower(F.substr(part, F.lit(3), F.lit(1))) == "x"
+        digits = F.when(hexed, F.substr(part, F.lit(4), F.length(part) - 4)).otherwise(F.substr(part, F.lit(3), F.length(part) - 3))
+        code = F.conv(digits, 16, 10).cast("bigint")
+        code = F.when(hexed, code).otherwise(digits.try_cast("bigint"))
+        valid = code.between(1, 0xD7FF) | code.between(0xE000, 0x10FFFF)
+        sign = F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")
+        numbered = F.when(code == 160, " ").when(valid, sign)
+        known = F.try_element_at(named, F.substr(part, F.lit(2), F.length(part) - 2))
+        return F.when(part.startswith("&#") & part.endswith(";"), F.coalesce(numbered, part)).when(
+            part.startswith("&") & part.endswith(";"), F.coalesce(known, part)
+        ).otherwise(part)
+
+    parts = F.regexp_extract_all(c, F.lit(REFERENCES), F.lit(0))
+    return F.when(F.instr(c, "&") > 0, F.array_join(F.transform(parts, plain), "")).otherwise(c)
 
 
 def zero_width_to_space(c: Column) -> Column:
@@ -328,16 +351,23 @@ def synonyms(
 
 
 def cjk_bigrams(tokens: Column) -> Column:
-    """Overlapping pairs of ideographs and kana; other tokens, and single signs, as they are."""
-    cjk = r"[\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsHangul}]"
+    """Overlapping pairs of ideographs and kana; other tokens, and single signs, as they are.
 
-    def slots_of(t: Column) -> Column:
+    A token is parted first where such signs meet others. The long-vowel mark has no script of its own and counts as kana.
+    """
+    signs = r"\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsHangul}\u30FC"
+
+    def slots_of(run: Column) -> Column:
         pairs = F.transform(
-            F.sequence(F.lit(1), F.greatest(F.length(t) - 1, F.lit(1))), lambda i: F.array(F.substr(t, i, F.lit(2)))
+            F.sequence(F.lit(1), F.greatest(F.length(run) - 1, F.lit(1))), lambda i: F.array(F.substr(run, i, F.lit(2)))
         )
-        return F.when(t.rlike(f"^{cjk}{{2,}}$"), pairs).otherwise(F.array(F.array(t)))
+        return F.when(run.rlike(f"^[{signs}]{{2,}}$"), pairs).otherwise(F.array(F.array(run)))
+
+    def runs(t: Column) -> Column:
+        parted = F.regexp_extract_all(t, F.lit(f"[{signs}]+|[^{signs}]+"), F.lit(0))
+        return F.when(t.rlike(f"[{signs}]"), F.flatten(F.transform(parted, slots_of))).otherwise(F.array(F.array(t)))
 
-    return F.flatten(F.transform(F.array_compact(tokens), slots_of))
+    return F.flatten(F.transform(F.array_compact(tokens), runs))
 
 
 #: Stands before a reversed term, so that it never equals or starts like a plain one.

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from lexshelf.functions.dates import LEAST_SECONDS, add_units, moment, parse_step
 from lexshelf.operators.postings import restrict, term_stats
+from lexshelf.operators.rank import top_k
 from lexshelf.session import cut, spread_join
 
 
@@ -67,7 +68,7 @@ def _fill(counts: DataFrame, last: int, mincount: int) -> DataFrame:
     """Empty buckets appear with 0 unless a least count is asked for."""
     if mincount > 0:
         return counts.select("bucket", F.col("_count").alias("count")).filter(F.col("count") >= mincount)
-    slots = counts.sparkSession.range(-1, last + 2).select(F.col("id").cast("int").alias("bucket"))
+    slots = counts.sparkSession.range(-1, last + 2).select(F.col("id").cast(counts.schema["bucket"].dataType).alias("bucket"))
     return slots.join(counts, "bucket", "left").select("bucket", F.coalesce("_count", F.lit(0)).alias("count"))
 
 
@@ -75,24 +76,36 @@ def facet_date(index: DataFrame, column: str, start: str, end: str, gap: str, no
     """Counts per calendar step from ``start`` to ``end`` (not included), with the rows before and after.
 
     ``start`` and ``end`` are timestamps, or NOW with date math (``NOW/YEAR-10YEARS``); ``gap`` is a step such as ``+1MONTH``
-    or ``+2DAYS``. Edges are laid out first, each from ``start``, and rows compared with them, so the end of a short month
-    falls where its edge says. The last step runs its whole length, as the numeric ranges do.
+    or ``+2DAYS``. A row's step is worked out from the calendar and set right by comparing with the edges beside it, each counted
+    from ``start``, so the end of a short month falls where its edge says. The last step runs its whole length, as the numeric ranges do.
     """
     spark = index.sparkSession
     low, until = (moment(spark, text, now) for text in (start, end))
     number, unit = parse_step(gap)
-    rough = max(1, (until - low).total_seconds() / (number * LEAST_SECONDS[unit]))
-    steps = spark.range(int(rough) + 2).select(F.col("id").cast("int").alias("bucket"))
-    edges = steps.select("bucket", add_units(F.lit(low).cast("timestamp"), F.col("bucket") * number, unit).alias("low"))
-    lows = [r.low for r in edges.orderBy("bucket").collect()]
-    last = next(i for i, edge in enumerate(lows) if edge >= until) - 1
-    edges = F.array(*[F.lit(edge) for edge in lows[: last + 2]])
+    first = F.lit(low).cast("timestamp")
+
+    def edge(step: Column) -> Column:
+        amount = step * number
+        return add_units(first, amount if unit in ("SECOND", "MILLISECOND") else amount.cast("int"), unit)
+
+    def step_of(c: Column) -> Column:
+        if unit in ("YEAR", "MONTH"):
+            months = (F.year(c) - F.year(first)) * 12 + F.month(c) - F.month(first)
+            guess = F.floor(months / (number * (12 if unit == "YEAR" else 1)))
+        else:
+            guess = F.floor((F.unix_micros(c) - F.unix_micros(first)) / (number * round(LEAST_SECONDS[unit] * 1_000_000)))
+        guess = guess.cast("bigint")
+        return F.when(edge(guess) > c, guess - 1).when(edge(guess + 1) <= c, guess + 1).otherwise(guess)
+
+    stop = F.lit(until).cast("timestamp")
+    last, exact = spark.range(1).select(step_of(stop), edge(step_of(stop)) == stop).first()
+    last = max(last - exact, 0)
     c = F.col(column).cast("timestamp")
-    bucket = F.size(F.filter(edges, lambda edge: edge <= c)) - 1
-    counts = index.filter(c.isNotNull()).groupBy(bucket.cast("int").alias("bucket")).agg(F.count(F.lit(1)).alias("_count"))
+    bucket = F.greatest(F.lit(-1).cast("bigint"), F.least(F.lit(last + 1).cast("bigint"), step_of(c)))
+    counts = index.filter(c.isNotNull()).groupBy(bucket.alias("bucket")).agg(F.count(F.lit(1)).alias("_count"))
     return _fill(counts, last, mincount).select(
         F.when(F.col("bucket") < 0, "before").when(F.col("bucket") > last, "after").otherwise("range").alias("part"),
-        F.when(F.col("bucket").between(0, last), F.get(edges, F.col("bucket"))).alias("low"),
+        F.when(F.col("bucket").between(0, last), edge(F.col("bucket").cast("bigint"))).alias("low"),
         "count",
     )
 
@@ -127,6 +140,32 @@ def group_results(hits: DataFrame, index: DataFrame, key: str, group: str, n: in
     return sized.join(matches, "query_id")
 
 
+def group_page(
+    hits: DataFrame, index: DataFrame, key: str, group: str, number: int, size: int, n: int, digits: int = 6
+) -> DataFrame:
+    """Page ``number`` (from 1) of the groups of every query, ``size`` groups to a page, with the ``n`` best hits of each.
+
+    Groups are ordered by their best hit, equal scores by key. The best hit, the size of every group and what a query has in all come from
+    one aggregation; only the groups of the page then have their hits ranked. Hits without a value form a group.
+    Gives (query_id, key, score, group_value, group_rank, rank, group_size, matches, n_groups).
+    """
+    # null values need a name to be joined by
+    rows = cut(
+        hits.join(index.select(key, F.col(group).alias("group_value")), key).select(
+            "query_id", key, F.round("score", digits).alias("score"), F.coalesce(F.concat(F.lit("="), F.col("group_value").cast("string")), F.lit("")).alias("_g"), "group_value"
+        )
+    )
+    groups = cut(
+        rows.groupBy("query_id", "_g").agg(F.min(F.struct((-F.col("score")).alias("s"), F.col(key).alias("k"))).alias("_best"), F.count(F.lit(1)).alias("group_size"))
+    )
+    totals = groups.groupBy("query_id").agg(F.sum("group_size").alias("matches"), F.count(F.lit(1)).alias("n_groups"))
+    ranked = top_k(groups, number * size, "_g", order=[F.asc("_best")]).where(F.col("rank") > (number - 1) * size)
+    page = cut(ranked.select("query_id", "_g", F.col("rank").alias("group_rank"), "group_size").join(totals, "query_id"))
+    order = Window.partitionBy("query_id", "_g").orderBy(F.desc("score"), key)
+    best = rows.join(page, ["query_id", "_g"]).withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= n)
+    return best.select("query_id", key, "score", "group_value", "group_rank", "rank", "group_size", "matches", "n_groups")
+
+
 def field_stats(index: DataFrame, column: str, by: list[str] | None = None) -> DataFrame:
     """min, max, sum, count, missing, sum of squares, mean, standard deviation; per facet if asked."""
     c = F.col(column)
@@ -142,12 +181,11 @@ def field_stats(index: DataFrame, column: str, by: list[str] | None = None) -> D
     )
 
 
-def term_counts(post: DataFrame, clauses: DataFrame, key: str) -> DataFrame:
+def term_counts(post: DataFrame, clauses: DataFrame, key: str, stats: DataFrame | None = None) -> DataFrame:
     """For each query term and document: its frequency there, in all, and the documents holding it."""
-    wanted = restrict(post, clauses)
     # one narrow row per clause, stored so that its size is known
-    asked = cut(clauses.join(term_stats(wanted), "term"))
-    return spread_join(wanted, asked, ["term"]).select(
+    asked = cut(clauses.join(term_stats(restrict(post, clauses)) if stats is None else stats, "term"))
+    return spread_join(post, asked, ["term"], frequency=asked.select("term", F.col("df").alias("n")).distinct()).select(
         "query_id", "term", key, "tf", "df", "ttf"
     )
 

@@ -36,8 +36,10 @@ def build_index(values: DataFrame, key: str, analyzer: Analyzer, path: str) -> S
     made.repartitionByRange(parts, "field", "term", key).sortWithinPartitions("field", "term", key).write.parquet(f"{path}/postings")
     stored = spark.read.schema(made.schema).parquet(f"{path}/postings")
     term_stats(stored).write.parquet(f"{path}/stats")
-    lengths = stored.groupBy(key).agg(F.sum("tf").alias("len"))
-    lengths.agg(F.count(F.lit(1)).alias("docs"), F.coalesce(F.sum("len"), F.lit(0)).alias("len")).write.parquet(f"{path}/sizes")
+    # documents without a token count as well
+    counted = values.select(key).distinct().agg(F.count(F.lit(1)).alias("docs"))
+    length = stored.agg(F.coalesce(F.sum("tf"), F.lit(0))).scalar()
+    counted.select("docs", length.alias("len")).write.parquet(f"{path}/sizes")
     return open_index(spark, key, path)
 
 
@@ -53,7 +55,8 @@ def search(index: StoredIndex, clauses: DataFrame) -> DataFrame:
     docs = index.sizes.select("docs").scalar()
     weight = F.pow(F.lit(1.0) + F.log(docs / (F.col("df") + 1)), F.lit(2.0))
     rated = clauses.distinct().join(index.stats, ["field", "term"]).select("query_id", "field", "term", weight.alias("weight"))
-    return score(explain_scores(index.postings, cut(rated)), index.key)
+    frequency = index.stats.select("field", "term", F.col("df").alias("n"))
+    return score(explain_scores(index.postings, cut(rated), frequency=frequency), index.key)
 
 
 def matching(hits: DataFrame, clauses: DataFrame) -> DataFrame:

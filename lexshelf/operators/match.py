@@ -11,49 +11,64 @@ from pyspark.sql import functions as F
 
 from lexshelf.functions.text import word_parts
 from lexshelf.operators.postings import restrict
+from lexshelf.operators.vocabulary import GRAM
 from lexshelf.session import cut, spread_join
 
 
-def match_terms(post: DataFrame, clauses: DataFrame) -> DataFrame:
-    """Every (query, document, term) that agrees. A term's postings are dealt over several tasks."""
+def match_terms(post: DataFrame, clauses: DataFrame, frequency: DataFrame | None = None) -> DataFrame:
+    """Every (query, document, term) that agrees. A frequent term's postings are dealt over many tasks.
+
+    ``frequency`` ([field], term, n) has the stored document frequencies; without it ``post`` is counted first, and should be stored.
+    """
     keys = [c for c in ("field", "term") if c in post.columns and c in clauses.columns]
-    return spread_join(post, clauses, keys)
+    return spread_join(post, clauses, keys, frequency=frequency)
 
 
 def boolean_match(matches: DataFrame, clauses: DataFrame, key: str, op: str = "AND") -> DataFrame:
-    """Documents that hold all (AND) or any (OR) of a query's terms; ``matches`` has one row per query, document and term."""
-    found = matches.groupBy("query_id", key).agg(F.count(F.lit(1)).alias("n_terms"))
+    """Documents that hold all (AND) or any (OR) of a query's terms; ``matches`` has one row per query, document and term.
+
+    Clauses with a ``place`` hold alternatives: AND then wants every place met by one of its terms, and places are counted.
+    """
+    unit, name = ("place", "n_places") if "place" in clauses.columns else ("term", "n_terms")
+    if unit == "place":
+        matches = matches.groupBy("query_id", key, unit).agg(F.count(F.lit(1)).alias("_terms"))
+    found = matches.groupBy("query_id", key).agg(F.count(F.lit(1)).alias(name))
     if op.upper() == "OR":
         return found
-    need = clauses.groupBy("query_id").agg(F.count_distinct("term").alias("_need"))
-    return spread_join(found, need, ["query_id"]).filter(F.col("n_terms") == F.col("_need")).drop("_need")
+    need = cut(clauses.groupBy("query_id").agg(F.count_distinct(unit).alias("_need")))
+    return found.join(need, "query_id").filter(F.col(name) == F.col("_need")).drop("_need")
 
 
 def exclude(hits: DataFrame, post: DataFrame, unwanted: DataFrame, key: str) -> DataFrame:
     """Drop documents that hold any of a query's unwanted terms."""
-    bad = match_terms(restrict(post, unwanted), unwanted).select("query_id", key).distinct()
+    bad = match_terms(post, unwanted).select("query_id", key).distinct()
     return hits.join(bad, ["query_id", key], "left_anti")
 
 
 def phrase_match(tokens: DataFrame, phrases: DataFrame, key: str) -> DataFrame:
-    """Places where a phrase ``(query_id, offset, term)`` stands word for word.
+    """Places where a phrase ``(query_id, offset, term)`` stands word for word; terms of one offset are alternatives.
 
-    Each phrase is looked up by its rarest word; the places found are then checked for the other
+    Each phrase is looked up by the offset whose words are rarest together; the places found are then checked for the other
     words by one equi-join on (document, position, term). So a very frequent word costs no more
     than its own tokens, however many phrases hold it. Phrase leads and places are stored, so Spark
-    knows their size when it plans the joins. ``tokens`` is read three times: pass a stored table.
+    knows their size when it plans the joins. ``tokens`` is read three times: pass a stored table, or search the position
+    blocks of a stored index (``lookup.phrase_places``).
     """
     wanted = restrict(tokens, phrases).select(key, "pos", "term")
-    frequency = wanted.groupBy("term").agg(F.count(F.lit(1)).alias("_n"))
-    rated = phrases.join(frequency, "term", "left").withColumn("_n", F.coalesce("_n", F.lit(0)))
-    leads = cut(
-        rated.groupBy("query_id")
-        .agg(F.min(F.struct("_n", "offset", "term")).alias("_lead"), F.count(F.lit(1)).alias("_words"))
+    frequency = cut(wanted.groupBy("term").agg(F.count(F.lit(1)).alias("n")))
+    rated = cut(phrases.join(frequency, "term", "left").select("query_id", "offset", "term", F.coalesce("n", F.lit(0)).alias("_n")))
+    places = rated.groupBy("query_id", "offset").agg(F.sum("_n").alias("_n"))
+    leads = (
+        places.groupBy("query_id")
+        .agg(F.min(F.struct("_n", "offset")).alias("_lead"), F.count(F.lit(1)).alias("_words"))
         .filter(F.col("_lead._n") > 0)
-        .select("query_id", "_words", F.col("_lead.offset").alias("_offset"), F.col("_lead.term").alias("term"))
+        .select("query_id", "_words", F.col("_lead.offset").alias("offset"))
     )
-    starts = wanted.join(leads, "term").select(
-        "query_id", key, (F.col("pos") - F.col("_offset")).cast("bigint").alias("start"), "_words"
+    leads = cut(rated.join(leads, ["query_id", "offset"]).select("query_id", "_words", F.col("offset").alias("_offset"), "term"))
+    starts = cut(
+        spread_join(wanted, leads, ["term"], frequency=frequency).select(
+            "query_id", key, (F.col("pos") - F.col("_offset")).cast("bigint").alias("start"), "_words"
+        )
     )
     expected = cut(
         spread_join(starts, phrases.select("query_id", "offset", "term"), ["query_id"]).select(
@@ -73,13 +88,35 @@ def phrase_match(tokens: DataFrame, phrases: DataFrame, key: str) -> DataFrame:
 INSIDE = 3
 
 
-def expand_wildcards(stats: DataFrame, patterns: DataFrame) -> DataFrame:
+def _like(pattern: Column) -> Column:
+    """The pattern as LIKE writes it."""
+    like = F.replace(F.replace(pattern, F.lit("\\"), F.lit("\\\\")), F.lit("%"), F.lit("\\%"))
+    return F.translate(F.replace(like, F.lit("_"), F.lit("\\_")), "*?", "%_")
+
+
+def expand_wildcards(stats: DataFrame, patterns: DataFrame, vocabulary=None) -> DataFrame:
     """Index terms each ``(query_id, pattern)`` stands for; ``*`` any run, ``?`` one character.
 
     Joined on the pattern's literal start or end, whichever is longer, or else on the first letters of its longest
     literal inside, then checked in full. A pattern without a literal is compared with all terms, which are dealt out.
+    With a stored ``vocabulary`` a pattern that has three letters together is looked up by the three that fewest terms have.
     All terms are kept. What is found is stored before it is counted, so ``stats`` is read once.
     """
+    if vocabulary is not None:
+        patterns = cut(patterns)
+        pieces = F.split("pattern", "[*?]")
+        size = F.lit(GRAM)
+        cuts = F.transform(pieces, lambda p: F.when(F.length(p) >= size, F.transform(F.sequence(F.lit(1), F.length(p) - size + 1), lambda i: F.substr(p, i, size))))
+        asked = patterns.select("query_id", "pattern", F.explode(F.flatten(F.array_compact(cuts))).alias("gram"))
+        # a run that no term has finds nothing, which is right
+        rare = asked.join(vocabulary.often, "gram", "left").groupBy("query_id", "pattern").agg(F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "gram")).alias("_g"))
+        rare = cut(rare.select("query_id", "pattern", F.col("_g.gram").alias("gram"), _like(F.col("pattern")).alias("_like")))
+        by_gram = vocabulary.grams.join(rare, "gram").where(F.expr("term LIKE _like")).select("query_id", "pattern", *stats.columns)
+        rest = patterns.join(rare.select("query_id", "pattern"), ["query_id", "pattern"], "left_anti")
+        found = by_gram.unionByName(expand_wildcards(stats, rest).drop("n_terms"))
+        found = cut(found)
+        size = cut(found.groupBy("query_id", "pattern").agg(F.count(F.lit(1)).alias("n_terms")))
+        return found.join(size, ["query_id", "pattern"]).select("query_id", "pattern", *stats.columns, "n_terms")
     star = F.regexp_replace(F.col("pattern"), r"[*?].*$", "")
     tail = F.regexp_replace(F.col("pattern"), r"^.*[*?]", "")
     inner = F.array_max(F.transform(F.split("pattern", "[*?]"), lambda p: F.struct(F.length(p).alias("n"), p.alias("p"))))["p"]
@@ -88,8 +125,7 @@ def expand_wildcards(stats: DataFrame, patterns: DataFrame) -> DataFrame:
         "_anchor", F.when(F.col("_side") == "inside", F.left(inner, F.lit(INSIDE))).when(F.col("_side") == "end", tail).otherwise(star)
     )
     keyed = keyed.withColumn("_n", F.length("_anchor"))
-    like = F.replace(F.replace(F.col("pattern"), F.lit("\\"), F.lit("\\\\")), F.lit("%"), F.lit("\\%"))
-    like = F.translate(F.replace(like, F.lit("_"), F.lit("\\_")), "*?", "%_")
+    like = _like(F.col("pattern"))
     plain = F.col("pattern") == F.when(F.col("_side") == "end", F.concat(F.lit("*"), "_anchor")).otherwise(F.concat("_anchor", F.lit("*")))
     # stored: Spark then knows how few patterns there are when it plans the join
     keyed = cut(keyed.withColumn("_like", F.when(~plain, like)))
@@ -105,7 +141,7 @@ def expand_wildcards(stats: DataFrame, patterns: DataFrame) -> DataFrame:
     anchored = stats.select("*", F.explode(shapes).alias("_shape")).select(
         *stats.columns, F.col("_shape._side").alias("_side"), F.col("_shape._n").alias("_n"), F.explode(anchors).alias("_anchor")
     )
-    found = spread_join(anchored, keyed, ["_side", "_n", "_anchor"], by=F.xxhash64("term")).filter(F.expr("_like IS NULL OR term LIKE _like"))
+    found = anchored.join(keyed, ["_side", "_n", "_anchor"]).filter(F.expr("_like IS NULL OR term LIKE _like"))
     found = cut(found.select("query_id", "pattern", *stats.columns))
     size = cut(found.groupBy("query_id", "pattern").agg(F.count(F.lit(1)).alias("n_terms")))
     return found.join(size, ["query_id", "pattern"]).select("query_id", "pattern", *stats.columns, "n_terms")
@@ -128,19 +164,56 @@ def range_filter(
     return keep & c.isNotNull()
 
 
+def _bins(low: Column, high: Column) -> Column:
+    """Array of (level, node): the fewest bins of a power of two cells, at multiples of their size, that make up cells low to high."""
+
+    def at(level: Column) -> Column:
+        width = F.call_function("shiftleft", F.lit(1).cast("bigint"), level)
+        first = F.ceil(low / width).cast("bigint")
+        last = (F.floor((high + 1) / width) - 1).cast("bigint")
+        left = F.when((first <= last) & (F.abs(first) % 2 == 1), F.struct(level.alias("level"), first.alias("node")))
+        right = F.when((first <= last) & (F.abs(last) % 2 == 0), F.struct(level.alias("level"), last.alias("node")))
+        return F.array_compact(F.array(left, right))
+
+    top = F.ceil(F.log2((high - low + 1).cast("double"))).cast("int")
+    return F.when(low <= high, F.flatten(F.transform(F.sequence(F.lit(0), F.greatest(top, F.lit(0))), at)))
+
+
+def range_table(df: DataFrame, column: str, ranges: DataFrame, unit: float) -> DataFrame:
+    """Rows of ``df`` beside every range that holds their value: the columns of both.
+
+    ``ranges`` has query_id, low, high (null: open end) and whether the ends count, include_low and include_high. Values fall into cells of
+    ``unit``, a range is cut into bins of a power of two cells, about two for each level, and a value is looked up in the bin of each level
+    that some range uses: an equi-join that finds each pair once, whose pairs are then checked with the ends. Open ends are
+    closed at the least and greatest value there is.
+    """
+    value = F.col(column).cast("double")
+    cell = F.floor(value / unit).cast("bigint")
+    ends = df.agg(F.min(value).alias("_least"), F.max(value).alias("_most"))
+    low, high = F.col("low").cast("double"), F.col("high").cast("double")
+    placed = ranges.crossJoin(ends).select(  # one row of ends
+        *ranges.columns,
+        F.floor(F.greatest(F.coalesce(low, "_least"), F.col("_least")) / unit).cast("bigint").alias("_a"),
+        F.floor(F.least(F.coalesce(high, "_most"), F.col("_most")) / unit).cast("bigint").alias("_b"),
+    )
+    cut_up = cut(placed.select(*ranges.columns, F.inline(_bins(F.col("_a"), F.col("_b")))))
+    levels = cut_up.select(F.collect_set("level")).scalar()
+    rows = df.where(value.isNotNull()).withColumn("_cell", cell).select("*", F.explode(levels).alias("level"))
+    node = F.call_function("shiftright", F.col("_cell"), F.col("level"))
+    pairs = rows.withColumn("node", node).drop("_cell").join(cut_up, ["level", "node"])
+    above = F.when(F.col("include_low"), value >= low).otherwise(value > low)
+    below = F.when(F.col("include_high"), value <= high).otherwise(value < high)
+    return pairs.where((low.isNull() | above) & (high.isNull() | below)).drop("level", "node")
+
+
 def doc_filter(hits: DataFrame, key: str, prefix: str) -> DataFrame:
     """Only one document and its sections: the key itself, and keys that go on after it with a full stop."""
     return hits.filter((F.col(key) == prefix) | F.col(key).startswith(prefix + "."))
 
 
-def drill_down(index: DataFrame, selections: DataFrame, key: str, fields: list[str], sel: str = "selections") -> DataFrame:
-    """Documents per query that fit its chosen facet values: OR within a field, AND across fields.
-
-    ``selections`` is ``(query_id, selections)`` with a JSON list of URL-encoded ``field:value``.
-    Elements without a colon are skipped. Joined field by field, so a list may be long. Gives (query_id, key): fields are
-    joined to that where they are wanted.
-    """
-    parts = (
+def chosen_values(selections: DataFrame, sel: str = "selections") -> DataFrame:
+    """(query_id, field, value) of JSON lists of URL-encoded ``field:value``; elements without a colon are skipped."""
+    return (
         selections.select("query_id", F.explode(F.from_json(sel, "array<string>")).alias("_e"))
         .filter(F.instr("_e", ":") > 0)
         .select(
@@ -151,7 +224,17 @@ def drill_down(index: DataFrame, selections: DataFrame, key: str, fields: list[s
         .filter(F.col("value").isNotNull())
         .distinct()
     )
-    need = parts.groupBy("query_id").agg(F.count_distinct("field").alias("_need"))
+
+
+def drill_down(index: DataFrame, selections: DataFrame, key: str, fields: list[str], sel: str = "selections") -> DataFrame:
+    """Documents per query that fit its chosen facet values: OR within a field, AND across fields.
+
+    ``selections`` is ``(query_id, selections)`` with a JSON list of URL-encoded ``field:value``.
+    Elements without a colon are skipped. Joined field by field, so a list may be long. Gives (query_id, key): fields are
+    joined to that where they are wanted.
+    """
+    parts = cut(chosen_values(selections, sel))  # stored: few choices are brought to the values, many are joined by key
+    need = cut(parts.groupBy("query_id").agg(F.count_distinct("field").alias("_need")))
     values = index.select(
         key,
         F.explode(
@@ -163,11 +246,11 @@ def drill_down(index: DataFrame, selections: DataFrame, key: str, fields: list[s
             )
         ).alias("_f"),
     ).select(key, F.col("_f.field").alias("field"), F.explode(F.array_distinct("_f.values")).alias("value"))
-    matched = spread_join(values, parts, ["field", "value"])
+    matched = values.join(parts, ["field", "value"])
     return (
-        spread_join(
-            matched.groupBy("query_id", key).agg(F.count_distinct("field").alias("_got")), need, ["query_id"]
-        )
+        matched.groupBy("query_id", key)
+        .agg(F.count_distinct("field").alias("_got"))
+        .join(need, "query_id")
         .filter(F.col("_got") == F.col("_need"))
         .drop("_got", "_need")
     )
@@ -255,9 +338,9 @@ def auto_phrases(words: DataFrame, word: str) -> DataFrame:
     )
 
 
-def wildcard_match(post: DataFrame, stats: DataFrame, patterns: DataFrame, key: str) -> DataFrame:
+def wildcard_match(post: DataFrame, stats: DataFrame, patterns: DataFrame, key: str, vocabulary=None) -> DataFrame:
     """Documents per pattern; each scores 1, whatever the number of terms the pattern stands for."""
-    found = expand_wildcards(stats, patterns).select("query_id", "term")
-    return spread_join(post, found, ["term"]).groupBy("query_id", key).agg(
+    found = expand_wildcards(stats, patterns, vocabulary).select("query_id", "term")
+    return spread_join(post, found, ["term"], frequency=stats.select("term", F.col("df").alias("n"))).groupBy("query_id", key).agg(
         F.count(F.lit(1)).alias("n_terms"), F.lit(1.0).alias("score")
     )

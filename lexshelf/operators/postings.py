@@ -13,11 +13,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lexshelf.functions.analyzers import Analyzer, term_rows, token_rows
-from lexshelf.functions.text import RUNS, WORD_CHARS
-from lexshelf.session import spread_join
+from lexshelf.functions.text import WORD
+from lexshelf.session import cut, spread_join
 
 BLOCK = 4096
 GAP = 100
+#: Words whose offsets are summed together.
+SUMMED = 64
 
 
 def tokenize(df: DataFrame, key: str, text: str, analyzer: Analyzer, keep: tuple[str, ...] = ()) -> DataFrame:
@@ -100,9 +102,12 @@ def doc_lengths(tokens: DataFrame, key: str) -> DataFrame:
 
 
 def restrict(tokens: DataFrame, clauses: DataFrame) -> DataFrame:
-    """Only tokens some query asks for; done before any other shuffle of the tokens. A frequent term is split."""
+    """Only tokens some query asks for; done before any other shuffle of the tokens.
+
+    The wanted terms are stored first: Spark sees their size and brings few of them to the tokens, which then stay where they are.
+    """
     keys = [c for c in ("field", "term") if c in tokens.columns and c in clauses.columns]
-    return spread_join(tokens, clauses.select(*keys).distinct(), keys, "left_semi")
+    return tokens.join(cut(clauses.select(*keys).distinct()), keys, "left_semi")
 
 
 def terms(stats: DataFrame, prefix: str = "", sort: str = "count", limit: int = 10) -> DataFrame:
@@ -112,10 +117,11 @@ def terms(stats: DataFrame, prefix: str = "", sort: str = "count", limit: int =
     return rows.select("term", "df").orderBy(*order).limit(limit)
 
 
-def term_vectors(post: DataFrame, key: str, docs: DataFrame | None = None) -> DataFrame:
-    """Term vector rows of the wanted documents: tf, df and their quotient."""
+def term_vectors(post: DataFrame, key: str, docs: DataFrame | None = None, stats: DataFrame | None = None) -> DataFrame:
+    """Term vector rows of the wanted documents: tf, df and their quotient; ``stats`` are the stored term statistics, if there are."""
     wanted = post if docs is None else post.join(docs.select(key).distinct(), key, "left_semi")
-    return spread_join(wanted, term_stats(post), ["term"]).select(
+    stats = cut(term_stats(post)) if stats is None else stats
+    return spread_join(wanted, stats, ["term"], frequency=stats.select("term", F.col("df").alias("n"))).select(
         key, "term", "tf", "df", (F.col("tf") / F.col("df")).alias("tf_idf")
     )
 
@@ -123,37 +129,57 @@ def term_vectors(post: DataFrame, key: str, docs: DataFrame | None = None) -> Da
 def token_offsets(df: DataFrame, key: str, text: str) -> DataFrame:
     """(key, term, pos, start, end) of the words of one text per key: characters from start up to end.
 
-    The text is cut into words and what stands between them, and lengths are summed up along it.
+    Within the row: the text is cut into words and what stands between them, which take turns, so the lengths of the words and those of
+    the gaps are two arrays. Blocks of SUMMED words are summed first, then each word within its block, so a long text costs no square.
     """
-    runs = df.select(key, F.posexplode(F.regexp_extract_all(F.col(text), F.lit(RUNS), F.lit(0))).alias("_i", "_run"))
-    before = Window.partitionBy(key).orderBy("_i").rowsBetween(Window.unboundedPreceding, -1)
-    word = F.col("_run").rlike(f"^[{WORD_CHARS}]")
-    placed = runs.select(
-        key,
-        "_run",
-        word.alias("_word"),
-        F.coalesce(F.sum(F.when(word, 1).otherwise(0)).over(before), F.lit(0)).alias("pos"),
-        F.coalesce(F.sum(F.length("_run")).over(before), F.lit(0)).alias("start"),
+    words = F.regexp_extract_all(F.col(text), F.lit(WORD), F.lit(0))
+    gaps = F.split(F.col(text), WORD, -1)
+    rows = df.select(key, words.alias("_w"), F.transform(gaps, F.length).alias("_g"))
+    # what stands before the i-th word: its gap and, but for the first, the word before that gap
+    step = F.transform("_w", lambda w, i: F.get("_g", i) + F.when(i > 0, F.length(F.get("_w", i - 1))).otherwise(0))
+    rows = rows.select(key, "_w", step.alias("_step")).where(F.size("_w") > 0)
+    total = lambda a: F.aggregate(a, F.lit(0).cast("bigint"), lambda s, x: s + x)
+    blocks = F.sequence(F.lit(0), F.floor((F.size("_w") - 1) / SUMMED).cast("int"))
+    rows = rows.select(key, "_w", "_step", F.transform(blocks, lambda b: total(F.slice("_step", b * SUMMED + 1, F.lit(SUMMED)))).alias("_sums"))
+    starts = F.transform(
+        blocks,
+        lambda b: F.struct(
+            (b * SUMMED).alias("first"),
+            F.slice("_w", b * SUMMED + 1, F.lit(SUMMED)).alias("words"),
+            F.slice("_step", b * SUMMED + 1, F.lit(SUMMED)).alias("steps"),
+            total(F.slice("_sums", F.lit(1), b)).alias("base"),
+        ),
     )
-    return placed.filter("_word").select(
-        key, F.lower("_run").alias("term"), "pos", "start", (F.col("start") + F.length("_run")).alias("end")
+    rows = rows.select(key, F.inline(starts))
+    placed = F.transform(
+        "words",
+        lambda w, i: F.struct(
+            F.lower(w).alias("term"),
+            (F.col("first") + i).cast("bigint").alias("pos"),
+            (F.col("base") + total(F.slice("steps", F.lit(1), i + 1))).alias("start"),
+            F.length(w).alias("n"),
+        ),
     )
+    return rows.select(key, F.inline(placed)).select(key, "term", "pos", "start", (F.col("start") + F.col("n")).alias("end"))
 
 
-def drop_stop_words(tokens: DataFrame, stop_words: DataFrame, word: str = "word") -> DataFrame:
-    """Remove listed terms (a list of any length); positions stay as they are. A frequent term is split."""
-    return spread_join(tokens, stop_words.select(F.lower(word).alias("term")).distinct(), ["term"], "left_anti")
+def drop_stop_words(tokens: DataFrame, stop_words: DataFrame, word: str = "word", frequency: DataFrame | None = None) -> DataFrame:
+    """Remove listed terms (a list of any length); positions stay as they are.
+
+    This and the next two split a term by its ``frequency`` (term, n); without it the tokens are counted first, and should be stored.
+    """
+    return spread_join(tokens, stop_words.select(F.lower(word).alias("term")).distinct(), ["term"], "left_anti", frequency=frequency)
 
 
-def override_stems(tokens: DataFrame, stems: DataFrame) -> DataFrame:
+def override_stems(tokens: DataFrame, stems: DataFrame, frequency: DataFrame | None = None) -> DataFrame:
     """Replace terms by the stem a (word, stem) table of any length gives; of several for one word, the least."""
     rest = [c for c in tokens.columns if c != "term"]
     one = stems.groupBy(F.col("word").alias("term")).agg(F.min("stem").alias("stem"))
-    return spread_join(tokens, one, ["term"], "left").select(*rest, F.coalesce("stem", "term").alias("term"))
+    return spread_join(tokens, one, ["term"], "left", frequency=frequency).select(*rest, F.coalesce("stem", "term").alias("term"))
 
 
-def join_synonyms(tokens: DataFrame, rules: DataFrame) -> DataFrame:
+def join_synonyms(tokens: DataFrame, rules: DataFrame, frequency: DataFrame | None = None) -> DataFrame:
     """Put every target of a (source, target) table of any length at the token's position; others stay."""
     rest = [c for c in tokens.columns if c != "term"]
     targets = rules.select(F.col("source").alias("term"), "target").distinct()
-    return spread_join(tokens, targets, ["term"], "left").select(*rest, F.coalesce("target", "term").alias("term"))
+    return spread_join(tokens, targets, ["term"], "left", frequency=frequency).select(*rest, F.coalesce("target", "term").alias("term"))

@@ -13,15 +13,16 @@ GROUP_LIMIT_KEY = "spark.sql.optimizer.windowGroupLimitThreshold"
 
 
 def term_weights(
-    post: DataFrame, clauses: DataFrame, n_docs: Column, model: str = "tfidf", avg_len: Column | None = None
+    post: DataFrame, clauses: DataFrame, n_docs: Column, model: str = "tfidf", avg_len: Column | None = None, stats: DataFrame | None = None
 ) -> DataFrame:
-    """Clauses with the weight of their term; one narrow row per clause.
+    """Clauses with the weight of their term; one narrow row per clause. ``stats`` are stored term statistics, if there are.
 
     Worth storing before ``explain_scores``: then its size is known, and Spark broadcasts it or not
     by that.
     """
     keys = _keys(post, clauses)
-    rated = clauses.join(term_stats(restrict(post, clauses)).select(*keys, "df"), keys).withColumn("_n", n_docs)
+    stats = term_stats(restrict(post, clauses)) if stats is None else stats
+    rated = clauses.join(stats.select(*keys, "df"), keys).withColumn("_n", n_docs)
     if model == "tfidf":
         weight = F.pow(F.lit(1.0) + F.log(F.col("_n") / (F.col("df") + 1)), F.lit(2.0))
         return rated.withColumn("weight", weight).drop("_n", "df")
@@ -35,8 +36,8 @@ def _keys(post: DataFrame, clauses: DataFrame) -> list[str]:
     return [c for c in ("field", "term") if c in post.columns and c in clauses.columns]
 
 
-def explain_scores(post: DataFrame, weights: DataFrame, k1: float = 1.2, b: float = 0.75) -> DataFrame:
-    """What each term adds to each hit's score.
+def explain_scores(post: DataFrame, weights: DataFrame, k1: float = 1.2, b: float = 0.75, frequency: DataFrame | None = None) -> DataFrame:
+    """What each term adds to each hit's score. A frequent term is split by its ``frequency`` ([field], term, n); see ``spread_join``.
 
     tfidf: sqrt(tf) * (1 + ln(n / (df + 1)))^2 / sqrt(len); bm25, for weights with an average length:
     Okapi with k1 and b.
@@ -47,8 +48,7 @@ def explain_scores(post: DataFrame, weights: DataFrame, k1: float = 1.2, b: floa
         )
     else:
         value = F.sqrt("tf") * F.col("weight") / F.sqrt("len")
-    # a term may be in very many documents: its postings are dealt over several tasks
-    return spread_join(post, weights, _keys(post, weights)).withColumn("value", value).drop("weight", "avg_len")
+    return spread_join(post, weights, _keys(post, weights), frequency=frequency).withColumn("value", value).drop("weight", "avg_len")
 
 
 def score(parts: DataFrame, key: str) -> DataFrame:
@@ -62,8 +62,8 @@ def dismax(parts: DataFrame, key: str, weights: dict[str, float], clauses: DataF
     """Best weighted field per term, summed over terms; at least ``match`` of the terms must occur."""
     boost = F.element_at(F.create_map(*[F.lit(x) for kv in weights.items() for x in kv]), F.col("field"))
     best = parts.groupBy("query_id", key, "term").agg(F.max(F.col("value") * boost).alias("value"))
-    need = clauses.groupBy("query_id").agg(F.ceil(F.count_distinct("term") * match).alias("_need"))
-    return spread_join(score(best, key), need, ["query_id"]).filter(F.col("n_terms") >= F.col("_need")).drop("_need")
+    need = cut(clauses.groupBy("query_id").agg(F.ceil(F.count_distinct("term") * match).alias("_need")))
+    return score(best, key).join(need, "query_id").filter(F.col("n_terms") >= F.col("_need")).drop("_need")
 
 
 def boost(hits: DataFrame, index: DataFrame, key: str, extra: Column) -> DataFrame:
@@ -113,8 +113,8 @@ def page(hits: DataFrame, number: int, size: int, key: str, order: list[Column]
 
 
 def random_order(df: DataFrame, key: str, seed: int) -> DataFrame:
-    """The same shuffled order for the same seed."""
-    return df.withColumn("random", F.md5(F.concat_ws("|", F.col(key).cast("string"), F.lit(str(seed))))).orderBy("random", key)
+    """All rows with a number ``random`` to sort by: the same for the same seed."""
+    return df.withColumn("random", F.md5(F.concat_ws("|", F.col(key).cast("string"), F.lit(str(seed)))))
 
 
 def elevate(hits: DataFrame, rules: DataFrame, key: str) -> DataFrame:

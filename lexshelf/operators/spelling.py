@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lexshelf.session import cut, spread_join
+from lexshelf.session import cut
 
 
 def _segment(term: Column, size: Column, j: int, parts: int) -> Column:
@@ -32,17 +32,26 @@ def _deletions(term: Column, edits: int) -> Column:
     return F.array_distinct(found)
 
 
-def near_terms(stats: DataFrame, words: DataFrame, edits: int = 2, prefix: int = 1) -> DataFrame:
+def held_terms(stats: DataFrame, prefix: int) -> DataFrame:
+    return stats.select("term", "df", F.left("term", F.lit(prefix)).alias("_head"), F.length("term").cast("int").alias("_n"))
+
+
+def near_terms(stats: DataFrame, words: DataFrame, edits: int = 2, prefix: int = 1, vocabulary=None) -> DataFrame:
     """Pairs (word, term, distance) at 1 to ``edits`` edits that share their first ``prefix`` letters.
 
     A long term is cut into edits + 1 segments: with so few edits one of them, the j-th, stays whole in the
     word, with at most j edits before it and edits - j after it, which bounds how far it has moved.
     A short term and a word so close leave the same string after at most ``edits`` deletions each. So equi-joins on
-    segments and on such strings find every pair, and no two terms are compared that share neither.
+    segments and on such strings find every pair, and no two terms are compared that share neither. ``vocabulary`` has the terms'
+    side of both joins stored; without it that is made from ``stats``.
     """
-    held = stats.select("term", "df", F.left("term", F.lit(prefix)).alias("_head"), F.length("term").cast("int").alias("_n"))
+    if vocabulary is not None and (vocabulary.edits, vocabulary.prefix) != (edits, prefix):
+        raise ValueError(f"the vocabulary is for {vocabulary.edits} edits after {vocabulary.prefix} letters")
+    held = held_terms(stats, prefix)
+    short, longer = (short_terms(held, edits), long_terms(held, edits)) if vocabulary is None else (vocabulary.left, vocabulary.segments)
     asked = words.select("word", F.left("word", F.lit(prefix)).alias("_head"), F.length("word").alias("_size")).distinct()
-    pairs = _near_long(held, asked, edits).union(_near_short(held, asked, edits))
+    asked = cut(asked)
+    pairs = _near_long(longer, asked, edits).union(_near_short(short, asked, edits))
     return (
         pairs.withColumn("distance", F.levenshtein("word", "term", edits))
         .filter(F.col("distance") > 0)
@@ -51,18 +60,26 @@ def near_terms(stats: DataFrame, words: DataFrame, edits: int = 2, prefix: int =
     )
 
 
-def _near_short(held: DataFrame, asked: DataFrame, edits: int) -> DataFrame:
-    terms = held.filter(F.col("_n") <= SHORT).select("term", "df", "_head", F.explode(_deletions(F.col("term"), edits)).alias("_left"))
+def short_terms(held: DataFrame, edits: int) -> DataFrame:
+    """Short terms under what deletions leave of them: (term, df, _head, _left)."""
+    return held.filter(F.col("_n") <= SHORT).select("term", "df", "_head", F.explode(_deletions(F.col("term"), edits)).alias("_left"))
+
+
+def long_terms(held: DataFrame, edits: int) -> DataFrame:
+    """Longer terms under their edits + 1 segments: (term, df, _head, _n, _j, _seg)."""
+    parts = edits + 1
+    segments = F.array(*[_segment(F.col("term"), F.col("_n"), j, parts) for j in range(parts)])
+    return held.filter(F.col("_n") > SHORT).select("term", "df", "_head", "_n", F.posexplode(segments).alias("_j", "_seg"))
+
+
+def _near_short(terms: DataFrame, asked: DataFrame, edits: int) -> DataFrame:
     near = asked.filter(F.col("_size") <= SHORT + edits).select("word", "_head", F.explode(_deletions(F.col("word"), edits)).alias("_left"))
-    return terms.join(near, ["_head", "_left"]).select("word", "term", "df")
+    # stored: Spark sees how few strings a few words make, and reads the terms for them
+    return terms.join(cut(near), ["_head", "_left"]).select("word", "term", "df")
 
 
 def _near_long(held: DataFrame, asked: DataFrame, edits: int) -> DataFrame:
     parts = edits + 1
-    held = held.filter(F.col("_n") > SHORT).select(
-        "term", "df", "_head", "_n",
-        F.posexplode(F.array(*[_segment(F.col("term"), F.col("_n"), j, parts) for j in range(parts)])).alias("_j", "_seg"),
-    )
     asked = asked.select("*", F.explode(F.sequence(F.greatest(F.col("_size") - edits, F.lit(1)), F.col("_size") + edits)).alias("_n"))
     asked = asked.filter(F.col("_n") > SHORT).select("*", F.explode(F.sequence(F.lit(0), F.lit(edits))).alias("_j"))
     asked = asked.select("*", F.explode(F.sequence(F.lit(-edits), F.lit(edits))).alias("_shift"))
@@ -77,7 +94,7 @@ def _near_long(held: DataFrame, asked: DataFrame, edits: int) -> DataFrame:
         .select("word", "_head", "_n", "_j", F.substr(F.col("word"), F.col("_at") + 1, F.col("_len")).alias("_seg"))
         .distinct()
     )
-    return held.join(asked, ["_head", "_n", "_j", "_seg"]).select("word", "term", "df")
+    return held.join(cut(asked), ["_head", "_n", "_j", "_seg"]).select("word", "term", "df")
 
 
 def spellcheck(
@@ -90,6 +107,7 @@ def spellcheck(
     min_length: int = 4,
     max_frequency: float = 0.01,
     accuracy: float = 0.5,
+    vocabulary=None,
 ) -> DataFrame:
     """Suggestions per rare word: (word, suggestion, distance, df, rank), nearest then most frequent first."""
     own = stats.select(F.col("term").alias("word"), F.col("df").alias("_own"))
@@ -100,7 +118,7 @@ def spellcheck(
         .filter(F.coalesce("_own", F.lit(0)) <= n_docs * max_frequency)
         .select("word")
     )
-    close = near_terms(stats, rare, edits, prefix)
+    close = near_terms(stats, rare, edits, prefix, vocabulary)
     similarity = 1 - F.col("distance") / F.least(F.length("word"), F.length("term"))
     order = Window.partitionBy("word").orderBy("distance", F.desc("df"), "term")
     return (
@@ -149,9 +167,9 @@ def collate(words: DataFrame, suggestions: DataFrame, post: DataFrame, key: str)
             "query_id", "pos", F.coalesce("term", "word").alias("term"), F.coalesce("rank", F.lit(0)).alias("rank")
         )
     )
-    need = words.groupBy("query_id").agg(F.count_distinct("pos").alias("_need"))
+    need = cut(words.groupBy("query_id").agg(F.count_distinct("pos").alias("_need")))
     places = (
-        spread_join(post.select(key, "term").distinct(), options, ["term"])
+        post.select(key, "term").distinct().join(options, "term")
         .groupBy("query_id", key, "pos")
         .agg(F.min(F.struct("rank", "term")).alias("_best"))
     )
@@ -161,7 +179,7 @@ def collate(words: DataFrame, suggestions: DataFrame, post: DataFrame, key: str)
         F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("pos", "_best.term"))), lambda s: s["term"]), " ").alias("corrected"),
     )
     counted = (
-        spread_join(found, need, ["query_id"])
+        found.join(need, "query_id")
         .filter(F.col("_got") == F.col("_need"))
         .groupBy("query_id", "rank_sum", "corrected")
         .agg(F.count(F.lit(1)).alias("hits"))

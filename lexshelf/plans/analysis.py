@@ -11,7 +11,7 @@ from lexshelf.functions.analyzers import LANGUAGE_STEPS, PRESETS, Analyzer, anal
 from lexshelf.operators import match, postings
 from lexshelf.plans import corpus as C
 from lexshelf.plans.corpus import query
-from lexshelf.session import literal_table
+from lexshelf.session import cut, literal_table
 
 
 def term_table(tokens: DataFrame) -> DataFrame:
@@ -48,9 +48,25 @@ def sql_list(values) -> str:
     return ", ".join("'" + v.replace("'", "''") + "'" for v in values)
 
 
-@query("html_strip", f"SELECT page_id, {C.sql_html_strip('html')} AS text FROM pages")
+# literal texts beside the pages, and what they have to give
+MARKED_UP = [
+    ("caf&#233; na&iuml;ve", "café naïve"),
+    ("&#x4E2D;&#X6587; &#128512;!", "中文 😀!"),
+    ("a&nbsp;b&#160;c", "a b c"),
+    ("&amp;lt; &unknown; &#0; &#xD800; AT&T R&D;", "&lt; &unknown; &#0; &#xD800; AT&T R&D;"),
+    ("<b>&Omega;</b>&hellip;&rsquo;&apos;", " Ω …’\'"),
+]
+
+
+@query(
+    "html_strip",
+    f"SELECT page_id, {C.sql_html_strip('html')} AS text FROM pages UNION ALL SELECT * FROM (VALUES "
+    + ", ".join(f"({-1 - i}, {sql_list([plain])})" for i, (_, plain) in enumerate(MARKED_UP)) + ")",
+)
 def html_strip(spark, sf_dir):
-    return C.table(spark, sf_dir, "pages").select("page_id", T.html_strip(F.col("html")).alias("text"))
+    more = literal_table(spark, [(-1 - i, marked) for i, (marked, _) in enumerate(MARKED_UP)], "page_id bigint, html string")
+    pages = C.table(spark, sf_dir, "pages").select("page_id", "html").union(more)
+    return pages.select("page_id", T.html_strip(F.col("html")).alias("text"))
 
 
 @query("whitespace_terms", sql_terms(r"regexp_extract_all(text, '\S+')"))
@@ -133,7 +149,8 @@ def stop_word_table(spark, sf_dir):
     """A stop list that is itself a table: here every benchmark word."""
     listed = C.table(spark, sf_dir, "benchmark").select(F.explode(T.tok_standard(F.lower("text"))).alias("word"))
     chain = Analyzer("lower", T.tok_standard, (), (("term", F.lower),))
-    return term_table(postings.drop_stop_words(C.doc_tokens(spark, sf_dir, chain), listed))
+    frequency = C.text_index(spark, sf_dir, chain).stats.select("term", F.col("ttf").alias("n"))
+    return term_table(postings.drop_stop_words(C.doc_tokens(spark, sf_dir, chain), listed, frequency=frequency))
 
 
 REWRITES = [("red", [["crimson"]]), ("widget", [["thing", "made"], ["gadget"]])]
@@ -188,7 +205,7 @@ def synonym_table(spark, sf_dir):
     )
     parts = C.table(spark, sf_dir, "part").select("p_partkey", "p_name")
     chain = Analyzer("lower", T.tok_standard, (), (("term", F.lower),))
-    return term_table(postings.join_synonyms(token_rows(parts, "p_name", chain), rules))
+    return term_table(postings.join_synonyms(cut(token_rows(parts, "p_name", chain)), rules))
 
 
 SQL_PARTS = (
@@ -253,9 +270,9 @@ def stem_override_table(spark, sf_dir):
     """A stem dictionary that is itself a table."""
     words = C.table(spark, sf_dir, "benchmark").select(F.explode(T.tok_standard(F.lower("text"))).alias("word")).distinct()
     chain = Analyzer("lower", T.tok_standard, (), (("term", F.lower),))
-    return term_table(
-        postings.override_stems(C.doc_tokens(spark, sf_dir, chain), words.withColumn("stem", F.left("word", F.lit(4))))
-    )
+    frequency = C.text_index(spark, sf_dir, chain).stats.select("term", F.col("ttf").alias("n"))
+    stems = words.withColumn("stem", F.left("word", F.lit(4)))
+    return term_table(postings.override_stems(C.doc_tokens(spark, sf_dir, chain), stems, frequency))
 
 
 def sql_suffix_steps(lang: str, x: str) -> str:
@@ -331,20 +348,24 @@ SQL_WIDE = "".join(chr(c) for c in range(0xFF01, 0xFF5F)).replace("'", "''")
 SQL_PLAIN = "".join(chr(c - 0xFEE0) for c in range(0xFF01, 0xFF5F)).replace("'", "''")
 
 
-# the tables hold no ideographs or kana: a few literal texts go beside them
-CJK_TEXTS = ["東京都の天気 abc", "ＡＢ１ 한국어 テスト", "日 本 ひらがな"]
+# the tables hold no ideographs or kana: a few literal texts go beside them, with the terms they have to give
+CJK_TEXTS = [
+    ("東京都の天気 abc", "東京 京都 都の の天 天気 abc"),
+    ("ＡＢ１ 한국어 テスト", "ab1 한국 국어 テス スト"),
+    ("日 本 ひらがな", "日 本 ひら らが がな"),
+    ("東京タワー タワー", "東京 京タ タワ ワー タワ ワー"),
+    ("東京abc東2020年", "東京 abc 東 2020 年"),
+]
 
 
 @query(
     "cjk_bigrams",
-    f"""WITH d AS (SELECT text FROM documents UNION ALL SELECT unnest([{sql_list(CJK_TEXTS)}])),
-    w AS (SELECT unnest(list_transform({SQL_STRIPPED}, lambda x: lower(translate(x, '{SQL_WIDE}', '{SQL_PLAIN}')))) AS x FROM d),
-    g AS (SELECT unnest(CASE WHEN regexp_matches(x, '^[\\p{{Han}}\\p{{Hiragana}}\\p{{Katakana}}\\p{{Hangul}}]{{2,}}$')
-      THEN list_transform(range(1, length(x)), lambda i: substr(x, i, 2)) ELSE [x] END) AS term FROM w)
+    f"""WITH w AS (SELECT unnest(list_transform({SQL_STRIPPED}, lambda x: lower(translate(x, '{SQL_WIDE}', '{SQL_PLAIN}')))) AS term FROM documents),
+    g AS (SELECT term FROM w UNION ALL SELECT unnest([{sql_list(' '.join(terms for _, terms in CJK_TEXTS).split())}]))
     SELECT term, count(*) AS n FROM g GROUP BY term""",
 )
 def cjk_bigrams(spark, sf_dir):
-    more = literal_table(spark, [(-1 - i, t) for i, t in enumerate(CJK_TEXTS)], "doc_id bigint, text string")
+    more = literal_table(spark, [(-1 - i, t) for i, (t, _) in enumerate(CJK_TEXTS)], "doc_id bigint, text string")
     docs = C.documents(spark, sf_dir).union(more)
     return postings.tokenize(docs, "doc_id", "text", analyzer("text_cjk")).groupBy("term").agg(F.count(F.lit(1)).alias("n"))
 

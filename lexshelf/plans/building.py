@@ -417,7 +417,7 @@ def sql_search(key: str) -> str:
         f"tk AS (SELECT docOID, field, unnest({C.GENERAL_ARRAY}) AS term FROM val), "
         "po AS (SELECT docOID, field, term, count(*) AS tf FROM tk WHERE term <> '' GROUP BY ALL), "
         "ln AS (SELECT docOID, field, sum(tf) AS len FROM po GROUP BY ALL), st AS (SELECT field, term, count(*) AS df FROM po GROUP BY ALL), "
-        f"nd AS (SELECT count(DISTINCT docOID) AS n FROM po), {SQL_FIELDED}, need AS (SELECT query_id, count(*) AS need FROM cl GROUP BY 1), "
+        f"nd AS (SELECT count(DISTINCT docOID) AS n FROM val WHERE text <> ''), {SQL_FIELDED}, need AS (SELECT query_id, count(*) AS need FROM cl GROUP BY 1), "
         "hit AS (SELECT query_id, docOID, round(sum(sqrt(tf) * pow(1 + ln(n / (df + 1)), 2) / sqrt(len)), 6) AS score FROM cl JOIN st USING (field, term) "
         "JOIN po USING (field, term) JOIN ln USING (docOID, field) JOIN need USING (query_id), nd GROUP BY query_id, docOID, need HAVING count(*) = need)"
     )

@@ -6,15 +6,18 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lexshelf.functions.analyzers import Analyzer, analyzer, query_rows
-from lexshelf.functions.text import ENTITIES, HTML_BLOCKS, HTML_TAGS, WORD
+from lexshelf.functions.text import HTML_BLOCKS, HTML_TAGS, WORD
 from lexshelf.operators.postings import postings_of, tokenize
-from lexshelf.session import deal
+from lexshelf.operators.textindex import TextIndex, build_text_index, open_text_index
+from lexshelf.operators.vocabulary import Vocabulary, build_vocabulary, open_vocabulary
+from lexshelf.session import deal, shared_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -46,6 +49,37 @@ def documents(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
     return deal(table(spark, sf_dir, "documents").select("doc_id", *(columns or ("text",))), "doc_id")
 
 
+#: Folders of the indexes that this application has written, by session, chain and state of the input files.
+_INDEXES: dict[tuple, str] = {}
+
+
+def text_index(spark: SparkSession, sf_dir: str, chain: Analyzer = GENERAL) -> TextIndex:
+    """The stored index of ``documents.text``: written by the first search of an application, read by all others.
+
+    Files that changed since (by name, size or time) are indexed anew.
+    """
+    file = F.struct("_metadata.file_path", "_metadata.file_size", "_metadata.file_modification_time")
+    files = table(spark, sf_dir, "documents").select(file.alias("file")).distinct()
+    state = tuple(files.agg(F.count(F.lit(1)), F.sum(F.xxhash64("file") % 1_000_000_007)).first())
+    name = (spark.sparkContext.applicationId, shared_dir(spark), chain.name, sf_dir, *state)
+    if name not in _INDEXES:
+        path = f"{shared_dir(spark).rstrip('/')}/index-{uuid.uuid4().hex}"
+        build_text_index(documents(spark, sf_dir), "doc_id", "text", chain, path)
+        _INDEXES[name] = path
+    return open_text_index(spark, "doc_id", _INDEXES[name])
+
+
+def vocabulary(spark: SparkSession, sf_dir: str, chain: Analyzer = GENERAL) -> Vocabulary:
+    """What the terms of the stored index are looked up by; written beside the index by the first search that wants it."""
+    index = text_index(spark, sf_dir, chain)
+    name = ("vocabulary", spark.sparkContext.applicationId, index.path)
+    if name not in _INDEXES:
+        path = f"{index.path}/vocabulary-{uuid.uuid4().hex}"
+        build_vocabulary(index.stats, path)
+        _INDEXES[name] = path
+    return open_vocabulary(spark, _INDEXES[name])
+
+
 def doc_tokens(spark: SparkSession, sf_dir: str, chain: Analyzer = GENERAL) -> DataFrame:
     return tokenize(documents(spark, sf_dir), "doc_id", "text", chain)
 
@@ -100,8 +134,9 @@ def sql_tokens(text: str) -> str:
 
 def sql_html_strip(c: str) -> str:
     out = f"regexp_replace(regexp_replace({c}, '{HTML_BLOCKS}', ' ', 'g'), '{HTML_TAGS}', ' ', 'g')"
-    for entity, plain in ENTITIES:
-        out = f"replace({out}, '{entity}', '{plain.replace(chr(39), chr(39) * 2)}')"
+    # the references that occur in the tables; others are in literal texts beside them, with what they have to give
+    for entity, plain in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "''"), ("&nbsp;", " "), ("&middot;", "·"), ("&copy;", "©"), ("&amp;", "&")):
+        out = f"replace({out}, '{entity}', '{plain}')"
     return out
 
 

@@ -6,12 +6,12 @@ from pyspark.sql import functions as F
 
 from lexshelf.functions import text as T
 from lexshelf.functions.analyzers import Analyzer, token_rows
-from lexshelf.operators import discover, highlight, postings, rank, spelling
+from lexshelf.operators import discover, highlight, postings, spelling
 from lexshelf.plans import corpus as C
 from lexshelf.plans.corpus import query
 from lexshelf.plans.analysis import PATH
 from lexshelf.plans.matching import LOWER
-from lexshelf.plans.ranking import SQL_ROUNDED, benchmark_hits
+from lexshelf.plans.ranking import SQL_ROUNDED, benchmark_best
 from lexshelf.session import cut
 
 SQL_TOP3 = (
@@ -31,7 +31,7 @@ def sql_tagged(text: str, pre: str, post: str) -> str:
 
 def top_texts(spark, sf_dir):
     """Text and query terms of the three best hits of every query."""
-    top = cut(rank.top_k(benchmark_hits(spark, sf_dir), 3, "doc_id").select("query_id", "doc_id"))
+    top = cut(benchmark_best(spark, sf_dir, 3).select("query_id", "doc_id"))
     asked = C.table(spark, sf_dir, "benchmark").select(
         F.col("item_id").alias("query_id"), F.array_distinct(C.GENERAL(F.col("text"))).alias("terms")
     )
@@ -88,9 +88,9 @@ def snippet_or_alternate(spark, sf_dir):
 )
 def more_like_this(spark, sf_dir):
     """Three documents like each of the queries' best hits."""
-    post = cut(C.doc_postings(spark, sf_dir))
-    sources = rank.top_k(benchmark_hits(spark, sf_dir, post=post), 3, "doc_id").select("doc_id").distinct()
-    return discover.more_like_this(post, sources, "doc_id", C.count_docs(spark, sf_dir), max_terms=25, min_tf=2, min_df=5)
+    index = C.text_index(spark, sf_dir)
+    sources = benchmark_best(spark, sf_dir, 3).select("doc_id").distinct()
+    return discover.more_like_this(index.postings, sources, "doc_id", index.count(), stats=index.stats, max_terms=25, min_tf=2, min_df=5)
 
 
 @query(
@@ -116,7 +116,7 @@ def more_like_this_fields(spark, sf_dir):
 
 
 def index_words(spark, sf_dir):
-    return cut(postings.term_stats(C.doc_postings(spark, sf_dir, LOWER)))
+    return C.text_index(spark, sf_dir, LOWER).stats
 
 
 def benchmark_words(spark, sf_dir):
@@ -144,7 +144,7 @@ def spelling_query(spark, sf_dir):
     """Suggestions for the rare words of all queries."""
     stats = index_words(spark, sf_dir)
     words = benchmark_words(spark, sf_dir).select("word")
-    return spelling.spellcheck(stats, words, C.count_docs(spark, sf_dir), 10)
+    return spelling.spellcheck(stats, words, C.count_docs(spark, sf_dir), 10, vocabulary=C.vocabulary(spark, sf_dir, LOWER))
 
 
 @query(

@@ -11,7 +11,7 @@ from lexshelf.operators import facets, match, postings
 from lexshelf.plans import corpus as C
 from lexshelf.plans.corpus import query
 from lexshelf.plans.matching import benchmark_matches
-from lexshelf.plans.ranking import SQL_ROUNDED, benchmark_hits, benchmark_postings
+from lexshelf.plans.ranking import SQL_ROUNDED, benchmark_hits
 from lexshelf.session import cut, literal_table
 
 
@@ -157,18 +157,18 @@ def field_stats_by_facet(spark, sf_dir):
 
 @query("terms_by_count", f"WITH {C.SQL_STATS} SELECT term, df FROM stats ORDER BY df DESC, term LIMIT 50")
 def terms_by_count(spark, sf_dir):
-    return postings.terms(postings.term_stats(C.doc_postings(spark, sf_dir)), limit=50)
+    return postings.terms(C.text_index(spark, sf_dir).stats, limit=50)
 
 
 @query("terms_by_prefix", f"WITH {C.SQL_STATS} SELECT term, df FROM stats WHERE term LIKE 'th%' ORDER BY term LIMIT 100")
 def terms_by_prefix(spark, sf_dir):
-    return postings.terms(postings.term_stats(C.doc_postings(spark, sf_dir)), "th", "index", 100)
+    return postings.terms(C.text_index(spark, sf_dir).stats, "th", "index", 100)
 
 
 @query("query_term_statistics", f"WITH {C.SQL_MATCH} SELECT query_id, term, doc_id, tf, df, ttf FROM matches JOIN stats USING (term)")
 def query_term_statistics(spark, sf_dir):
-    post, asked = benchmark_postings(spark, sf_dir)
-    return facets.term_counts(post, asked, "doc_id")
+    index = C.text_index(spark, sf_dir)
+    return facets.term_counts(index.postings, C.clauses(spark, sf_dir), "doc_id", index.stats)
 
 
 @query(
@@ -178,7 +178,8 @@ def query_term_statistics(spark, sf_dir):
 def term_vectors(spark, sf_dir):
     """Vectors of the documents labelled toxic."""
     docs = C.table(spark, sf_dir, "labels").filter("toxic = 1")
-    vectors = postings.term_vectors(cut(C.doc_postings(spark, sf_dir)), "doc_id", docs)
+    index = C.text_index(spark, sf_dir)
+    vectors = postings.term_vectors(index.postings, "doc_id", docs, index.stats)
     return vectors.withColumn("tf_idf", F.round("tf_idf", 6))
 
 

@@ -9,7 +9,7 @@ from lexshelf.functions import text as T
 from lexshelf.functions.dates import date_math
 from lexshelf.functions.geo import bbox, geo_dist
 from lexshelf.functions.analyzers import Analyzer, analyzer, token_rows
-from lexshelf.operators import match, postings, rank
+from lexshelf.operators import lookup, match, postings
 from lexshelf.plans import corpus as C
 from lexshelf.plans.corpus import query
 from lexshelf.session import cut, literal_table
@@ -18,9 +18,8 @@ LOWER = Analyzer("lower", T.tok_standard, (), (("term", F.lower),))
 
 
 def benchmark_matches(spark, sf_dir):
-    asked = C.clauses(spark, sf_dir)
-    wanted = postings.restrict(C.doc_postings(spark, sf_dir), asked)
-    return match.match_terms(wanted, asked), asked
+    index, asked = C.text_index(spark, sf_dir), cut(C.clauses(spark, sf_dir))
+    return match.match_terms(index.postings, asked, index.frequency), asked
 
 
 @query(
@@ -94,9 +93,7 @@ SQL_PHRASES = (
 def phrase_match(spark, sf_dir):
     """Where documents hold a whole benchmark item word for word."""
     items = C.table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("query_id"), "text")
-    phrases = token_rows(items, "text", C.GENERAL).withColumnRenamed("pos", "offset")
-    tokens = cut(postings.restrict(C.doc_tokens(spark, sf_dir), phrases).select("doc_id", "pos", "term"))
-    return match.phrase_match(tokens, phrases, "doc_id")
+    return lookup.phrase_places(C.text_index(spark, sf_dir), lookup.place_clauses(items, "text", C.GENERAL))
 
 
 @query(
@@ -126,8 +123,7 @@ def pattern_table(spark):
     SELECT pattern AS query_id, pattern, term, df, ttf, count(*) OVER (PARTITION BY pattern) AS n_terms FROM found""",
 )
 def wildcard_expand(spark, sf_dir):
-    stats = cut(postings.term_stats(C.doc_postings(spark, sf_dir)))
-    return match.expand_wildcards(stats, pattern_table(spark))
+    return match.expand_wildcards(C.text_index(spark, sf_dir).stats, pattern_table(spark), C.vocabulary(spark, sf_dir))
 
 
 @query(
@@ -137,8 +133,8 @@ def wildcard_expand(spark, sf_dir):
     FROM found JOIN post USING (term) GROUP BY pattern, doc_id""",
 )
 def wildcard_match(spark, sf_dir):
-    post = cut(C.doc_postings(spark, sf_dir))
-    return match.wildcard_match(post, cut(postings.term_stats(post)), pattern_table(spark), "doc_id")
+    index = C.text_index(spark, sf_dir)
+    return match.wildcard_match(index.postings, index.stats, pattern_table(spark), "doc_id", C.vocabulary(spark, sf_dir))
 
 
 @query("match_all", "SELECT doc_id, CAST(1.0 AS DOUBLE) AS score FROM documents")
@@ -220,9 +216,7 @@ def filter_queries(spark, sf_dir):
 )
 def hit_fields(spark, sf_dir):
     """Stored fields are looked up for the best hits only."""
-    from lexshelf.plans.ranking import benchmark_hits
-
-    top = rank.top_k(benchmark_hits(spark, sf_dir), 5, "doc_id")
+    top = lookup.best_documents(C.text_index(spark, sf_dir), C.clauses(spark, sf_dir), 5)
     return match.fetch_fields(top, C.table(spark, sf_dir, "documents"), "doc_id", ["lang", "source", "n_chars"])
 
 

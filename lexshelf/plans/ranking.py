@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from lexshelf.functions import text as T
 from lexshelf.functions.analyzers import Analyzer, token_rows
-from lexshelf.operators import postings, rank
+from lexshelf.operators import lookup, postings, rank
 from lexshelf.plans import corpus as C
 from lexshelf.plans.corpus import query
 from lexshelf.session import cut
@@ -14,31 +14,21 @@ from lexshelf.session import cut
 SQL_ROUNDED = f"{C.SQL_SCORES}, r AS (SELECT query_id, doc_id, round(score, 6) AS score, n_terms FROM hits)"
 
 
-def benchmark_postings(spark, sf_dir):
-    """Stored postings of the terms the queries ask for, and the queries."""
-    asked = C.clauses(spark, sf_dir)
-    return cut(postings.restrict(C.doc_postings(spark, sf_dir), asked)), asked
+def benchmark_parts(spark, sf_dir, model: str = "tfidf"):
+    index, asked = C.text_index(spark, sf_dir), C.clauses(spark, sf_dir)
+    avg_len = index.mean_length() if model == "bm25" else None
+    weights = cut(rank.term_weights(index.postings, asked, index.count(), model, avg_len, index.stats))
+    return rank.explain_scores(index.postings, weights, frequency=index.frequency)
 
 
-def benchmark_parts(spark, sf_dir, model: str = "tfidf", post=None):
-    if model == "bm25" and post is None:
-        # the lengths of all documents are wanted, so all postings are stored
-        post, asked = cut(C.doc_postings(spark, sf_dir)), C.clauses(spark, sf_dir)
-    elif post is None:
-        post, asked = benchmark_postings(spark, sf_dir)
-    else:
-        asked = C.clauses(spark, sf_dir)
-    avg_len = None
-    if model == "bm25":
-        sizes = cut(post.groupBy("doc_id").agg(F.max("len").alias("n")).agg(F.avg("n").alias("mean")))
-        avg_len = sizes.select("mean").scalar()
-    weights = cut(rank.term_weights(post, asked, C.count_docs(spark, sf_dir), model, avg_len))
-    return rank.explain_scores(post, weights)
+def benchmark_hits(spark, sf_dir, model: str = "tfidf"):
+    hits = rank.score(benchmark_parts(spark, sf_dir, model), "doc_id")
+    return hits.withColumn("score", F.round("score", 6))
 
 
-def benchmark_hits(spark, sf_dir, model: str = "tfidf", post=None):
-    hits = rank.score(benchmark_parts(spark, sf_dir, model, post), "doc_id")
-    return hits.withColumn("score", F.round("score", 6))
+def benchmark_best(spark, sf_dir, k: int):
+    """The ``k`` best documents of every query, found by thresholds: (query_id, doc_id, score, n_terms, rank)."""
+    return lookup.best_documents(C.text_index(spark, sf_dir), C.clauses(spark, sf_dir), k)
 
 
 @query(
@@ -48,7 +38,7 @@ def benchmark_hits(spark, sf_dir, model: str = "tfidf", post=None):
 )
 def top_documents(spark, sf_dir):
     """Ten best documents for every query."""
-    return rank.top_k(benchmark_hits(spark, sf_dir), 10, "doc_id")
+    return benchmark_best(spark, sf_dir, 10)
 
 
 @query("scores_tfidf", f"WITH {SQL_ROUNDED} SELECT query_id, doc_id, score, n_terms FROM r")
@@ -76,8 +66,7 @@ def top_documents_bm25(spark, sf_dir):
 def score_parts(spark, sf_dir):
     """What each term adds to the score of the three best hits."""
     parts = benchmark_parts(spark, sf_dir)
-    hits = rank.score(parts, "doc_id").withColumn("score", F.round("score", 6))
-    top = rank.top_k(hits, 3, "doc_id").select("query_id", "doc_id")
+    top = cut(benchmark_best(spark, sf_dir, 3).select("query_id", "doc_id"))
     return parts.join(top, ["query_id", "doc_id"]).select("query_id", "doc_id", "term", F.round("value", 6).alias("value"))
 
 

@@ -34,13 +34,16 @@ def local_session(cores: int | str = 8, app: str = "lexshelf", **conf: str) -> S
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors see; a private one only when running locally without the setting."""
+    """The folder all executors see, as ``spark.checkpoint.dir`` or the context names it.
+
+    Only a local session, whose one process has all executors, may go without: it gets a folder of its own.
+    """
     folder = spark.conf.get(CHECKPOINT_KEY, None)
     if folder:
         return folder
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
-        if not context.master.startswith("local"):
+        if not context.master.startswith("local["):
             raise ValueError(f"set {CHECKPOINT_KEY} to a folder every executor can reach")
         context.setCheckpointDir(tempfile.mkdtemp(prefix="lexshelf-"))
     return context.getCheckpointDir()
@@ -58,21 +61,50 @@ def cut(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def hot_keys(frequency: DataFrame, on: list[str], share: int = 16) -> DataFrame:
+    """(on, ways) of the keys that have more than one part in ``share`` * partitions of all rows, and how many ways each is split.
+
+    ``frequency`` has the rows ``n`` of every key. At most ``share`` * partitions keys can be that frequent, whatever the data, and their
+    ways add up to twice that at most: the table is small enough to broadcast, and so is what it multiplies.
+    """
+    parts = int(frequency.sparkSession.conf.get("spark.sql.shuffle.partitions")) * share
+    total = frequency.agg(F.coalesce(F.sum("n"), F.lit(0))).scalar()
+    ways = F.ceil(F.col("n") * parts / total).cast("int")
+    return frequency.where(F.col("n") * parts > total).select(*on, ways.alias("_ways"))
+
+
 def spread_join(
-    left: DataFrame, right: DataFrame, on: list[str], how: str = "inner", by: Column | None = None, ways: int = 8
+    left: DataFrame,
+    right: DataFrame,
+    on: list[str],
+    how: str = "inner",
+    by: Column | None = None,
+    frequency: DataFrame | None = None,
+    ways: int | None = None,
 ) -> DataFrame:
-    """Equi-join whose hot left keys are split ``ways`` times; ``right`` is repeated as often.
+    """Equi-join whose hot left keys are split by how frequent they are; ``right`` is repeated for those keys alone.
 
-    For a ``right`` side with one narrow row per key and a ``left`` side in which one key may hold
-    a large part of all rows. ``by`` says how left rows of one key are dealt out.
+    For a ``right`` side with few narrow rows per key and a ``left`` side in which one key may hold a large part of all rows.
+    ``frequency`` (on, n) says how many rows the left keys have, such as stored document frequencies; without it they are counted, so
+    ``left`` is read twice and should be a stored table. A key with less than a sixteenth of a partition's mean load is not split, one with a third of all rows is dealt over
+    more parts than there are partitions. ``by`` says how left rows of one key are dealt out. ``ways`` splits every
+    key so many times and counts nothing.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError("the left side must be the kept side")
     columns = [F.col(c) for c in left.columns if c not in on]
     dealt = by if by is not None else F.xxhash64(*(columns or [F.col(c) for c in on]))
-    salted = left.withColumn("_salt", F.pmod(dealt, F.lit(ways)).cast("int"))
-    copies = right.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(ways - 1))))
-    return salted.join(copies, [*on, "_salt"], how).drop("_salt")
+    if ways is not None:
+        salted = left.withColumn("_salt", F.pmod(dealt, F.lit(ways)).cast("int"))
+        copies = right.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(ways - 1))))
+        return salted.join(copies, [*on, "_salt"], how).drop("_salt")
+    if frequency is None:
+        frequency = left.groupBy(*on).agg(F.count(F.lit(1)).alias("n"))
+    hot = F.broadcast(cut(hot_keys(frequency, on)))
+    salt = F.coalesce(F.pmod(dealt, F.col("_ways")), F.lit(0)).cast("int")
+    salted = left.join(hot, on, "left").withColumn("_salt", salt).select(*left.columns, "_salt")
+    copies = right.join(hot, on, "left").withColumn("_salt", F.explode(F.sequence(F.lit(0), F.coalesce("_ways", F.lit(1)) - 1)))
+    return salted.join(copies.select(*right.columns, "_salt"), [*on, "_salt"], how).drop("_salt")
 
 
 def deal(df: DataFrame, key: str) -> DataFrame:
