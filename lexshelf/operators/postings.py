@@ -101,13 +101,14 @@ def doc_lengths(tokens: DataFrame, key: str) -> DataFrame:
     return tokens.groupBy(key).agg(F.count(F.lit(1)).alias("len"))
 
 
-def restrict(tokens: DataFrame, clauses: DataFrame) -> DataFrame:
+def restrict(tokens: DataFrame, clauses: DataFrame, frequency: DataFrame | None = None) -> DataFrame:
     """Only tokens some query asks for; done before any other shuffle of the tokens.
 
     The wanted terms are stored first: Spark sees their size and brings few of them to the tokens, which then stay where they are.
+    Where they are many, a frequent term is split by its ``frequency`` ([field], term, n), or by a count of the tokens.
     """
     keys = [c for c in ("field", "term") if c in tokens.columns and c in clauses.columns]
-    return tokens.join(cut(clauses.select(*keys).distinct()), keys, "left_semi")
+    return spread_join(tokens, cut(clauses.select(*keys).distinct()), keys, "left_semi", frequency=frequency)
 
 
 def terms(stats: DataFrame, prefix: str = "", sort: str = "count", limit: int = 10) -> DataFrame:

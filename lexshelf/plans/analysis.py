@@ -414,7 +414,7 @@ def phonetic_match(spark, sf_dir):
     """Documents by the sound of the queries' words: both sides carry the phonetic key as their term."""
     chain = C.GENERAL.then("term", F.soundex)
     asked = C.clauses(spark, sf_dir, chain)
-    found = match.match_terms(postings.restrict(C.doc_postings(spark, sf_dir, chain), asked), asked)
+    found = match.match_terms(cut(postings.restrict(cut(C.doc_postings(spark, sf_dir, chain)), asked)), asked)
     return found.groupBy("query_id", "doc_id").agg(F.count(F.lit(1)).alias("n_keys"))
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from lexshelf.functions import text as T
-from lexshelf.functions.analyzers import Analyzer, token_rows
+from lexshelf.functions.analyzers import token_rows
 from lexshelf.operators import discover, highlight, postings, spelling
 from lexshelf.plans import corpus as C
 from lexshelf.plans.corpus import query
