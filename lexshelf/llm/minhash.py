@@ -198,12 +198,14 @@ def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for table in runs(batches, ["k", "x", "y"]):
         table = table.combine_chunks()
         tags, roots = _tag_rows(table.column("tags")), table.column("root").combine_chunks().dictionary_encode().indices.to_numpy()
-        before = table.column("before").combine_chunks()
+        first, keys = table.column("first").combine_chunks(), table.column("k").to_pylist()
         seen: dict[int, frozenset] = {}
 
-        def earlier(row: int, before: pa.ListArray = before, seen: dict = seen) -> frozenset:
+        def earlier(row: int, first: pa.ListArray = first, keys: list = keys, seen: dict = seen) -> frozenset:
+            """The pairs that come before the list's own in the order of the set."""
             if row not in seen:
-                seen[row] = frozenset(before[row].values.to_numpy().tolist())
+                order = first[row].values.to_numpy().tolist()
+                seen[row] = frozenset(order[: order.index(keys[row])])
             return seen[row]
 
         as_outer, as_inner = np.zeros(table.num_rows, bool), np.zeros(table.num_rows, bool)
@@ -259,10 +261,7 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _prefixes(nodes: DataFrame) -> DataFrame:
-    """(k, node, n, weight, before): the rarest repeated coordinate-value pairs of every set that may have a similar one.
-
-    ``before`` are the pairs that come before k in the order of the set.
-    """
+    """(node, n, tags, weight, first): the rarest repeated coordinate-value pairs of every set that may have a similar one, in order."""
     postings = nodes.select("node", F.explode("keys").alias("k"))
     repeated = cut(postings.groupBy("k").agg(F.count(F.lit(1)).alias("sets")).where("sets > 1"))
     held = postings.join(repeated, "k").groupBy("node").agg(F.sort_array(F.collect_list(F.struct("sets", "k"))).alias("held"))
@@ -271,17 +270,17 @@ def _prefixes(nodes: DataFrame) -> DataFrame:
         F.expr("aggregate(held, 0L, (s, p) -> s + p.sets)").alias("weight"),
         F.slice("held.k", F.lit(1), F.size("held") - LEAST + 1).alias("first"),
     )
-    lists = held.join(nodes.select("node", F.col("n_shingles").alias("n")), "node").select("node", "n", "weight", "first", F.posexplode("first").alias("at", "k"))
-    return cut(lists.select("k", "node", "n", "weight", F.slice("first", F.lit(1), F.col("at")).alias("before")))
+    return cut(held.join(nodes.select("node", F.col("n_shingles").alias("n"), "tags"), "node").select("node", "n", "tags", "weight", "first"))
 
 
-def _star_pairs(lists: DataFrame, nodes: DataFrame) -> DataFrame:
+def _star_pairs(held: DataFrame) -> DataFrame:
     """(node, centre): of the centres that most lists of a set name, those whose tags collide enough with its own."""
+    lists = held.select("node", "weight", F.explode("first").alias("k"))
     centres = lists.groupBy("k").agg(F.max(F.struct("weight", "node")).getField("node").alias("centre"), F.count(F.lit(1)).alias("sets"))
     met = lists.select("k", "node").join(centres.where("sets > 1"), "k").where("node <> centre").groupBy("node", "centre").agg(F.count(F.lit(1)).alias("times"))
     best = F.row_number().over(Window.partitionBy("node").orderBy(F.desc("times"), "centre"))
     met = met.withColumn("best", best).where(F.col("best") <= CENTRES).select("node", "centre")
-    both = met.join(nodes.select("node", F.col("tags").alias("x")), "node").join(nodes.select(F.col("node").alias("centre"), F.col("tags").alias("y")), "centre")
+    both = met.join(held.select("node", F.col("tags").alias("x")), "node").join(held.select(F.col("node").alias("centre"), F.col("tags").alias("y")), "centre")
     return cut(both.select("node", "centre", "x", "y").mapInArrow(_collide, "node binary, centre binary"))
 
 
@@ -297,9 +296,10 @@ def _confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return cut(shared.where(F.col("n") * SHARE[1] >= (F.col("total") - F.col("n")) * SHARE[0]).select("a", "b"))
 
 
-def _blocks(lists: DataFrame, roots: DataFrame, shingles_each: int, sets_each: int) -> DataFrame:
-    """(k, x, y, outer, inner, root, node, before): members of unfinished lists, dealt to blocks; x cuts the outer ones and y all."""
-    member = cut(lists.join(roots, "node", "left").select("k", "node", "n", "before", F.coalesce("root", "node").alias("root")))
+def _blocks(held: DataFrame, roots: DataFrame, shingles_each: int, sets_each: int) -> DataFrame:
+    """(k, x, y, outer, inner, root, node): members of unfinished lists, dealt to blocks; x cuts the outer ones and y all."""
+    rooted = held.select("node", "n", "first").join(roots, "node", "left")
+    member = cut(rooted.select("node", "n", F.coalesce("root", "node").alias("root"), F.explode("first").alias("k")))
     classes = member.groupBy("k", "root").agg(F.count(F.lit(1)).alias("sets"), F.sum("n").alias("shingles"))
     stats = classes.groupBy("k").agg(
         F.max(F.struct("sets", "shingles", "root")).alias("main"),
@@ -330,7 +330,7 @@ def _blocks(lists: DataFrame, roots: DataFrame, shingles_each: int, sets_each: i
         F.expr("sequence(0, wx - 1)"), lambda i: F.struct(i.alias("x"), y.alias("y"), F.lit(False).alias("outer"), F.lit(True).alias("inner"))
     ).cast(shape)
     placed = F.when(single, once).otherwise(F.concat(F.when(F.col("out"), across).otherwise(F.array().cast(shape)), down))
-    return mine.select("k", "root", "node", "before", F.inline(placed))
+    return mine.select("k", "root", "node", F.inline(placed))
 
 
 def _sets_of(docs: DataFrame, nodes: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
@@ -347,12 +347,12 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, shingles_each: int = BL
     filled = rows.where("node IS NOT NULL")
     one = F.first(F.struct("n_shingles", "tags", "keys"))
     nodes = cut(filled.groupBy("node").agg(F.min("doc_id").alias("least"), one.alias("_one")).select("node", "least", "_one.*"))
-    lists = _prefixes(nodes)
-    pairs = _star_pairs(lists, nodes)
+    held = _prefixes(nodes)
+    pairs = _star_pairs(held)
     near = cut(pairs.select("node").union(pairs.select("centre")).distinct())
     sets = _sets_of(docs, nodes, near, words)
     roots = components(_confirmed(pairs, sets))
-    blocks = _blocks(lists, roots, shingles_each, sets_each).join(nodes.select("node", "tags"), "node")
+    blocks = _blocks(held, roots, shingles_each, sets_each).join(held.select("node", "tags", "first"), "node")
     blocks = blocks.repartition("k", "x", "y").sortWithinPartitions("k", "x", "y")
     met = cut(blocks.mapInArrow(_meet, "k long, x int, y int, outer boolean, inner boolean, root binary, node binary"))
     more = cut(met.select("node").distinct().join(near, "node", "left_anti"))
