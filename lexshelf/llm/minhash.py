@@ -16,7 +16,8 @@ set's tags; pairs of sets whose tags collide in MATCH coordinates are decided by
    first list that both prefixes have. Members that collide enough with another stay, and their whole sets come to the
    block and are compared there: only links leave it, never pairs.
 
-Equal sets are one node, so copies are never compared. A set is known by a 128-bit hash of its shingle hashes (64 bits each).
+Equal sets are one node, so copies are never compared. A set is known by a 128-bit hash of its shingle hashes (64 bits each); nodes are
+numbered once, in a written table, so that postings, lists and links carry eight bytes for each node.
 Fewer words than a shingle has: the whole sequence is the one shingle. Nulls, empty texts and texts without a word have an empty
 set and are linked with nothing. Rows with equal doc_id are ranked apart by their sets; rows without a doc_id are linked but never
 name a class, and stay. Long texts are hashed whole; the sets of one block are held in memory. An empty table gives an empty result;
@@ -91,7 +92,7 @@ def tags_of(least: np.ndarray) -> bytes:
     return (least >> np.uint64(56)).astype(np.uint8).tobytes()
 
 
-def node_of(found: np.ndarray) -> bytes | None:
+def hash_of(found: np.ndarray) -> bytes | None:
     return xxhash.xxh3_128_digest(found.tobytes(), SEED) if len(found) else None
 
 
@@ -105,16 +106,16 @@ def _sketches(words: int) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memo = _Words()
         for batch in batches:
-            nodes, sizes, tags, keys = [], [], [], []
+            hashes, sizes, tags, keys = [], [], [], []
             for text in texts_of(batch.column(1)):
                 found = shingles(text, words, memo)
                 least = signature(found)
-                nodes.append(node_of(found))
+                hashes.append(hash_of(found))
                 sizes.append(len(found))
                 tags.append(tags_of(least * _BASE) if len(found) else None)
                 keys.append(least[:POSTED] if len(found) else found)
-            columns = [batch.column(0), pa.array(nodes, pa.binary()), pa.array(sizes, pa.int64()), pa.array(tags, pa.binary()), _lists(keys)]
-            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "node", "n_shingles", "tags", "keys"])
+            columns = [batch.column(0), pa.array(hashes, pa.binary()), pa.array(sizes, pa.int64()), pa.array(tags, pa.binary()), _lists(keys)]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "hash", "n_shingles", "tags", "keys"])
 
     return run
 
@@ -125,7 +126,7 @@ def _sets(words: int) -> Callable:
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 found = [f for f in (shingles(t, words, memo) for t in texts_of(batch.column(0).slice(at, 256))) if len(f)]
-                yield pa.RecordBatch.from_arrays([pa.array(map(node_of, found), pa.binary()), _lists(found)], ["node", "found"])
+                yield pa.RecordBatch.from_arrays([pa.array(map(hash_of, found), pa.binary()), _lists(found)], ["hash", "found"])
 
     return run
 
@@ -257,7 +258,7 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for x, y in _forest(names[left[i] - start], names[right[j] - start], len(values)):
                 a.append(values[x].as_py())
                 b.append(values[y].as_py())
-        yield pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(b, pa.binary())], ["a", "b"])
+        yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
 
 
 def _prefixes(nodes: DataFrame) -> DataFrame:
@@ -281,7 +282,7 @@ def _star_pairs(held: DataFrame) -> DataFrame:
     best = F.row_number().over(Window.partitionBy("node").orderBy(F.desc("times"), "centre"))
     met = met.withColumn("best", best).where(F.col("best") <= CENTRES).select("node", "centre")
     both = met.join(held.select("node", F.col("tags").alias("x")), "node").join(held.select(F.col("node").alias("centre"), F.col("tags").alias("y")), "centre")
-    return cut(both.select("node", "centre", "x", "y").mapInArrow(_collide, "node binary, centre binary"))
+    return cut(both.select("node", "centre", "x", "y").mapInArrow(_collide, "node long, centre long"))
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -335,18 +336,21 @@ def _blocks(held: DataFrame, roots: DataFrame, shingles_each: int, sets_each: in
 
 def _sets_of(docs: DataFrame, nodes: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
     """(node, found): the whole sets of the wanted nodes, made anew from one text of each."""
-    ids = cut(nodes.join(wanted, "node", "left_semi").select(F.col("least").alias("id")).distinct())
+    wanted = cut(nodes.join(wanted, "node", "left_semi").select("node", "hash", "least"))
+    ids = wanted.select(F.col("least").alias("id")).distinct()
     texts = docs.join(ids, F.col("doc_id").eqNullSafe(F.col("id")), "left_semi").select("text")
-    return cut(texts.mapInArrow(_sets(words), "node binary, found array<bigint>").join(wanted, "node", "left_semi").dropDuplicates(["node"]))
+    found = texts.mapInArrow(_sets(words), "hash binary, found array<bigint>")
+    return cut(found.join(wanted, "hash").select("node", "found").dropDuplicates(["node"]))
 
 
 def near_duplicates(docs: DataFrame, words: int = WORDS, shingles_each: int = BLOCK_SHINGLES, sets_each: int = BLOCK_SETS) -> DataFrame:
     """(doc_id, n_shingles, component_id) for every row of ``docs``: component_id is the least doc_id of its class."""
     docs = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    rows = cut(docs.mapInArrow(_sketches(words), "doc_id long, node binary, n_shingles long, tags binary, keys array<bigint>"))
-    filled = rows.where("node IS NOT NULL")
+    rows = cut(docs.mapInArrow(_sketches(words), "doc_id long, hash binary, n_shingles long, tags binary, keys array<bigint>"))
+    filled = rows.where("hash IS NOT NULL")
     one = F.first(F.struct("n_shingles", "tags", "keys"))
-    nodes = cut(filled.groupBy("node").agg(F.min("doc_id").alias("least"), one.alias("_one")).select("node", "least", "_one.*"))
+    nodes = filled.groupBy("hash").agg(F.min("doc_id").alias("least"), one.alias("_one"))
+    nodes = cut(nodes.select(F.monotonically_increasing_id().alias("node"), "hash", "least", "_one.*"))
     held = _prefixes(nodes)
     pairs = _star_pairs(held)
     near = cut(pairs.select("node").union(pairs.select("centre")).distinct())
@@ -354,20 +358,20 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, shingles_each: int = BL
     roots = components(_confirmed(pairs, sets))
     blocks = _blocks(held, roots, shingles_each, sets_each).join(held.select("node", "tags", "first"), "node")
     blocks = blocks.repartition("k", "x", "y").sortWithinPartitions("k", "x", "y")
-    met = cut(blocks.mapInArrow(_meet, "k long, x int, y int, outer boolean, inner boolean, root binary, node binary"))
+    met = cut(blocks.mapInArrow(_meet, "k long, x int, y int, outer boolean, inner boolean, root long, node long"))
     more = cut(met.select("node").distinct().join(near, "node", "left_anti"))
     sets = sets.union(_sets_of(docs, nodes, more, words))
     dealt = met.join(sets, "node").repartition("k", "x", "y").sortWithinPartitions("k", "x", "y")
-    more = cut(dealt.mapInArrow(_compare, "a binary, b binary").distinct())
-    rooted = nodes.select("node", "least").join(roots, "node", "left").select("node", "least", F.coalesce("root", "node").alias("root"))
+    more = cut(dealt.mapInArrow(_compare, "a long, b long").distinct())
+    rooted = nodes.select("node", "hash", "least").join(roots, "node", "left").select("hash", "least", F.coalesce("root", "node").alias("root"))
     if not more.isEmpty():
         upper = components(more).select(F.col("node").alias("root"), F.col("root").alias("upper"))
-        rooted = rooted.join(upper, "root", "left").select("node", "least", F.coalesce("upper", "root").alias("root"))
+        rooted = rooted.join(upper, "root", "left").select("hash", "least", F.coalesce("upper", "root").alias("root"))
     rooted = cut(rooted)
     least = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = rooted.join(least, "root").select("node", "component_id")
-    alone = rows.where("node IS NULL").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
-    return filled.select("doc_id", "n_shingles", "node").join(named, "node").select("doc_id", "n_shingles", "component_id").union(alone)
+    named = rooted.join(least, "root").select("hash", "component_id")
+    alone = rows.where("hash IS NULL").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
+    return filled.select("doc_id", "n_shingles", "hash").join(named, "hash").select("doc_id", "n_shingles", "component_id").union(alone)
 
 
 def keep_one(docs: DataFrame, words: int = WORDS) -> DataFrame:
