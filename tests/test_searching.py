@@ -381,3 +381,27 @@ def test_offsets_of_long_texts(spark):
     plain = {r.k: r["count"] for r in postings.tokenize(docs, "k", "t", LOWER).groupBy("k").count().collect()}
     assert counts == plain
     assert {(r.k, r.pos) for r in postings.token_offsets(docs, "k", "t").collect()} == {(r.k, r.pos) for r in postings.tokenize(docs, "k", "t", LOWER).collect()}
+
+
+def test_sums_over_ranges_make_no_pairs(spark):
+    rng = random.Random(5)
+    lines = [(rng.choice([None, 0.0, 1.5, 2.0, 2.5, 7.0, -3.0, 9.25]), rng.choice([None, *range(1, 50)])) for _ in range(400)]
+    ends = [None, -4.0, -3.0, 0.0, 1.5, 2.0, 2.25, 7.0, 9.25, 12.0]
+    ranges = [(rng.choice([*range(120), None]), rng.choice(ends), rng.choice(ends), rng.random() < 0.5, rng.random() < 0.5) for _ in range(200)]
+    table = spark.createDataFrame(ranges, "query_id long, low double, high double, include_low boolean, include_high boolean")
+    rows = spark.createDataFrame(lines, "price double, line long").repartition(3)
+    got = match.range_sums(rows, "price", table, ["line"])
+    pairs = match.range_table(rows, "price", table, 1.0).groupBy("query_id").agg(F.count(F.lit(1)).alias("n"), F.sum("line").alias("line"))
+    key = lambda r: (r[0] is None, r)
+    assert sorted(map(tuple, got.collect()), key=key) == sorted(map(tuple, pairs.collect()), key=key)
+    assert "BroadcastNestedLoopJoin" not in got._jdf.queryExecution().executedPlan().toString()
+    assert match.range_sums(rows.where("false"), "price", table, ["line"]).collect() == []
+
+
+def test_matches_by_document_need_no_shuffle(spark, tmp_path):
+    index = index_of(spark, tmp_path, ["a b", "a c a", "b", None, "a"])
+    asked = spark.createDataFrame([(1, "a"), (1, "b"), (2, "a"), (3, "none")], "query_id long, term string")
+    matches = match.match_terms(index.postings, asked, key="doc_id", parts=index.parts())
+    counted = match.boolean_match(matches, asked, "doc_id", "OR")
+    assert {tuple(r) for r in counted.collect()} == {(1, 0, 2), (1, 1, 1), (1, 2, 1), (1, 4, 1), (2, 0, 1), (2, 1, 1), (2, 4, 1)}
+    assert counted._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[-1].count("Exchange hashpartitioning") == 1
