@@ -53,3 +53,28 @@ def test_hot_host_and_empty_table(spark):
     assert {(r.page_id, r.text) for r in pages.extracted(frame).collect()} == {(i, f"text {i}") for i in range(300)}
     assert pages.wrappers(frame).count() == 1
     assert pages.extracted(frame.where("false")).collect() == []
+
+
+def test_wrappers_come_from_every_page(spark):
+    """Nine pages of one template hide nothing of the tenth; long streams are aligned too, and the order does not matter."""
+    page = lambda i, extra="": f"<div class='a'><p>text {i}</p>{extra}</div>"
+    rare = page(99, "<table><tr><td>cell</td></tr></table>")
+    rows = [(i, "https://h.example/", page(i)) for i in range(40)] + [(99, "https://h.example/", rare)]
+    frame = spark.createDataFrame(rows, "page_id long, url string, html string")
+    found = {r.wrapper for n in (1, 3, 9) for r in pages.wrappers(frame.repartition(n)).collect()}
+    assert len(found) == 1 and "(<table> <tr> <td> cell </td> </tr> </table>)?" in found.pop()
+    long = [f"<b{i % 31}>same</b{i % 31}><i{i % 17}>" for i in range(500)]
+    one, two = ("".join(long) + "<p>x</p>", "".join(long[:250]) + "<u>" + "".join(long[250:]) + "<p>y</p>")
+    wrapper = pages.infer([one, two])
+    assert pages.expression(wrapper).count("?") == 1 and pages.expression(wrapper).endswith("<p> #text </p>")
+
+
+def test_rows_made_again_are_the_same():
+    a = [("open", str(i * i % 7), "") for i in range(50)]
+    b = [("open", str(i * 3 % 7), "") for i in range(37)]
+    scores = pages.Scores(a, b)
+    best = [[0] * 38 for _ in range(51)]
+    for i in range(49, -1, -1):
+        for j in range(36, -1, -1):
+            best[i][j] = max(best[i + 1][j], best[i][j + 1], best[i + 1][j + 1] + 2 if a[i] == b[j] else 0)
+    assert [scores.row(i).tolist() for i in range(50)] == best[:50]
