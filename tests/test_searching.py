@@ -347,6 +347,36 @@ def test_phrases_and_merged_clusters(spark):
     assert got == want
 
 
+def test_phrases_in_bundles(spark):
+    rng = random.Random(14)
+    texts = [(k, " ".join(rng.choices("abcde", k=rng.randint(0, 30)))) for k in [*range(30), *range(10), 3, None]] + [(31, None), (32, "")]
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    slots = {"a": ["a", "b"], "b": ["a", "b"]}
+    stacked = Analyzer("stacked", T.tok_standard, (), (("term", F.lower), ("slots", T.synonyms([], [["a", "b"]]))))
+    for chain, alternatives in ((LOWER, {}), (stacked, slots)):
+        want = {}
+        for k, t in texts:
+            words = [alternatives.get(w, [w]) for w in (t or "").split()]
+            for n in range(2, 6):
+                for i in range(len(words) - n + 1):
+                    for p in itertools.product(*words[i : i + n]) if k is not None else ():
+                        want.setdefault(" ".join(p), set()).add(k)
+        want = {(p, p.count(" ") + 1, len(ks), k) for p, ks in want.items() if len(ks) >= 4 for k in ks}
+        got = discover.frequent_phrases(docs, "doc_id", "text", chain, 4, 5, tokens=40).collect()
+        assert {tuple(r) for r in got} == want and len(got) == len(want)
+    assert discover.frequent_phrases(docs.where("false"), "doc_id", "text", LOWER).collect() == []
+    named = docs.selectExpr("concat('k', doc_id) AS name", "text")
+    assert {r.name for r in discover.frequent_phrases(named, "name", "text", LOWER, 2, 2).collect()} >= {"k0", "k9"}
+
+
+def test_sets_are_compared_by_document(spark):
+    """Sets with all documents in common make no row for each pair and document outside the task that counts them."""
+    rows = [(f"p{i} q{i}", 2, 60, d) for i in range(30) for d in range(i, 60 + i)]
+    found = cut(spark.createDataFrame(rows, "phrase string, n_words int, df long, doc_id long"))
+    got = discover.cluster_merged_phrases(found, "doc_id")
+    assert {(r.label, r.n_phrases) for r in got.collect()} == {("p0 q0", 30)} and got.count() == 89
+
+
 def test_stored_vocabulary(spark, tmp_path):
     rng = random.Random(11)
     terms = sorted({"".join(rng.choices("abé_%", [5, 5, 2, 1, 1], k=rng.randint(1, 9))) for _ in range(400)})
