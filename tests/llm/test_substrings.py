@@ -2,9 +2,12 @@
 
 import hashlib
 import random
+import tracemalloc
 
 import numpy as np
+import pyarrow as pa
 import pytest
+import zstandard
 
 from lexshelf.llm import substrings
 from lexshelf.llm.queries import QUERIES
@@ -79,3 +82,22 @@ def test_suffix_ranks():
     text = data.tobytes()
     usable = range(len(text) - 20)
     assert sorted(usable, key=lambda i: (rank[i], i)) == sorted(usable, key=lambda i: (text[i : i + 20], i))
+
+
+def test_single_windows_are_handed_on_in_parts():
+    rng = random.Random(6)
+    texts = [bytes(rng.choices(b"abcdefgh", k=400)) for _ in range(60)]
+    wanted = [[{"off": 0, "n": 301, "key": 1, "single": True}] for _ in texts]
+    kind = pa.list_(pa.struct([("off", pa.int64()), ("n", pa.int32()), ("key", pa.int64()), ("single", pa.bool_())]))
+    squeezed = [zstandard.ZstdCompressor().compress(t) for t in texts]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(60), pa.int64()), pa.array(squeezed, pa.binary()), pa.array(wanted, kind)], ["doc", "packed", "wanted"])
+
+    def peak(**options):
+        tracemalloc.start()
+        rows = sum(b.num_rows for b in substrings._phrase_texts(100, **options)(iter([batch])))
+        most = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        return rows, most
+
+    (rows, most), (all_rows, all_most) = peak(held=1000), peak()
+    assert rows == all_rows == 60 * 301 and 3 * most < all_most
