@@ -88,3 +88,24 @@ def test_odd_rows(spark):
     assert kept.columns == docs.columns
     assert sorted(r.doc_id or 0 for r in kept.collect()) == [0, 0, 1, 2, 3, 4, 4, 5, 7, 8]
     assert minhash.near_duplicates(docs.where("false")).collect() == []
+
+
+def test_sets_of_repeated_rows(spark, monkeypatch, capsys):
+    """One set for each node, though a doc_id has its text twice; and whole sets are not moved to see to that."""
+    rows = [(1, "a b c d"), (1, "a b c d"), (1, "A b  c d"), (2, "e f g"), (2, "other words"), (None, "h i j"), (None, "h i j"), (3, "k l")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    wanted = [(n, minhash.hash_of(minhash.shingles(t.encode(), 2, minhash._Words())), d) for n, (d, t) in enumerate([rows[0], rows[3], rows[5], rows[7]])]
+    nodes = spark.createDataFrame([(n, bytearray(h), d) for n, h, d in wanted], "node long, hash binary, least long")
+    plans = []
+
+    def seen(df, cut=minhash.cut):
+        if "found" in df.columns:
+            capsys.readouterr()
+            df.explain()
+            plans.append(capsys.readouterr().out)
+        return cut(df)
+
+    monkeypatch.setattr(minhash, "cut", seen)
+    got = minhash._sets_of(docs, nodes, nodes.select("node").where("node < 3"), 2).collect()
+    assert sorted((r.node, len(r.found)) for r in got) == [(0, 3), (1, 2), (2, 2)]
+    assert plans and not any("hashpartitioning(node" in p for p in plans)
