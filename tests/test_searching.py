@@ -435,3 +435,13 @@ def test_matches_by_document_need_no_shuffle(spark, tmp_path):
     counted = match.boolean_match(matches, asked, "doc_id", "OR")
     assert {tuple(r) for r in counted.collect()} == {(1, 0, 2), (1, 1, 1), (1, 2, 1), (1, 4, 1), (2, 0, 1), (2, 1, 1), (2, 4, 1)}
     assert counted._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[-1].count("Exchange hashpartitioning") == 1
+
+
+def test_a_small_side_is_brought_to_rows_that_stay(spark):
+    left = spark.createDataFrame([(i, "hot" if i % 2 else f"w{i}") for i in range(4000)], "id long, term string")
+    right = spark.createDataFrame([("hot", 1), ("hot", 2), ("w2", 3)], "term string, q int")
+    frequency = left.groupBy("term").agg(F.count(F.lit(1)).alias("n"))
+    for how, rows in (("inner", 4001), ("left", 6000), ("left_semi", 2001), ("left_anti", 1999)):
+        joined = spread_join(left, right, ["term"], how, frequency=frequency)
+        assert joined.count() == rows
+        assert "SortMergeJoin" not in joined._jdf.queryExecution().executedPlan().toString()
