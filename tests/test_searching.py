@@ -437,6 +437,15 @@ def test_matches_by_document_need_no_shuffle(spark, tmp_path):
     assert counted._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[-1].count("Exchange hashpartitioning") == 1
 
 
+def test_tokens_of_the_index_are_those_of_the_texts(spark, tmp_path):
+    texts = ["a b a", "", None, "b " * 9 + "c", "-", "a b a"]
+    docs = spark.createDataFrame([(i // 2, t) for i, t in enumerate(texts)] + [(None, "x y")], "doc_id long, text string")
+    index = textindex.build_text_index(docs, "doc_id", "text", LOWER, str(tmp_path / "index"), 4)
+    key = lambda r: (r[0] is None, r)
+    want = postings.tokenize(docs, "doc_id", "text", LOWER).select("doc_id", "len", "pos", "term")
+    assert sorted(map(tuple, index.tokens.collect()), key=key) == sorted(map(tuple, want.collect()), key=key)
+
+
 def test_a_small_side_is_brought_to_rows_that_stay(spark):
     left = spark.createDataFrame([(i, "hot" if i % 2 else f"w{i}") for i in range(4000)], "id long, term string")
     right = spark.createDataFrame([("hot", 1), ("hot", 2), ("w2", 3)], "term string, q int")
