@@ -446,6 +446,17 @@ def test_tokens_of_the_index_are_those_of_the_texts(spark, tmp_path):
     assert sorted(map(tuple, index.tokens.collect()), key=key) == sorted(map(tuple, want.collect()), key=key)
 
 
+def test_tables_no_search_asked_for_are_not_written(spark, tmp_path):
+    index = index_of(spark, tmp_path, ["motion b", "nation"])
+    stored = vocabulary.build_vocabulary(index.stats, str(tmp_path / "v"))
+    asked = spark.createDataFrame([("p", "*tion")], "query_id string, pattern string")
+    assert {r.term for r in match.expand_wildcards(index.stats, asked, stored).collect()} == {"motion", "nation"}
+    assert {p.name for p in (tmp_path / "v").iterdir()} == {"grams", "often"}
+    assert not (tmp_path / "index" / "bounds").exists()
+    assert {(r.term, r["size"], r.df) for r in index.bounds.collect()} == {("motion", 1, 1), ("b", 1, 1), ("nation", 0, 1)}
+    assert (tmp_path / "index" / "bounds").exists()
+
+
 def test_a_small_side_is_brought_to_rows_that_stay(spark):
     left = spark.createDataFrame([(i, "hot" if i % 2 else f"w{i}") for i in range(4000)], "id long, term string")
     right = spark.createDataFrame([("hot", 1), ("hot", 2), ("w2", 3)], "term string, q int")
