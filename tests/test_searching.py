@@ -274,6 +274,16 @@ def test_group_page(spark):
         assert got == want
 
 
+def test_best_hits_of_groups_sort_no_rows(spark, monkeypatch):
+    plans, kept = [], facets.cut
+    monkeypatch.setattr(facets, "cut", lambda df: plans.append(df._jdf.queryExecution().executedPlan().toString()) or kept(df))
+    hits = spark.createDataFrame([(q, i, float(i % 3)) for q in range(2) for i in range(30)], "query_id int, doc_id int, score double")
+    index = spark.createDataFrame([(i, str(i % 4)) for i in range(30)], "doc_id int, g string")
+    rows = facets.group_page(hits, index, "doc_id", "g", 1, 2, 1).select("query_id", "group_rank", "doc_id", "group_size", "matches", "n_groups")
+    assert sorted(map(tuple, rows.collect())) == [(q, at, i, n, 30, 4) for q in range(2) for at, i, n in ((1, 2, 7), (2, 5, 8))]
+    assert len(plans) >= 3 and not any("SortAggregate" in p for p in plans)
+
+
 # --- profiles, clusters, vocabulary ----------------------------------------------------------------
 
 
