@@ -1,6 +1,9 @@
 """Analysis steps on small values, each against what the step is defined to give."""
 
+import itertools
+
 import pytest
+import regex
 from pyspark.sql import functions as F
 
 from lexshelf.functions import text as T
@@ -152,3 +155,22 @@ def test_term_rows_count_within_the_row(spark):
     assert {(r.id, r.len, r.term, r.tf) for r in rows} == {(1, 6, "a", 2), (1, 6, "b", 3), (1, 6, "c", 1)}
     tokens = postings.tokenize(df, "id", "t", analyzer("text_ws"))
     assert sorted(map(tuple, postings.postings(tokens, "id").select("id", "len", "term", "tf").collect())) == sorted(map(tuple, rows))
+
+
+def test_word_parts_are_cut_once(spark):
+    """Tokens of one part take a short way to the same parts, and no other token is taken apart more than once."""
+    words = ["plain", "Upper", "(quoted)", "it's", "Wi-Fi500", "a1", "١٢", "12", "--", "aB", "McDonald's", "ends.\u0085", "x ", "it's\u0085", "été,", "ÀÉ", "5's", "'s", None]
+    docs = spark.createDataFrame([(i, w) for i, w in enumerate(words)], "id int, word string")
+
+    def parts(w):
+        return regex.findall(r"\p{Lu}*[\p{Ll}\p{Lm}\p{Lo}\p{Lt}\p{M}]+|\p{Lu}+|\p{N}+", regex.sub(r"['’][sS](?=\u0085?\Z)", "", w or ""))
+
+    for each in (True, False):
+        delimit = T.word_delimiter(generate_parts=each, catenate=False)
+        found = docs.select("id", delimit(F.array("word")).alias("slots")).collect()
+        for r in found:
+            runs = [list(g) for _, g in itertools.groupby(parts(words[r.id]), lambda p: p[0].isnumeric())]
+            assert r.slots == ([[p] for run in runs for p in (run if each else ["".join(run)])] or [[]]), words[r.id]
+    tight = analyzer("text_en_splitting_tight")(F.lit("a b"))
+    plan = spark.range(1).select(tight.alias("x"))._jdf.queryExecution().analyzed().toString()
+    assert plan.count(r"\p{Lu}*[") == 2  # terms that are alone at their position, and others
