@@ -6,6 +6,7 @@ import random
 from collections import Counter
 
 import pytest
+import regex
 from pyspark.sql import functions as F
 
 from lexshelf.functions import text as T
@@ -297,6 +298,37 @@ def test_profiles_tell_languages_apart(spark):
     assert {r.language_s for r in profiles.identify(odd, "doc_id", "text", learned, "en").collect()} == {"en"}
 
 
+@pytest.mark.parametrize("signs,dense", [(1 << 20, 1 << 22), (16, 1)])
+def test_profiles_count_texts_in_bundles(spark, monkeypatch, signs, dense):
+    """Weights and sums equal those of plain counting, for texts longer than a stretch, rows that share a key, and letters beyond 16 bits."""
+    for name, value in (("SIGNS", signs), ("BUNDLE", 2 * signs), ("HELD", signs), ("DENSE", dense)):
+        monkeypatch.setattr(profiles, name, value)
+    texts = ["the cat and the dog, the end", "le chat et le chien la fin", "𝒜b 𝒜b 𝒜b the", "der hund und die katze " * 9, "", None, "42", "a", "le la les", "the the"]
+    langs = ["en", "fr", "en", "de", "en", "fr", None, "de", None, None]
+    rows = [(i, t, x) for i, (t, x) in enumerate(zip(texts, langs))] + [(8, "the cat the cat the cat", None), (None, "le chien", "fr")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(3)
+
+    def grams(t):
+        x = f" {' '.join(regex.findall('[\\p{L}\\p{M}]+', (t or '').lower()))} "
+        return [x[i : i + 3] for i in range(len(x) - 2)]
+
+    counts = {}
+    for _, t, x in rows:
+        if x:
+            counts.setdefault(x, Counter()).update(grams(t))
+    kinds = len(set().union(*counts.values()))
+    weight = lambda x, n: math.floor(1000 * math.log((n + 1) / (counts[x].total() + kinds)))
+    learned = cut(profiles.learn(docs, "text", "lang"))
+    assert {(r.lang, r.term): r.weight for r in learned.collect()} == {(x, g): weight(x, n) for x in counts for g, n in [*counts[x].items(), ("", 0)]}
+    found = profiles.identify(docs.where("doc_id IS NOT NULL"), "doc_id", "text", learned, "none").distinct().collect()
+    for r in found:
+        own = [grams(t) for i, t, _ in rows if i == r.doc_id]
+        size = max(map(len, own))
+        sums = {x: size * weight(x, 0) + sum(weight(x, counts[x][g]) - weight(x, 0) for some in own for g in some if g in counts[x]) for x in counts}
+        assert r.language_s == (min(sums, key=lambda x: (-sums[x], x)) if size else "none")
+    assert len(found) == 10
+
+
 def test_linked_classes(spark):
     rng = random.Random(9)
     links = [(i, i + 1) for i in range(40)] + [(100, 90), (90, 95), (7, 7)] + [(rng.randint(200, 260), rng.randint(200, 260)) for _ in range(35)]
