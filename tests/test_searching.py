@@ -5,13 +5,14 @@ import math
 import random
 from collections import Counter
 
+import numpy as np
 import pytest
 import regex
 from pyspark.sql import functions as F
 
 from lexshelf.functions import text as T
 from lexshelf.functions.analyzers import Analyzer
-from lexshelf.operators import bitmaps, discover, facets, linked, lookup, match, nearby, postings, profiles, rank, spelling, textindex, vocabulary
+from lexshelf.operators import bitmaps, discover, facets, linked, lookup, match, nearby, phrases, postings, profiles, rank, spelling, textindex, vocabulary
 from lexshelf.session import cut, spread_join
 from lexshelf.sources import versions
 
@@ -348,6 +349,30 @@ def test_linked_classes(spark):
     assert linked.reached(spark.createDataFrame([], "a int, b int")).collect() == []
 
 
+@pytest.mark.parametrize("hashes", [1 << 63, 5])
+def test_runs_are_told_apart_by_hash_and_check(hashes):
+    """Groups are numbered by ascending hash, then check, also where one hash has several checks."""
+    rng = np.random.default_rng(3)
+    h = rng.integers(0, hashes, 4000, np.uint64)
+    h, c = np.append(h, h), rng.integers(0, 3, 8000, np.uint64).astype("<u2")
+    if hashes > 5:
+        c[:4000] = c[4000:] = 1
+    group, heads = phrases.in_groups(h, c)
+    pairs = list(zip(h.tolist(), c.tolist(), strict=True))
+    different = sorted(set(pairs))
+    assert [pairs[i] for i in heads] == different and [different[g] for g in group] == pairs
+    assert heads.tolist() == [pairs.index(p) for p in different]
+
+
+def test_hashes_of_words_depend_on_the_word_alone():
+    words = ["a", "b", "ab", "ba", "aab", "aba", "été", "a" * 300]
+    for some in (words, words[::-1]):
+        joined = "".join(some).encode()
+        found = phrases._word_hashes(joined, np.append(0, np.cumsum([len(w.encode()) for w in some])))
+        assert all(len(set(x.tolist())) == len(words) for x in found)
+        assert [dict(zip(some, x.tolist(), strict=True))["ab"] for x in found] == [phrases._word_hashes(b"ab", np.array([0, 2]))[i][0] for i in (0, 1)]
+
+
 def plain_phrases(texts, least, most):
     found = {}
     for d, t in enumerate(texts):
