@@ -101,3 +101,19 @@ def test_single_windows_are_handed_on_in_parts():
 
     (rows, most), (all_rows, all_most) = peak(held=1000), peak()
     assert rows == all_rows == 60 * 301 and 3 * most < all_most
+
+
+def test_repeats_within_a_batch_are_dealt_out_once():
+    """A batch writes as many rows as it has repeated phrases at most, not one for every part, and ranks agree with sorting."""
+    rng = random.Random(8)
+    text = bytes(rng.choices(b"abcdefgh", k=900)).decode()
+    batch = pa.RecordBatch.from_arrays([pa.array([3, 1, 2], pa.int64()), pa.array([text, "x", text])], ["doc", "text"])
+    rows = [r for b in substrings._parse_docs(100, 32, 5000)(iter([batch])) for r in b.to_pylist()]
+    later = [r for r in rows if not r["h"]]
+    fresh = sum(len(r["h"]) // 8 for r in rows)
+    assert len(later) == fresh and {int.from_bytes(r["doc"], "little") for r in later} == {3}
+    data = np.frombuffer(bytes(rng.choices(b"ab", k=700)) + b"ab" * 60 + b"a" * 90, np.uint8)
+    rank, raw = substrings.suffix_ranks(data, 100), data.tobytes()
+    usable = [raw[i : i + 100] for i in range(len(raw) - 99)]
+    for i in range(0, len(usable), 7):
+        assert [rank[j] < rank[i] for j in range(len(usable))] == [t < usable[i] for t in usable]
